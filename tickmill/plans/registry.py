@@ -97,11 +97,11 @@ def flt_reason_counts(t):
 
 
 @_query(
-    f"""SELECT lpad(cast(k AS varchar), 8, '0') AS game_id, strptime(d, '%Y.%m.%d')::date AS utc_date, cast(we AS smallint) AS white_elo, cast(be AS smallint) AS black_elo, cast(base AS integer) AS base_s, cast(inc AS smallint) AS increment_s,
+    f"""SELECT lpad(cast(k AS varchar), 8, '0') AS game_id, replace(d, '.', '-') AS utc_date, cast(we AS smallint) AS white_elo, cast(be AS smallint) AS black_elo, cast(base AS integer) AS base_s, cast(inc AS smallint) AS increment_s,
     {_speed_sql(_EST)} AS tc_class, true AS has_evals, '1-0' AS result FROM ({_RECORDS}) WHERE {_REASON} = 'kept'"""
 )
 def kept_games(t):
-    return text.kept_games(text.with_reason(_records(t("orders")), _config())).select("game_id", "utc_date", "white_elo", "black_elo", "base_s", "increment_s", "tc_class", "has_evals", "result")
+    return text.kept_games(text.with_reason(_records(t("orders")), _config())).select("game_id", F.col("utc_date").cast("string").alias("utc_date"), "white_elo", "black_elo", "base_s", "increment_s", "tc_class", "has_evals", "result")
 
 
 @_query("SELECT page_id, nullif(regexp_extract(url, '^https?://([^/]+)', 1), '') AS host, nullif(regexp_extract(url, '/([^/?#]*)$', 1), '') AS last_part, contains(html, '<a ') AS has_link FROM pages")
@@ -116,7 +116,7 @@ def time_control_parse_classify(t):
     return t("orders").select("o_orderkey", base.alias("base_s"), inc.alias("increment_s"), text.speed_class(base, inc).alias("tc_class"))
 
 
-@_query("""SELECT conv_id, turn AS ply, 'm' || cast(turn AS varchar) AS san, cast(3600 - turn * 7 AS double) + 0.5 AS clock_s, cast(CASE WHEN turn % 3 <> 0 THEN (turn - 2) * 15 END AS integer) AS cp, cast(CASE WHEN turn % 3 = 0 THEN -turn END AS integer) AS mate
+@_query("""SELECT conv_id, turn AS ply, 'm' || cast(turn AS varchar) AS san, cast(3600 - turn * 7 AS double) + 0.5 AS clock_s, cast(CASE WHEN turn % 3 <> 0 THEN (turn - 2) * 15 END AS double) AS cp, cast(CASE WHEN turn % 3 = 0 THEN -turn END AS double) AS mate
 FROM conversations""")
 def movetext_tokens(t):
     """Movetext of a conversation: a move for each turn, with clock and evaluation comments, move numbers, glyphs and a result around them."""
@@ -127,7 +127,7 @@ def movetext_tokens(t):
     games = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", piece.alias("p")))).alias("ps"))
     moves = games.select("conv_id", F.col("ps.turn").alias("turns"), text.move_tokens(F.concat(F.array_join("ps.p", " "), F.lit(" 1/2-1/2"))).alias("ms"))
     rows = moves.select("conv_id", "turns", F.posexplode("ms").alias("i", "m"))
-    return rows.select("conv_id", F.get("turns", F.col("i")).alias("ply"), "m.san", "m.clock_s", "m.cp", "m.mate")
+    return rows.select("conv_id", F.get("turns", F.col("i")).alias("ply"), "m.san", "m.clock_s", F.col("m.cp").cast("double").alias("cp"), F.col("m.mate").cast("double").alias("mate"))
 
 
 @_query("SELECT l_orderkey, l_linenumber, cast(l_partkey % 5 * 3600 + l_suppkey % 60 * 60 + l_linenumber AS double) + 0.25 AS clock_s FROM lineitem")
@@ -288,10 +288,10 @@ def weighted_quantile(t):
     return survival.weighted_quantile(t("lineitem"), ["l_returnflag"], "l_extendedprice", "l_quantity", {"p50": 0.5, "p90": 0.9})
 
 
-@_query("SELECT event_type, at, sum(CASE WHEN value <= at THEN event_id % 7 + 1 ELSE 0 END) / sum(event_id % 7 + 1) AS share FROM events, (SELECT unnest([10.0::double, 50.0, 100.0, 200.0]) AS at) GROUP BY 1, 2")
+@_query("SELECT event_type, p AS point, sum(CASE WHEN value <= p THEN event_id % 7 + 1 ELSE 0 END) / sum(event_id % 7 + 1) AS share FROM events, (SELECT unnest([10.0::double, 50.0, 100.0, 200.0]) AS p) GROUP BY 1, 2")
 def weighted_ecdf(t):
     e = t("events").withColumn("w", (F.col("event_id") % 7 + 1).cast("double"))
-    return survival.weighted_ecdf(e, ["event_type"], "value", "w", [10, 50, 100, 200])
+    return survival.weighted_ecdf(e, ["event_type"], "value", "w", [10, 50, 100, 200]).withColumnRenamed("at", "point")
 
 
 @_query("""WITH c AS (SELECT o_orderpriority AS k, l_quantity AS v, cast(l_linenumber AS double) AS w, cast(l_returnflag = 'R' AS double) AS y, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
@@ -349,7 +349,7 @@ def union_distinct(t):
     return t("customer").select(F.col("c_nationkey").alias("k")).union(t("supplier").select("s_nationkey")).distinct()
 
 
-@_query("SELECT r, c, coalesce(n, 0) AS n FROM (SELECT DISTINCT o_orderpriority AS r FROM orders), (SELECT DISTINCT o_orderstatus AS c FROM orders) LEFT JOIN (SELECT o_orderpriority AS r, o_orderstatus AS c, count(*) AS n FROM orders GROUP BY 1, 2) USING (r, c)")
+@_query("SELECT r, c, coalesce(n, 0) AS n FROM (SELECT * FROM (SELECT DISTINCT o_orderpriority AS r FROM orders) CROSS JOIN (SELECT DISTINCT o_orderstatus AS c FROM orders)) LEFT JOIN (SELECT o_orderpriority AS r, o_orderstatus AS c, count(*) AS n FROM orders GROUP BY 1, 2) USING (r, c)")
 def cross_grid(t):
     o = t("orders").select(F.col("o_orderpriority").alias("r"), F.col("o_orderstatus").alias("c"))
     return o.select("r").distinct().crossJoin(F.broadcast(o.select("c").distinct())).join(o.groupBy("r", "c").agg(F.count("*").alias("n")), ["r", "c"], "left").select("r", "c", F.coalesce("n", F.lit(0)).alias("n"))
@@ -373,12 +373,12 @@ def residual_theta_join(t):
     return a.join(b, (F.col("conv_id") == F.col("c")) & ((F.col("other") == F.col("turn")) | (F.col("other") == F.col("turn") + 1))).select("conv_id", "turn", "other")
 
 
-@_query("SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")
+@_query("SELECT doc_id, lang, cast(quality AS double) AS quality, cast(toxic AS double) AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def left_join_assert(t):
     """Raises if the label of a document isn't unique."""
     once = t("labels").groupBy("doc_id").agg(F.count("*").alias("_n"), F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     once = once.withColumn("quality", F.when(F.col("_n") > 1, F.raise_error(F.lit("repeated label")).cast("int")).otherwise(F.col("quality"))).drop("_n")
-    return t("documents").select("doc_id", "lang").join(once, "doc_id", "left")
+    return t("documents").select("doc_id", "lang").join(once, "doc_id", "left").withColumns({c: F.col(c).cast("double") for c in ("quality", "toxic")})
 
 
 @_query("SELECT n_name, count(*) AS n, cast(sum(c_acctbal > 0) AS bigint) AS solvent FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' GROUP BY 1")
@@ -424,8 +424,8 @@ def stratified_sample_weights(t):
 # --- ranges, survival, monotone fits ---
 
 
-@_query("""WITH c AS (SELECT l_returnflag AS k, cast(l_quantity AS integer) AS at, count(*) AS n, count(*) FILTER (WHERE l_discount > 0.05) AS finds FROM lineitem GROUP BY 1, 2)
-SELECT g.k, r AS rating, cast(coalesce(sum(n), 0) AS bigint) AS n_obs, cast(coalesce(sum(finds), 0) AS bigint) AS n_success FROM (SELECT DISTINCT k FROM c) g CROSS JOIN (SELECT cast(unnest(range(5, 51, 5)) AS integer) AS r) LEFT JOIN c ON c.k = g.k AND at BETWEEN r - 3 AND r + 3 GROUP BY 1, 2""")
+@_query("""WITH c AS (SELECT l_returnflag AS k, cast(l_quantity AS integer) AS pos, count(*) AS n, count(*) FILTER (WHERE l_discount > 0.05) AS finds FROM lineitem GROUP BY 1, 2)
+SELECT g.k, r AS rating, cast(coalesce(sum(n), 0) AS bigint) AS n_obs, cast(coalesce(sum(finds), 0) AS bigint) AS n_success FROM (SELECT DISTINCT k FROM c) g CROSS JOIN (SELECT cast(unnest(range(5, 51, 5)) AS integer) AS r) LEFT JOIN c ON c.k = g.k AND pos BETWEEN r - 3 AND r + 3 GROUP BY 1, 2""")
 def range_window_gather(t):
     c = _cells(t)
     return survival.widened(c, ["k"], _grid(c), "at", "n", "finds", 0, 3, 3).select("k", "rating", "n_obs", "n_success")
@@ -439,8 +439,8 @@ def _grid(c: DataFrame) -> DataFrame:
     return c.select("k").distinct().withColumn("rating", F.explode(F.sequence(F.lit(5), F.lit(50), F.lit(5))))
 
 
-@_query("""WITH c AS (SELECT l_returnflag AS k, cast(l_quantity AS integer) AS at, count(*) AS n, count(*) FILTER (WHERE l_discount > 0.05) AS finds FROM lineitem GROUP BY 1, 2),
-w AS (SELECT g.k, r, h, cast(coalesce(sum(n), 0) AS bigint) AS n_obs, cast(coalesce(sum(finds), 0) AS bigint) AS n_success FROM (SELECT DISTINCT k FROM c) g CROSS JOIN (SELECT cast(unnest(range(5, 51, 5)) AS integer) AS r) CROSS JOIN (SELECT cast(unnest(range(2, 13, 2)) AS integer) AS h) LEFT JOIN c ON c.k = g.k AND at BETWEEN r - h AND r + h GROUP BY 1, 2, 3)
+@_query("""WITH c AS (SELECT l_returnflag AS k, cast(l_quantity AS integer) AS pos, count(*) AS n, count(*) FILTER (WHERE l_discount > 0.05) AS finds FROM lineitem GROUP BY 1, 2),
+w AS (SELECT g.k, r, h, cast(coalesce(sum(n), 0) AS bigint) AS n_obs, cast(coalesce(sum(finds), 0) AS bigint) AS n_success FROM (SELECT DISTINCT k FROM c) g CROSS JOIN (SELECT cast(unnest(range(5, 51, 5)) AS integer) AS r) CROSS JOIN (SELECT cast(unnest(range(2, 13, 2)) AS integer) AS h) LEFT JOIN c ON c.k = g.k AND pos BETWEEN r - h AND r + h GROUP BY 1, 2, 3)
 SELECT k, r AS rating, h AS half_width, n_obs, n_success FROM w QUALIFY row_number() OVER (PARTITION BY k, r ORDER BY CASE WHEN n_success >= 2000 THEN 0 ELSE 1 END, CASE WHEN n_success >= 2000 THEN h ELSE -h END) = 1""")
 def adaptive_window(t):
     c = _cells(t)
@@ -543,7 +543,7 @@ def bin_cut(t):
 
 @_query("SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O') AS O, count(*) FILTER (WHERE o_orderstatus = 'P') AS P FROM orders GROUP BY 1")
 def pivot_classes(t):
-    wide = t("orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("*"))
+    wide = t("orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)))
     return wide.select("o_orderpriority", *(F.coalesce(c, F.lit(0)).alias(c) for c in "FOP"))
 
 
