@@ -97,7 +97,7 @@ def parse_evaluations(lines: DataFrame, cfg: Config | None = None, first_move=No
     rec = lines.select(F.from_json("value", EVAL_DDL).alias("r")).where("r.fen is not null").select("r.*")
     usable = F.filter("evals", lambda e: (F.coalesce(e["knodes"], F.lit(0)) >= cfg.min_knodes) & (F.coalesce(F.size(e["pvs"]), F.lit(0)) > 0))
     rec = rec.withColumns({"white": F.substring_index(F.substring_index("fen", " ", 2), " ", -1) == "w", "u": usable}).where(F.size("u") > 0)
-    most = lambda key: F.element_at(F.array_sort(F.transform("u", lambda e, i: F.struct(*(-k for k in key(e)), i.alias("i")))), 1)["i"]
+    most = lambda key: F.get(F.array_sort(F.transform("u", lambda e, i: F.struct(*(-k for k in key(e)), i.alias("i")))), F.lit(0))["i"]
     rec = rec.withColumns({"best": F.get("u", most(lambda e: (e["knodes"],))), "wide": F.get("u", most(lambda e: (F.size(e["pvs"]).cast("long"), e["knodes"])))})
     line = lambda pv: F.struct(pv["line"].alias("line"), scores.for_mover(pv["cp"], F.col("white")).alias("cp"), scores.for_mover(pv["mate"], F.col("white")).alias("mate"))
     rec = rec.withColumns({"n_evals": F.size("evals"), "top": line(F.get(F.col("best.pvs"), F.lit(0))), "lines": F.transform(F.col("wide.pvs"), line)})

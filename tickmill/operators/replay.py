@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import pandas as pd
@@ -17,7 +18,24 @@ from .survival import TRAINABLE
 _REPLAYED = "array<struct<ply:smallint,uci:string,fen:string,epd:string,n_legal_moves:smallint,in_check:boolean,is_capture:boolean,prev_fen:string>>"
 
 
-@F.pandas_udf("struct<uci:array<string>,error:string>")
+def _vectorised(ddl: str):
+    """A pandas UDF made when it is first called: parsing its type needs a session."""
+
+    def wrap(fn):
+        made = {}
+
+        @functools.wraps(fn)
+        def call(*cols):
+            if "udf" not in made:
+                made["udf"] = F.pandas_udf(fn, ddl)
+            return made["udf"](*cols)
+
+        return call
+
+    return wrap
+
+
+@_vectorised("struct<uci:array<string>,error:string>")
 def san_to_uci(sans: pd.Series) -> pd.DataFrame:
     """The UCI moves of a game's SANs, or the error `illegal_move` and none."""
     out = []
@@ -35,7 +53,7 @@ def san_to_uci(sans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["uci", "error"])
 
 
-@F.pandas_udf(_REPLAYED)
+@_vectorised(_REPLAYED)
 def replayed(ucis: pd.Series, wanted: pd.Series) -> pd.Series:
     """Facts about the position before each wanted ply of a game; replay stops after the last one. A game with an illegal move before it has null."""
     out = []
@@ -60,7 +78,7 @@ def replayed(ucis: pd.Series, wanted: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf("string")
+@_vectorised("string")
 def first_legal_move(epd: pd.Series, line: pd.Series) -> pd.Series:
     """The first move of a line in standard notation (castling as a king's move); null if it isn't legal."""
     out = []
@@ -73,7 +91,7 @@ def first_legal_move(epd: pd.Series, line: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf("struct<fen:string,epd:string,side:string,solved:boolean>")
+@_vectorised("struct<fen:string,epd:string,side:string,solved:boolean>")
 def after_setup(fen: pd.Series, setup: pd.Series, played: pd.Series, solution: pd.Series, mate_in_one: pd.Series) -> pd.DataFrame:
     """The position after a puzzle's setup move, the side to move, and whether the played move solves it: the solution, or any mate if mate in one is asked for."""
     out = []
@@ -98,7 +116,7 @@ def after_setup(fen: pd.Series, setup: pd.Series, played: pd.Series, solution: p
     return pd.DataFrame(out, columns=["fen", "epd", "side", "solved"])
 
 
-@F.pandas_udf("string")
+@_vectorised("string")
 def position_hash(epd: pd.Series) -> pd.Series:
     """64-bit BLAKE2b of the EPD in hex."""
     return epd.map(lambda x: None if x is None else hashlib.blake2b(x.encode(), digest_size=8).hexdigest())
