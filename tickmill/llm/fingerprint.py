@@ -40,23 +40,23 @@ def _digest_again(text: str) -> str:
     return digest(text)
 
 
-def _prints(docs: DataFrame, whole: bool) -> DataFrame:
+def _prints(docs: DataFrame, whole: bool, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFrame:
     def run(batches):
         for batch in batches:
             c = [canonical(x.decode()).encode() for x in common.texts(batch)]
             rest = pa.array(c, pa.binary()) if whole else pa.array([hashlib.sha256(x).hexdigest() for x in c], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([xxhash.xxh3_128_hexdigest(x) for x in c], pa.string()), rest], ["doc_id", "fingerprint", "rest"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([hexdigest(x) for x in c], pa.string()), rest], ["doc_id", "fingerprint", "rest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string, rest {'binary' if whole else 'string'}")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFrame:
     """doc_id, fingerprint, proof (SHA-256 of the canonical bytes) of every row; null texts count as empty."""
-    return _prints(docs, False).withColumnRenamed("rest", "proof")
+    return _prints(docs, False, hexdigest).withColumnRenamed("rest", "proof")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFrame:
     """doc_id, fingerprint, group_id: the smallest doc_id with the same canonical bytes.
 
     Digests alone are counted first; the canonical texts are shuffled only for
@@ -65,9 +65,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     share a digest but not their bytes fall apart. Equal rows share a group; rows of
     null doc_id that nothing equals have a null group.
     """
-    prints = common.settled(fingerprints(docs))
+    prints = common.settled(fingerprints(docs, hexdigest))
     again = prints.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
-    whole = _prints(docs, True).join(common.maybe_broadcast(again), "fingerprint", "left_semi")
+    whole = _prints(docs, True, hexdigest).join(common.maybe_broadcast(again), "fingerprint", "left_semi")
     verified = whole.groupBy("fingerprint", "rest").agg(F.min("doc_id").alias("group_id")).select("fingerprint", F.sha2("rest", 256).alias("proof"), "group_id")
     return prints.join(verified, ["fingerprint", "proof"], "left").select("doc_id", "fingerprint", F.coalesce("group_id", "doc_id").alias("group_id"))
 
