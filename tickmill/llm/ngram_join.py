@@ -61,14 +61,28 @@ def overlap_needed(n: int, m: int, share: int = SHARE) -> int:
     return -(-share * (n + m) // (100 + share))
 
 
-def _reach(n: np.ndarray, share: int) -> np.ndarray:
-    """How many shared shingles among the least-hashed ones are asked for, by size; it never falls as sizes grow."""
-    return np.maximum(1, n // 10)
+#: How much longer prefixes are than the prefix principle needs, in per cent of the set: linked sets then share as many of its shingles.
+REACH = 25
 
 
 def _prefix(n: np.ndarray, share: int) -> np.ndarray:
-    """How many least-hashed shingles of a set of n hold that many of any linked set's."""
-    return np.minimum(n, n - -(-share * n // 100) + _reach(n, share))
+    """How many least-hashed shingles of a set of n are its prefix."""
+    return np.minimum(n, n - -(-share * n // 100) + np.maximum(1, REACH * n // 100))
+
+
+def _common(n: np.ndarray, share: int) -> np.ndarray:
+    """The least number of prefix shingles that a set of n has in common with the prefix of any linked set.
+
+    Of two linked sets of n and m with overlap o, the prefix that ends first holds all but n - o (or m - o) common
+    shingles, and they are in the other prefix too. Both bounds are linear in m but for rounding, so the
+    smallest and the largest m that can link decide; 2 is taken off for rounding.
+    """
+    least = None
+    for m in (-(-share * n // 100), 100 * n // share):
+        o = -(-share * (n + m) // (100 + share))
+        for bound in (_prefix(n, share) - (n - o), _prefix(m, share) - (m - o)):
+            least = bound if least is None else np.minimum(least, bound)
+    return np.maximum(1, least - 2)
 
 
 def described(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -155,9 +169,7 @@ def candidate_edges(docs: DataFrame, k: int = SHINGLE, share: int = SHARE) -> Da
         begin = np.flatnonzero(common.first_of_runs(node))
         count = np.diff(np.r_[begin, len(node)])
         n = size[begin].astype(np.int64)
-        # a linked set may be smaller, down to share per cent: then fewer shared ones are sure
-        need = _reach(-(-share * n // 100), share)
-        keep = np.maximum(0, count - need + 1)
+        keep = np.maximum(0, count - _common(n, share) + 1)
         rank = np.arange(len(node)) - np.repeat(begin, count)
         some = rank < np.repeat(keep, count)
         key, node = key[some], node[some]
