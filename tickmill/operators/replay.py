@@ -167,7 +167,7 @@ def replay_positions(sampled: DataFrame, moves: DataFrame, cfg: Config | None =
     )
     out = out.withColumns({"phase": timing.phase(F.col("fen"), F.col("ply"), s.endgame_max_pieces, s.opening_min_pieces, s.opening_max_ply), "position_id": position_hash(F.col("epd")), "move_number": F.floor((F.col("ply") + 1) / 2).cast("short")})
     have = [c for c in out.columns if c in sampled.columns and c not in ("game_id", "ply")]
-    joined = sampled.drop(*have).join(out, ["game_id", "ply"], "left")
+    joined = sampled.drop(*have).join(out.drop("prev_fen"), ["game_id", "ply"], "left")
     return joined.withColumn("position_id", F.when(F.col("fen").isNull(), F.raise_error(F.concat(F.lit("replay lost "), "game_id"))).otherwise(F.col("position_id"))).withColumnRenamed("uci", "played_uci")
 
 
