@@ -24,7 +24,7 @@ from . import common
 #: Buckets of words, six-byte and four-byte beginnings: fixed, so the broadcast tables have a fixed size.
 LEVELS = ((20, None), (18, 6), (18, 4))
 PRIOR = (4.0, 8.0, 16.0)
-DRIFT, FLOOR = 1.0, -2.0
+DRIFT, FLOOR = 2.0, -3.0
 #: Segments with fewer expected equals than this in a clean text of the same length are significant.
 SIGNIFICANT = 0.05
 BINS, BIN = 400, 0.5
@@ -40,7 +40,7 @@ def slots(parts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def counts(labelled: DataFrame) -> list[np.ndarray]:
-    """Words of (clean, toxic) labelled documents in each bucket of each level; every labelled word counts."""
+    """(Clean, toxic) labelled documents that hold a word of each bucket, for each level; a document counts once, however often it repeats a word."""
 
     def run(batches):
         total = [np.zeros((2, 1 << bits), np.int64) for bits, _ in LEVELS]
@@ -48,10 +48,12 @@ def counts(labelled: DataFrame) -> list[np.ndarray]:
             parts, y = common.texts(batch), np.array(batch.column("y").to_pylist(), np.int64)
             for i, j in common.groups([len(p) for p in parts], 1 << 21):
                 found, at = slots(parts[i:j])
-                side = np.repeat(y[i:j] > 0, np.diff(at))
+                doc = np.repeat(np.arange(i, j), np.diff(at))
                 for t, s in zip(total, found):
+                    once = np.unique(doc * t.shape[1] + s)
+                    toxic = y[once // t.shape[1]] > 0
                     for v in (0, 1):
-                        t[v] += np.bincount(s[side == v], minlength=t.shape[1])
+                        t[v] += np.bincount(once[toxic == v] % t.shape[1], minlength=t.shape[1])
         for level, t in enumerate(total):
             slot = np.flatnonzero(t.any(0))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), level, np.int32)), pa.array(slot), pa.array(t[0, slot]), pa.array(t[1, slot])], ["level", "slot", "clean", "toxic"])
