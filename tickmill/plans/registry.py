@@ -29,10 +29,14 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict:
+    from . import chess  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import chess  # noqa: F401
+
     return dict(_SQL)
 
 
