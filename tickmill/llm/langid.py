@@ -82,7 +82,8 @@ def sample(docs: DataFrame, modulus: int, held: int) -> list:
         ids += rows.where(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
     picked = docs.sparkSession.createDataFrame(ids or [], "doc_id " + docs.schema["doc_id"].dataType.simpleString())
     found = rows.select("doc_id", "lang", "text").join(F.broadcast(picked.distinct()), "doc_id").where(F.col("text").isNotNull() & (F.length("text") <= 100_000))
-    return sorted(found.select("doc_id", "lang", "text").collect())
+    once = found.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r"))  # an id counts once
+    return sorted(once.select("doc_id", "r.lang", "r.text").collect())
 
 
 def identify(docs: DataFrame, modulus: int = 5, held: int = 0) -> DataFrame:

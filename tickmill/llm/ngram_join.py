@@ -327,13 +327,18 @@ def links(docs: DataFrame, facts: DataFrame, k: int = SHINGLE, share: int = SHAR
     wanted = members.select("doc_id", "node", "block")
 
     def sets_of(batches):
+        seen: set[int] = set()
         for batch in batches:
             parts = common.texts(batch)
             out = []
             for i, j in common.groups([len(p) for p in parts], _SLAB):
                 out += shingle_sets(parts[i:j], k)
             node = batch.column("node").to_pylist()
-            keep = [i for i, x in enumerate(out) if len(x) and node_of(x) == node[i]]  # rows of equal id may differ
+            keep = []
+            for i, x in enumerate(out):  # rows of equal id may differ, or be the same again
+                if len(x) and node[i] not in seen and node_of(x) == node[i]:
+                    seen.add(node[i])
+                    keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column("block").take(pa.array(keep, pa.int64())), batch.column("node").take(pa.array(keep, pa.int64())), pa.array([out[i].tobytes() for i in keep], pa.binary())], ["block", "node", "shingles"])
 
     texts = docs.select("doc_id", "text").join(common.maybe_broadcast(wanted), "doc_id").select("block", "node", "text")

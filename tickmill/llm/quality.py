@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) ->
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([excerpt(x) for x in common.texts(batch)], pa.binary())], ["doc_id", "y", "part"])
 
-    found = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(F.broadcast(picked), "doc_id").mapInArrow(cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, part binary")
+    found = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(F.broadcast(picked), "doc_id").mapInArrow(cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, part binary").groupBy("doc_id", "y").agg(F.min("part").alias("part"))  # an id counts once
     got = sorted((r[0], r[1], bytes(r[2])) for r in found.collect())  # SAMPLE x 2 excerpts of SAMPLE_CHUNKS chunks at most
     return Network().fit([r[2] for r in got], np.array([r[1] for r in got], np.float32))
 
