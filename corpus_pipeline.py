@@ -20,6 +20,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document of least id."""
+    common.bounded_batches(spark)
     return ngram_join.representatives(docs)
 
 
@@ -29,6 +30,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Untouched texts stay as they are; a cut text is its words left, joined by single spaces. Documents
     of which nothing is left go. n_chars follows the text.
     """
+    common.bounded_batches(spark)
     got = substring.without_repeats(docs, carry=True)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return got.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
@@ -43,6 +45,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the digests of the ids and of the decoded bytes."""
     import public_tokenizers
 
+    common.bounded_batches(spark)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

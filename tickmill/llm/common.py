@@ -13,7 +13,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 
+#: Bytes of an Arrow batch sent to Python: a worker holds a batch several times over.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES from here on, unless the session asks for smaller ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
