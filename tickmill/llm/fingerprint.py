@@ -56,20 +56,29 @@ def fingerprints(docs: DataFrame, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFr
     return _prints(docs, False, hexdigest).withColumnRenamed("rest", "proof")
 
 
-def grouped(docs: DataFrame, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFrame:
-    """doc_id, fingerprint, group_id: the smallest doc_id with the same canonical bytes.
+def shared_groups(docs: DataFrame, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFrame:
+    """doc_id, fingerprint, group_id of the rows whose digest occurs again; group_id is the smallest doc_id with the same canonical bytes.
 
     Digests alone are counted first; the canonical texts are shuffled only for
     digests that occur again, and aggregated by digest and bytes with partial
     aggregation, so a group of any size sends one text from each task, and texts that
-    share a digest but not their bytes fall apart. Equal rows share a group; rows of
-    null doc_id that nothing equals have a null group.
+    share a digest but not their bytes fall apart.
     """
-    prints = common.settled(fingerprints(docs, hexdigest))
-    again = prints.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
+    prints = fingerprints(docs, hexdigest)
+    again = common.settled(prints.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"))
     whole = _prints(docs, True, hexdigest).join(common.maybe_broadcast(again), "fingerprint", "left_semi")
     verified = whole.groupBy("fingerprint", "rest").agg(F.min("doc_id").alias("group_id")).select("fingerprint", F.sha2("rest", 256).alias("proof"), "group_id")
-    return prints.join(verified, ["fingerprint", "proof"], "left").select("doc_id", "fingerprint", F.coalesce("group_id", "doc_id").alias("group_id"))
+    return prints.join(common.maybe_broadcast(common.settled(verified)), ["fingerprint", "proof"]).select("doc_id", "fingerprint", "group_id")
+
+
+def grouped(docs: DataFrame, hexdigest=xxhash.xxh3_128_hexdigest) -> DataFrame:
+    """doc_id, fingerprint, group_id of every row: the smallest doc_id with the same canonical bytes.
+
+    Equal rows share a group; rows of null doc_id that nothing equals have a null group.
+    """
+    shared = shared_groups(docs, hexdigest)
+    alone = fingerprints(docs, hexdigest).join(common.maybe_broadcast(shared.select("fingerprint").distinct()), "fingerprint", "left_anti")
+    return shared.unionByName(alone.select("doc_id", "fingerprint", F.col("doc_id").alias("group_id")))
 
 
 def with_next(docs: DataFrame, fn, schema: str) -> DataFrame:
@@ -136,5 +145,5 @@ def compared(docs: DataFrame) -> DataFrame:
 def op10(spark, sf_dir):
     """The comparison of every document, with the verified group of its fingerprint."""
     docs = common.table(spark, sf_dir, "documents")
-    groups = grouped(docs).groupBy("doc_id").agg(F.min("group_id").alias("group_id"))
-    return compared(docs).join(groups, "doc_id", "left")
+    groups = common.settled(shared_groups(docs).groupBy("doc_id").agg(F.min("group_id").alias("group_id")))
+    return compared(docs).join(common.maybe_broadcast(groups), "doc_id", "left").withColumn("group_id", F.coalesce("group_id", "doc_id"))
