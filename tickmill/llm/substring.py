@@ -76,6 +76,8 @@ def repeated_anchors(docs: DataFrame, window: int, seed: int, buckets: int) -> n
             # the smallest and the largest document of each anchor say whether there are two
             keep = first | (last & ~first)
             a, doc = a[keep], doc[keep]
+            order = np.argsort(doc, kind="stable")  # runs of equal ids compress
+            a, doc = a[order], doc[order]
             yield from _rows(common.blobs(((common.mix(a, 1)) % np.uint64(buckets)).astype(np.int64), {"a": a, "doc": doc.astype(np.int64)}), ("a", "doc"))
 
     def reduce(batches):
