@@ -223,6 +223,16 @@ def test_lm_is_normalised_and_learns(make):
     assert lm.score(make([]), lm.train(make([]))).collect() == []
 
 
+def test_lm_predicts_every_position(make):
+    """With the registered settings; "late" never stands at position 0 or 1 of 16."""
+    rows = [(i, "early early " + "late " * 14) for i in range(3000)]
+    slots, place = lm.token_slots([rows[0][1].encode()])
+    lp = lm.log_probs(lm.Weights(lm.train(make(rows))), lm.context(slots, place), slots[place])
+    assert lp[2:].mean() > -math.log(lm.SLOTS) + 1
+    with pytest.raises(ValueError):
+        lm.train(make(rows), rounds=2, mask=16)
+
+
 def test_warc_framing():
     r = random.Random(1)
     for n in (0, 1, 8191, 8192, 8193, 70000):

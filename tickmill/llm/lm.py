@@ -4,7 +4,8 @@ Every word is predicted from the SIDE words on either side of it. Words are hash
 CLASSES x MEMBERS slots; the probability of a slot is that of its class times that of
 the member within the class, each an exact softmax, so the conditionals are
 normalised. Training is synchronous and distributed: in each round every task starts from the
-same weights, takes Adam steps over masked positions of all of its documents
+same weights, takes Adam steps over its share of the positions of all of its documents
+(every position is predicted in one of the rounds)
 and sends its weights, which are averaged by slices on the executors. A document's score
 is the sum of its words' conditional log-probabilities.
 """
@@ -20,8 +21,8 @@ from . import common
 
 CLASSES, MEMBERS, DIM, HIDDEN, SIDE = 32, 64, 16, 32, 2
 SLOTS = CLASSES * MEMBERS
-#: Rounds of averaging; the share of positions that a round masks and predicts.
-ROUNDS, MASK = 2, 16
+#: Rounds of averaging; a round predicts every MASK-th position, from another one each time, so that all are predicted.
+ROUNDS, MASK = 2, 2
 STEP, RATE, SLICES = 4096, 0.01, 16
 _PAD = SLOTS  # stands beyond either end of a text
 
@@ -116,7 +117,12 @@ def gradient(w: Weights, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int = STEP) -> np.ndarray:
-    """Weights after `rounds` rounds over all documents; round r predicts every mask-th word from the r-th on, in steps of about `batch` words."""
+    """Weights after `rounds` rounds over all documents; round r predicts every mask-th word from the r-th on, in steps of about `batch` words.
+
+    There are at least `mask` rounds, so that every word is predicted.
+    """
+    if not 1 <= mask <= rounds:
+        raise ValueError(f"{rounds} rounds don't cover every position of {mask}")
     spark = docs.sparkSession
     size = Weights.size()
     flat = Weights().flat
@@ -141,7 +147,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int =
                 parts = common.texts(rows_)
                 for i, j in common.groups([len(p) for p in parts], 1 << 20):
                     slots, place = token_slots(parts[i:j])
-                    place = place[turn::mask]
+                    place = place[turn % mask :: mask]
                     for a in range(0, len(place), batch):
                         at = place[a : a + batch]
                         held_ctx.append(context(slots, at))
