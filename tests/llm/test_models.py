@@ -233,6 +233,39 @@ def test_lm_predicts_every_position(make):
         lm.train(make(rows), rounds=2, mask=16)
 
 
+def test_lm_scores_words(make, monkeypatch):
+    """A word's share of its slot, from counts of all documents: brute force, frequent words broadcast or none."""
+    names, slot = {}, lm.token_slots([b"common"])[0][lm.SIDE]
+    for i in range(40000):  # two words of one slot
+        if lm.token_slots([f"q{i}".encode()])[0][lm.SIDE] == slot:
+            names.setdefault(len(names), f"q{i}")
+    rare, unseen = names[0], names[1]
+    rows = [(i, "common word here " * 5 + f"own{i}") for i in range(50)] + [(60, f"{rare} word here"), (61, "common word here"), (61, "common word here"), (None, "common word here"), (62, None), (63, "")]
+    more = [(70, f"{unseen} word here"), (71, "common " * 9)]
+    words = [w for _, t in rows for w in (t or "").split()]
+    of = lambda w: lm.token_slots([w.encode()])[0][lm.SIDE]
+    flat = lm.train(make(rows))
+
+    def want(text):
+        slots, place = lm.token_slots([text.encode()])
+        alone = lm.log_probs(lm.Weights(flat), lm.context(slots, place), slots[place]).sum()
+        return alone + sum(math.log((words.count(w) + 1) / (sum(of(v) == of(w) for v in words) + sum(of(v) == of(w) for v in set(words)) + 1)) for w in text.split())
+
+    for frequent in (lm.FREQUENT, 4):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        counts = lm.word_counts(make(rows))
+        assert len(counts.words) == (len(set(words)) if frequent > 4 else 0) or len(counts.words) <= frequent
+        got = lm.score(make(rows + more), flat, counts).collect()
+        assert len(got) == len(rows) + len(more) and sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i, _ in rows + more)
+        by = {r.doc_id: r for r in got}
+        assert by[62].n_tokens == 0 and by[62].log_likelihood == 0 and by[63].mean_log_prob is None
+        for i, t in [(j, u) for j, u in rows + more if u and j in (0, 7, 60, 61, 70, 71, None)]:
+            assert by[i].log_likelihood == pytest.approx(want(t), rel=1e-4)
+        assert by[61].log_likelihood > by[60].log_likelihood > by[70].log_likelihood
+    nothing = lm.word_counts(make([]))
+    assert lm.score(make([]), flat, nothing).collect() == [] and lm.score(make(more), flat, nothing).count() == 2
+
+
 def test_warc_framing():
     r = random.Random(1)
     for n in (0, 1, 8191, 8192, 8193, 70000):

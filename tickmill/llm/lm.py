@@ -3,17 +3,26 @@
 Every word is predicted from the SIDE words on either side of it. Words are hashed into
 CLASSES x MEMBERS slots; the probability of a slot is that of its class times that of
 the member within the class, each an exact softmax, so the conditionals are
-normalised. Training is synchronous and distributed: in each round every task starts from the
+normalised. A word's share of its slot comes from the counts of all words of the
+corpus, a distributed table that grows with it: (count + 1) of the slot's count + words + 1,
+where one stands for the words that were never seen. Training is synchronous and distributed: in each round every task starts from the
 same weights, takes Adam steps over its share of the positions of all of its documents
 (every position is predicted in one of the rounds)
 and sends its weights, which are averaged by slices on the executors. A document's score
 is the sum of its words' conditional log-probabilities.
+
+Words with at least one in FREQUENT of all occurrences (so at most FREQUENT words) are
+broadcast with their counts; the occurrences of others go to the counts' buckets
+and come back as one sum for each document and bucket.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +34,9 @@ SLOTS = CLASSES * MEMBERS
 ROUNDS, MASK = 2, 2
 STEP, RATE, SLICES = 4096, 0.01, 16
 _PAD = SLOTS  # stands beyond either end of a text
+FREQUENT = 1 << 16
+#: Distinct words that a task holds before it sends their counts, and words in a row of the table.
+HELD, PIECE = 1 << 20, 1 << 17
 
 
 class Weights:
@@ -52,12 +64,22 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def token_slots(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(slots of the words of all parts with SIDE pads before and after each part, positions of real words' parts: first padded index of each and the total)."""
+    slots, place, _ = _tokens(parts)
+    return slots, place
+
+
+def slot_of(h: np.ndarray) -> np.ndarray:
+    return ((h >> np.uint64(20)) % np.uint64(SLOTS)).astype(np.int64)
+
+
+def _tokens(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """token_slots, and the words' hashes."""
     _, _, _, h, at = common.word_table(parts)
     n = np.diff(at)
     out = np.full(int(n.sum()) + 2 * SIDE * len(parts), _PAD, np.int64)
     place = np.arange(int(n.sum())) + np.repeat(2 * SIDE * np.arange(len(parts)) + SIDE, n)
-    out[place] = (h >> np.uint64(20)) % np.uint64(SLOTS)
-    return out, np.r_[place, 0][:-1] if len(place) else np.empty(0, np.int64)
+    out[place] = slot_of(h)
+    return out, np.r_[place, 0][:-1] if len(place) else np.empty(0, np.int64), h
 
 
 def context(slots: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -180,17 +202,118 @@ def train(docs: DataFrame, rounds: int = ROUNDS, mask: int = MASK, batch: int =
     return flat
 
 
-def score(docs: DataFrame, flat: np.ndarray) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (summed conditional log-probabilities), mean_log_prob of every row; 0 and null for texts without words."""
-    shared = docs.sparkSession.sparkContext.broadcast(flat)
+class Counts(NamedTuple):
+    """Counts of the words of a corpus; the table (bucket, words, counts) stays distributed."""
 
-    def run(batches):
-        w = Weights(shared.value.copy())
+    table: DataFrame
+    buckets: int
+    log_total: np.ndarray  # of each slot: log(occurrences + distinct words + 1)
+    words: np.ndarray  # the frequent words' hashes, ascending
+    counts: np.ndarray
+
+
+def _summed(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words, ascending, and their summed counts."""
+    w, c = np.concatenate([*words, np.empty(0, np.uint64)]), np.concatenate([*counts, np.empty(0, np.int64)])
+    order = np.argsort(w, kind="stable")
+    w = w[order]
+    first = np.flatnonzero(common.first_of_runs(w))
+    return w[first], np.add.reduceat(c[order], first) if len(first) else c
+
+
+def word_counts(docs: DataFrame) -> Counts:
+    """Counts of every word of all documents."""
+    spark = docs.sparkSession
+    n = common.partitions(spark)
+
+    def tally(batches):
+        words, counts = [], []
+
+        def sent():
+            for b, x in common.blobs((words[0] % np.uint64(n)).astype(np.int64), {"words": words[0], "counts": counts[0]}):
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([x["words"]], pa.binary()), pa.array([x["counts"]], pa.binary())], ["bucket", "words", "counts"])
+
+        for batch in batches:
+            parts = common.texts(batch)
+            for i, j in common.groups([len(p) for p in parts], 1 << 20):
+                w, c = np.unique(common.word_table(parts[i:j])[3], return_counts=True)
+                words.append(w)
+                counts.append(c.astype(np.int64))
+                if sum(map(len, words)) > 2 * HELD:
+                    words, counts = ([x] for x in _summed(words, counts))
+                    if len(words[0]) > HELD:
+                        yield from sent()
+                        words, counts = [], []
+        if words:
+            words, counts = ([x] for x in _summed(words, counts))
+            yield from sent()
+
+    def total(batches):
+        got = common.gathered(batches, words=np.uint64, counts=np.int64)
+        w, c = _summed([got["words"]], [got["counts"]])
+        for i in range(0, len(w), PIECE):
+            yield pa.RecordBatch.from_arrays([pa.array([int(w[i] % np.uint64(n))], pa.int32()), pa.array([w[i : i + PIECE].tobytes()], pa.binary()), pa.array([c[i : i + PIECE].tobytes()], pa.binary())], ["bucket", "words", "counts"])
+
+    kind = "bucket int, words binary, counts binary"
+    table = common.settled(docs.select("text").mapInArrow(tally, kind).repartitionById(n, F.col("bucket")).mapInArrow(total, kind))
+
+    def slots(batches):
+        found, distinct = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for w, c in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist()):
+                at = slot_of(np.frombuffer(w, np.uint64))
+                np.add.at(found, at, np.frombuffer(c, np.int64))
+                distinct += np.bincount(at, minlength=SLOTS)
+        some = np.flatnonzero(distinct)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some]), pa.array(distinct[some])], ["slot", "found", "words"])
+
+    found, both = 0, np.zeros(SLOTS, np.int64)
+    for r in table.mapInArrow(slots, "slot long, found long, words long").groupBy("slot").agg(F.sum("found").alias("found"), F.sum("words").alias("words")).collect():  # SLOTS rows
+        both[r.slot] = r.found + r.words
+        found += r.found
+
+    def frequent(batches):
         for batch in batches:
+            for w, c in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist()):
+                w, c = np.frombuffer(w, np.uint64), np.frombuffer(c, np.int64)
+                often = c >= max(1, -(-found // FREQUENT))
+                yield pa.RecordBatch.from_arrays([pa.array([w[often].tobytes()], pa.binary()), pa.array([c[often].tobytes()], pa.binary())], ["words", "counts"])
+
+    rows = table.mapInArrow(frequent, "words binary, counts binary").collect()  # at most FREQUENT words
+    words, counts = _summed([np.frombuffer(bytes(r["words"]), np.uint64) for r in rows], [np.frombuffer(bytes(r["counts"]), np.int64) for r in rows])
+    return Counts(table, n, np.log(both + 1.0), words, counts)
+
+
+def log_counts(words: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log(count + 1) of each word asked for, and whether it is among the (ascending) words; 0 if not."""
+    if not len(words):
+        return np.zeros(len(asked)), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
+    known = words[at] == asked
+    return np.where(known, np.log(counts[at] + 1.0), 0.0), known
+
+
+def _with_means(base: pa.RecordBatch, total: np.ndarray) -> pa.RecordBatch:
+    count = base.column("n_tokens")
+    return pa.RecordBatch.from_arrays([base.column("doc_id"), count, pa.array(total), pa.array([x / n if n else None for x, n in zip(total, count.to_pylist())], pa.float64())], ["doc_id", "n_tokens", "log_likelihood", "mean_log_prob"])
+
+
+def score(docs: DataFrame, flat: np.ndarray, counts: Counts | None = None) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (summed conditional log-probabilities), mean_log_prob of every row; 0 and null for texts without words.
+
+    The probabilities are the words' with counts, else their slots'.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((flat, counts and counts[1:]))
+
+    def run(batches):
+        flat, known = shared.value
+        w = Weights(flat.copy())
+        for turn, batch in enumerate(batches):
             parts = common.texts(batch)
             total, count = np.zeros(len(parts)), np.zeros(len(parts), np.int64)
+            asked, rows = [np.empty(0, np.uint64)], [np.empty(0, np.uint32)]
             for i, j in common.groups([len(p) for p in parts], 1 << 20):
-                slots, place = token_slots(parts[i:j])
+                slots, place, h = _tokens(parts[i:j])
                 first = np.flatnonzero(slots == _PAD)  # 2 * SIDE pads stand for each part
                 of = i + (np.searchsorted(first, place) + SIDE) // (2 * SIDE) - 1 + (SIDE == 0)
                 for a in range(0, len(place), 16384):
@@ -198,12 +321,80 @@ def score(docs: DataFrame, flat: np.ndarray) -> DataFrame:
                     lp = log_probs(w, context(slots, at), slots[at])
                     total += np.bincount(of[a : a + 16384], lp, len(parts))
                 count += np.bincount(of, minlength=len(parts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count), pa.array(total), pa.array([x / n if n else None for x, n in zip(total, count.tolist())], pa.float64())], ["doc_id", "n_tokens", "log_likelihood", "mean_log_prob"])
+                if known:
+                    lc, found = log_counts(*known[2:], h)
+                    total += np.bincount(of, lc - known[1][slots[place]], len(parts))
+                    asked.append(h[~found])
+                    rows.append(of[~found].astype(np.uint32))
+            base = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count), pa.array(total)], ["doc_id", "n_tokens", "log_likelihood"])
+            if not known:
+                yield _with_means(base, total)
+                continue
+            n, task = known[0], TaskContext.get().partitionId()
+            out = [(task % n, task << 32 | turn, _packed(base), None, None)]
+            h = np.concatenate(asked)
+            out += [(b, task << 32 | turn, None, x["words"], x["counts"]) for b, x in common.blobs((h % np.uint64(n)).astype(np.int64), {"words": h, "counts": np.concatenate(rows)})]
+            yield _batch(out)
+
+    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, log_likelihood double, mean_log_prob double"
+    if counts is None:
+        return docs.select("doc_id", "text").mapInArrow(run, kind)
+    n = counts.buckets
+
+    def answer(batches):
+        """The sums of log(count + 1) of each batch's documents over this bucket's words; unseen words have 0. Base rows pass."""
+        words, found, asked = [], [], []
+        for batch in batches:
+            for _, chunk, base, w, c in zip(*(batch.column(x).to_pylist() for x in _FIELDS)):
+                if base is not None:
+                    yield _batch([((chunk >> 32) % n, chunk, base, None, None)])
+                elif chunk < 0:
+                    words.append(np.frombuffer(w, np.uint64))
+                    found.append(np.frombuffer(c, np.int64))
+                else:
+                    asked.append((chunk, w, c))
+        words, found = _summed(words, found)
+        for chunk, w, c in asked:
+            rows, at = np.unique(np.frombuffer(c, np.uint32), return_inverse=True)
+            sums = np.bincount(at, log_counts(words, found, np.frombuffer(w, np.uint64))[0], len(rows))
+            yield _batch([((chunk >> 32) % n, chunk, None, sums.astype(np.float32).tobytes(), rows.tobytes())])
+
+    def finish(batches):
+        bases, sums = {}, {}
+        for batch in batches:
+            for _, chunk, base, w, c in zip(*(batch.column(x).to_pylist() for x in _FIELDS)):
+                if base is not None:
+                    bases[chunk] = base
+                else:
+                    sums.setdefault(chunk, []).append((w, c))
+        for chunk, packed in bases.items():
+            base = pa.ipc.open_stream(packed).read_next_batch()
+            total = np.array(base.column("log_likelihood"))
+            for w, c in sums.pop(chunk, []):
+                total[np.frombuffer(c, np.uint32)] += np.frombuffer(w, np.float32)
+            yield _with_means(base, total)
+
+    sent = docs.select("doc_id", "text").mapInArrow(run, _KIND)
+    table = counts.table.select("bucket", F.lit(-1).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("base"), "words", "counts")
+    back = sent.unionByName(table).repartitionById(n, F.col("bucket")).mapInArrow(answer, _KIND)
+    return back.repartitionById(n, F.col("bucket")).mapInArrow(finish, kind)
+
+
+_FIELDS = ["bucket", "chunk", "base", "words", "counts"]
+_KIND = "bucket int, chunk long, base binary, words binary, counts binary"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], _FIELDS)
+
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log_prob double")
+def _packed(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as f:
+        f.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
 def op7(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
-    return score(docs, train(docs))
+    return score(docs, train(docs), word_counts(docs))
