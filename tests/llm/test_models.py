@@ -191,6 +191,18 @@ def test_languages(make):
     assert [r.lang_pred for r in langid.identify(make([(1, "text", None)])).collect()] == ["und"] and langid.identify(make([])).collect() == []
 
 
+def test_every_language_is_learned(make):
+    """Over 200 labels, one with long texts only."""
+    r = random.Random(7)
+    text = lambda k, n: "".join(chr(0x4E00 + 9 * k + r.randrange(9)) + " " * (r.random() < 0.3) for _ in range(n))
+    ids = iter(i for i in range(10**6) if not kept_out(i, 5, 0))
+    rows = [(next(ids), text(k, 60), f"l{k:03}") for k in range(203) for _ in range(2)]
+    rows += [(next(ids), text(300, 60), "zz"), *[(next(ids), text(310, 100_500), "long") for _ in range(3)]]
+    by = {x.doc_id: x.lang_pred for x in langid.identify(make(rows)).collect()}
+    assert by[rows[406][0]] == "zz" and all(by[i] == "long" for i, _, v in rows if v == "long")
+    assert sum(by[i] == v for i, _, v in rows) > 0.97 * len(rows)
+
+
 def test_kernel():
     a, b = b"abab", b"abc"
     grams = lambda t: {t[i : i + n] for t in [b" " + t + b" "] for n in (1, 2, 3) for i in range(len(t) - n + 1)}

@@ -10,9 +10,11 @@ scored in batches by two matrix products.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -21,6 +23,8 @@ SPECTRUM = 3
 BUCKETS = 1 << 13
 #: Labelled texts per language that the model is fitted on, and those of them that are landmarks.
 SAMPLE, LANDMARKS = 400, 24
+#: Landmarks of all languages together: with more languages each has fewer of them, one at least.
+ALL_LANDMARKS = 4800
 RIDGE = 1e-2
 
 
@@ -37,6 +41,14 @@ def presence(parts: list[bytes]) -> np.ndarray:
     return out
 
 
+def packed(parts: list[bytes]) -> np.ndarray:
+    return np.packbits(presence(parts).astype(bool), axis=1)
+
+
+def unpacked(bits: list[bytes]) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1).astype(np.float32)
+
+
 def has_letter(text: bytes) -> bool:
     return any(map(str.isalpha, text.decode("utf-8", "replace")))
 
@@ -48,21 +60,39 @@ class Model:
 
     @classmethod
     def fit(cls, parts: list[bytes], languages: list[str]) -> Model:
+        return cls.fit_packed([r.tobytes() for r in packed(parts)], languages)
+
+    @classmethod
+    def fit_packed(cls, bits: list[bytes], languages: list[str]) -> Model:
+        """Fitted on packed presence rows, a block at a time."""
         names = sorted(set(languages))
-        x = presence(parts)
-        seen = {n: [i for i, v in enumerate(languages) if v == n][:LANDMARKS] for n in names}
-        model = cls(names, x[[i for n in names for i in seen[n]]], np.zeros(0), np.zeros(0))
-        k = model.kernel(x)
-        marks = model.kernel(x[[i for n in names for i in seen[n]]])
+        number = {v: i for i, v in enumerate(names)}
+        most = max(1, min(LANDMARKS, ALL_LANDMARKS // len(names)))
+        seen: dict[str, list[int]] = {n: [] for n in names}
+        for i, v in enumerate(languages):
+            if len(seen[v]) < most:
+                seen[v].append(i)
+        x = unpacked([bits[i] for n in names for i in seen[n]])
+        model = cls(names, x, np.zeros(0), np.zeros(0))
+        marks = model.kernel(x)
         value, vector = np.linalg.eigh((marks + marks.T) / 2)
         keep = value > 1e-6 * value.max()
         root = vector[:, keep] / np.sqrt(value[keep])  # Nystrom: K_mm^-1/2
-        phi = k @ root
-        y = np.array([[1.0 if v == n else -1.0 for n in names] for v in languages])
-        weight = np.array([1 / languages.count(v) for v in languages])[:, None] / len(names)  # each language counts alike
-        mean, mid = (weight * phi).sum(0), (weight * y).sum(0)
-        a = (phi - mean).T @ (weight * (phi - mean)) + RIDGE / len(names) * np.eye(phi.shape[1])
-        w = np.linalg.solve(a, (phi - mean).T @ (weight * (y - mid)))
+        size = Counter(languages)
+        mean, mid = np.zeros(root.shape[1]), np.zeros(len(names))
+        square, cross = np.zeros((root.shape[1], root.shape[1])), np.zeros((root.shape[1], len(names)))
+        for i in range(0, len(bits), 1024):
+            of = languages[i : i + 1024]
+            phi = (model.kernel(unpacked(bits[i : i + 1024])) @ root).astype(np.float64)
+            y = np.full((len(of), len(names)), -1.0)
+            y[np.arange(len(of)), [number[v] for v in of]] = 1
+            weight = np.array([1 / size[v] for v in of])[:, None] / len(names)  # each language counts alike
+            mean += (weight * phi).sum(0)
+            mid += (weight * y).sum(0)
+            square += phi.T @ (weight * phi)
+            cross += phi.T @ (weight * y)
+        a = square - np.outer(mean, mean) + RIDGE / len(names) * np.eye(len(mean))
+        w = np.linalg.solve(a, cross - np.outer(mean, mid))
         model.weights, model.bias = (root @ w).astype(np.float32), (mid - mean @ w).astype(np.float32)
         return model
 
@@ -74,28 +104,35 @@ class Model:
 
 
 def sample(docs: DataFrame, modulus: int, held: int) -> list:
-    """At most SAMPLE labelled (lang, text) rows of each language, those of smallest id hash; texts longer than 100,000 characters aren't sampled."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % modulus != held))
-    languages = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()]
-    ids: list = []
-    for lang in languages:  # a top-k for each language: partial in every task
-        ids += rows.where(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
-    picked = docs.sparkSession.createDataFrame(ids or [], "doc_id " + docs.schema["doc_id"].dataType.simpleString())
-    found = rows.select("doc_id", "lang", "text").join(F.broadcast(picked.distinct()), "doc_id").where(F.col("text").isNotNull() & (F.length("text") <= 100_000))
-    once = found.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r"))  # an id counts once
-    return sorted(once.select("doc_id", "r.lang", "r.text").collect())
+    """At most SAMPLE labelled (doc_id, lang, packed presence) rows of every language, those of smallest id hash among texts that aren't null; of any length."""
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % modulus != held))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")  # the limit holds in every task before the shuffle
+    picked = rows.select("doc_id", "lang").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE).drop("rank")
+    picked = common.settled(picked)
+
+    def reduce(batches):
+        for batch in batches:
+            texts = common.texts(batch)
+            for i in range(0, len(texts), 256):
+                bits = [r.tobytes() for r in packed(texts[i : i + 256])]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, len(bits)), batch.column("lang").slice(i, len(bits)), pa.array(bits, pa.binary())], ["doc_id", "lang", "bits"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = rows.select("doc_id", "lang", "text").join(common.maybe_broadcast(picked), ["doc_id", "lang"]).select("doc_id", "lang", "text")
+    once = found.mapInArrow(reduce, f"doc_id {kind}, lang string, bits binary").groupBy("doc_id", "lang").agg(F.min("bits").alias("bits"))  # an id counts once
+    return sorted(tuple(r) for r in once.collect())
 
 
 def identify(docs: DataFrame, modulus: int = 5, held: int = 0) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of docs.
 
     `und` with score 0 for null texts, texts without a letter, and everything if
-    no row is labelled. Up to 200 languages are learned, the most frequent ones.
+    no row is labelled. Every language that labels a text outside the held-out part is learned.
     The score is the winner's share of the languages' softmax over scores. Ties go to
     the first language in order of name.
     """
     learned = sample(docs, modulus, held)
-    model = Model.fit([t.encode() for _, _, t in learned], [v for _, v, _ in learned]) if learned else None
+    model = Model.fit_packed([bytes(x) for _, _, x in learned], [v for _, v, _ in learned]) if learned else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
