@@ -210,72 +210,100 @@ def test_kernel():
     assert x[0] @ x[1] == len(grams(a) & grams(b)) and x.sum(1).tolist() == [len(grams(a)), len(grams(b))]
 
 
-def test_lm_is_normalised_and_learns(make):
-    w = lm.Weights()
-    ctx = np.random.default_rng(1).integers(0, lm.SLOTS, (3, 4))
+def test_lm_network():
+    """Probabilities of all slots add up to one; the gradient is that of the loss."""
+    r = np.random.default_rng(1)
+    w = lm.Weights.initial(r.integers(0, 50, lm.SLOTS))
+    w.wc[:-1], w.wm[:, :-1] = r.normal(0, 0.3, w.wc[:-1].shape), r.normal(0, 0.3, w.wm[:, :-1].shape)
+    ctx = list(r.integers(0, lm.SLOTS + 1, (4, 3)))
     total = sum(np.exp(lm.log_probs(w, ctx, np.full(3, s))) for s in range(lm.SLOTS))
     assert total == pytest.approx(np.ones(3), rel=1e-3)
-    g = lm.gradient(w, ctx, np.array([5, 70, 5]))
-    for i in np.argsort(-abs(g))[:10]:
+    target = np.array([5, 70, 5])
+    g = lm.gradient(w, ctx, target)
+    for i in np.argsort(-abs(g))[:40:3]:
         up, down = w.flat.copy(), w.flat.copy()
         up[i] += 1e-2
         down[i] -= 1e-2
-        loss = lambda f: -lm.log_probs(lm.Weights(f), ctx, np.array([5, 70, 5])).mean()
+        loss = lambda f: -lm.log_probs(lm.Weights(f), ctx, target).astype(float).mean()
         assert (loss(up) - loss(down)) / 2e-2 == pytest.approx(float(g[i]), rel=0.05, abs=1e-3)
-    r = random.Random(3)
-    rows = [(i, " ".join(f"{a} then{a}" for a in (r.choice("abcdefgh") for _ in range(150)))) for i in range(60)] + [(900, None), (901, ""), (902, "one")]
-    flat = lm.train(make(rows), mask=2, batch=128)
-    got = {r.doc_id: r for r in lm.score(make(rows), flat).collect()}
-    assert got[900].n_tokens == got[901].n_tokens == 0 and got[900].log_likelihood == 0 and got[901].mean_log_prob is None and got[902].n_tokens == 1
-    assert got[0].n_tokens == 300 and got[0].mean_log_prob > -6 > -math.log(lm.SLOTS)
-    # a text's score is its own: brute force over its words
-    slots, place = lm.token_slots([rows[0][1].encode()])
-    alone = lm.log_probs(lm.Weights(flat), lm.context(slots, place), slots[place]).sum()
-    assert got[0].log_likelihood == pytest.approx(float(alone), rel=1e-4)
-    assert lm.score(make([]), lm.train(make([]))).collect() == []
-
-
-def test_lm_predicts_every_position(make):
-    """With the registered settings; "late" never stands at position 0 or 1 of 16."""
-    rows = [(i, "early early " + "late " * 14) for i in range(3000)]
-    slots, place = lm.token_slots([rows[0][1].encode()])
-    lp = lm.log_probs(lm.Weights(lm.train(make(rows))), lm.context(slots, place), slots[place])
-    assert lp[2:].mean() > -math.log(lm.SLOTS) + 1
-    with pytest.raises(ValueError):
-        lm.train(make(rows), rounds=2, mask=16)
-
-
-def test_lm_scores_words(make, monkeypatch):
-    """A word's share of its slot, from counts of all documents: brute force, frequent words broadcast or none."""
-    names, slot = {}, lm.token_slots([b"common"])[0][lm.SIDE]
-    for i in range(40000):  # two words of one slot
-        if lm.token_slots([f"q{i}".encode()])[0][lm.SIDE] == slot:
-            names.setdefault(len(names), f"q{i}")
-    rare, unseen = names[0], names[1]
-    rows = [(i, "common word here " * 5 + f"own{i}") for i in range(50)] + [(60, f"{rare} word here"), (61, "common word here"), (61, "common word here"), (None, "common word here"), (62, None), (63, "")]
-    more = [(70, f"{unseen} word here"), (71, "common " * 9)]
+
+
+def lm_scores(docs):
+    counts = lm.word_counts(docs)
+    pieces = lm.coded(docs, counts)
+    flat = lm.train(pieces, counts)
+    return flat, counts, lm.score(pieces, flat, counts).collect()
+
+
+def lm_slots(words):
+    """Slots by definition: the most frequent words have their own, others share one by their ending."""
+    ranked = sorted(set(words), key=lambda x: (-words.count(x), int(lm.hashed([x.encode()])[0][0])))
+    often = [x for x in ranked if words.count(x) >= max(1, -(-len(words) // lm.FREQUENT))]
+
+    def shared(x):
+        e = 0
+        for k in range(1, lm.ENDING + 1):
+            e = (e * 257 + (x.encode()[-k] if len(x.encode()) >= k else 0)) % 2**32
+        return lm.OWN + (e * 2654435761 % 2**32 >> 8) % (lm.SLOTS - lm.OWN)
+
+    own = {x: i for i, x in enumerate(often[: lm.OWN])}
+    return {x: own.get(x, shared(x)) for x in ranked}
+
+
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 4])
+def test_lm_scores_words(make, monkeypatch, frequent):
+    """Scores against their definition word by word, with frequent words broadcast or none; the others' counts are joined."""
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    rows = [(i, "common word here " * 5 + " ".join(f"{x}{i}" for x in ("own", "and", "but", "a", "e", "i", "o", "u", "more"))) for i in range(50)] + [(60, "rare word here"), (61, "common word here"), (61, "common word here"), (None, "common word here"), (62, None), (63, ""), (64, " \n")]
+    flat, _, got = lm_scores(make(rows))
     words = [w for _, t in rows for w in (t or "").split()]
-    of = lambda w: lm.token_slots([w.encode()])[0][lm.SIDE]
-    flat = lm.train(make(rows))
+    slot = lm_slots(words)
+    w = lm.Weights(flat)
+    groups = {}
+    for x in set(words):
+        groups.setdefault(slot[x], []).append(x)
 
     def want(text):
-        slots, place = lm.token_slots([text.encode()])
-        alone = lm.log_probs(lm.Weights(flat), lm.context(slots, place), slots[place]).sum()
-        return alone + sum(math.log((words.count(w) + 1) / (sum(of(v) == of(w) for v in words) + sum(of(v) == of(w) for v in set(words)) + 1)) for w in text.split())
-
-    for frequent in (lm.FREQUENT, 4):
-        monkeypatch.setattr(lm, "FREQUENT", frequent)
-        counts = lm.word_counts(make(rows))
-        assert len(counts.words) == (len(set(words)) if frequent > 4 else 0) or len(counts.words) <= frequent
-        got = lm.score(make(rows + more), flat, counts).collect()
-        assert len(got) == len(rows) + len(more) and sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i, _ in rows + more)
-        by = {r.doc_id: r for r in got}
-        assert by[62].n_tokens == 0 and by[62].log_likelihood == 0 and by[63].mean_log_prob is None
-        for i, t in [(j, u) for j, u in rows + more if u and j in (0, 7, 60, 61, 70, 71, None)]:
-            assert by[i].log_likelihood == pytest.approx(want(t), rel=1e-4)
-        assert by[61].log_likelihood > by[60].log_likelihood > by[70].log_likelihood
-    nothing = lm.word_counts(make([]))
-    assert lm.score(make([]), flat, nothing).collect() == [] and lm.score(make(more), flat, nothing).count() == 2
+        ids = [lm.SLOTS] * lm.SIDE + [slot[x] for x in text.split()] + [lm.SLOTS] * lm.SIDE
+        total = 0.0
+        for i, x in enumerate(text.split(), lm.SIDE):
+            a = w.bias.astype(float).copy()
+            for k, d in enumerate((-2, -1, 1, 2)):
+                a += w.enter[k][ids[i + d]]
+            h = np.r_[a / (1 + abs(a)), 1]
+            c, m = ids[i] % lm.CLASSES, ids[i] // lm.CLASSES
+            for z, at in ((h @ w.wc, c), (h @ w.wm[c], m)):
+                total += z[at] - math.log(np.exp(z).sum())
+            if ids[i] >= lm.OWN:
+                same = groups[ids[i]]
+                total += math.log((words.count(x) + 1) / (sum(words.count(y) for y in same) + len(same) + 1))
+        return total
+
+    assert len(got) == len(rows) and sorted(r.doc_id or 0 for r in got) == sorted(i or 0 for i, _ in rows)
+    by = {r.doc_id: r for r in got}
+    for i in (62, 63, 64):
+        assert (by[i].n_tokens, by[i].log_likelihood, by[i].mean_log_prob) == (0, 0, None)
+    for i, t in [(j, u) for j, u in rows if j in (0, 7, 60, 61, None)]:
+        assert by[i].log_likelihood == pytest.approx(want(t), rel=1e-4) and by[i].n_tokens == len(t.split())
+    assert by[61].log_likelihood > by[60].log_likelihood
+
+
+def test_lm_learns_and_ignores_partitions(spark, make):
+    """Held against word counts on sentences whose words follow from their neighbours; every word is a target, however the input is cut."""
+    r = random.Random(3)
+    rows = [(i, " ".join(f"{a} then{a}" for a in (r.choice("abcdefgh") for _ in range(100)))) for i in range(300)]
+    words = [w for _, t in rows for w in t.split()]
+    unigram = sum(c / len(words) * math.log(c / len(words)) for c in (words.count(x) for x in set(words)))
+    scores = []
+    for n in (1, 4, 16):
+        flat, counts, got = lm_scores(make(rows).repartition(n))
+        scores.append({x.doc_id: x.log_likelihood for x in got})
+        assert sum(x.log_likelihood for x in got) / len(words) > unigram + 0.4
+        pieces = lm.coded(make(rows).repartition(n), counts)
+        assert sum(len(bytes(x.slots)) // 2 for x in pieces.select("slots").collect()) == len(words)
+    assert all(s[i] == pytest.approx(scores[0][i], rel=1e-5) for s in scores for i in s)
+    empty = make([])
+    assert lm_scores(empty)[2] == [] and [x.n_tokens for x in lm_scores(make([(1, None), (1, None)]))[2]] == [0, 0]
 
 
 def test_warc_framing():
