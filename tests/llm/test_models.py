@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -130,6 +131,53 @@ def test_quality_gradients():
             assert (up - down) / 4e-3 == pytest.approx(float(fg[i]), rel=0.25, abs=3e-2)
 
 
+def quality_brute(net, text):
+    """The network's definition, a place at a time."""
+    pairs = (text + b"\0" * (2 * quality.WIDTH + 1))[: 2 * (-(-len(text) // 2) + quality.WIDTH)]
+    values = []
+    for i in range(max(1, -(-len(text) // 2))):
+        raw = pairs[2 * i : 2 * i + 2 * quality.WIDTH]
+        raw += b"\0" * (2 * quality.WIDTH - len(raw))
+        values.append(sum(net.embed[b] @ net.filters[j] for j, b in enumerate(raw)))
+    hops = -(-(len(text) + 2 * quality.WIDTH) // (2 * quality.HOP))
+    top = [np.max(values[k * quality.HOP : (k + 1) * quality.HOP] or [np.full(quality.FILTERS, -1e9)], axis=0) for k in range(hops)]
+    chunk = [np.maximum(top[k], top[min(k + 1, hops - 1)]) for k in range(hops)]
+    x = np.maximum(np.array(chunk) + net.bias, 0)
+    return 1 / (1 + math.exp(-float(np.r_[x.mean(0), x.max(0)] @ net.out + net.base[0])))
+
+
+def test_quality_scores_stand_alone():
+    """Brute force; and no score depends on the texts beside it, at lengths around whole hops too."""
+    r = random.Random(4)
+    net = quality.Network()
+    for p in net.params():
+        p += np.random.default_rng(3).normal(0, 0.3, p.shape).astype(np.float32)
+    parts = [bytes(r.randrange(32, 127) for _ in range(n)) for n in (0, 1, 2, 7, 247, 248, 249, 250, 254, 255, 256, 257, 511, 512, 700, 2000)]
+    alone = [float(net.score([p], net.tables())[0]) for p in parts]
+    assert alone == pytest.approx([quality_brute(net, p) for p in parts], abs=1e-4)
+    for _ in range(5):
+        mixed = list(range(len(parts)))
+        r.shuffle(mixed)
+        assert net.score([parts[i] for i in mixed], net.tables()).tolist() == [alone[i] for i in mixed]
+
+
+def test_quality_learns_from_whole_texts(spark, make, monkeypatch):
+    """Junk that stands at one place of long texts is learned; a small bound on bytes leaves one text of each class at least."""
+    r = random.Random(5)
+    ids = [i for i in range(200) if not kept_out(i, 5, 0)]
+    rows = []
+    for i in ids:
+        w = prose(r, 3000).split()
+        if i % 2:
+            w[777:790] = ["%%%~~~"] * 13
+        rows.append((i, " ".join(w)))
+    lab = spark.createDataFrame([(i, 1 - i % 2) for i in ids], "doc_id long, quality int")
+    got = quality.classify(make(rows), quality.fit(make(rows), lab), ["doc_id"]).collect()
+    assert sum(x.predicted == 1 - x.doc_id % 2 for x in got) > 0.95 * len(ids)
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 10)
+    assert np.isfinite(quality.fit(make(rows), lab).out).all()
+
+
 def test_whole_text_counts():
     network = quality.Network()
     tables = network.tables()
@@ -153,7 +201,7 @@ def segments_brute(s):
 
 
 def test_segments():
-    lex = toxicity.Lexicon([np.ones((2, 4))] * 3)
+    lex = toxicity.Lexicon([(np.arange(4, dtype=np.uint64), np.ones((2, 4)))] * 3, np.ones(2))
     r = random.Random(2)
     for _ in range(300):
         s = np.array([r.choice([-3.1, -1.07, -0.53, 0.61, 1.29, 2.83]) + r.random() * 1e-3 for _ in range(r.randrange(0, 25))])
@@ -177,6 +225,68 @@ def test_toxicity(spark, make, marked):
     assert [r.predicted for r in toxicity.score(make([(1, "x")]), empty).collect()] == [0]
 
 
+def toxicity_brute(rows, labels, modulus, held):
+    """Word scores by their definition from dictionaries of documents."""
+    plain = lambda t: re.sub(r"[^a-z0-9\x80-\U0010ffff]", " ", (t or "").translate({c: c + 32 for c in range(65, 91)})).split()
+    y = {i: t for i, _, t in labels if t is not None and not kept_out(i, modulus, held)}
+    cuts = (None, 6, 4)
+    tables = [{}, {}, {}]
+    for i, text in rows:
+        if i in y:
+            for level, c in enumerate(cuts):
+                for w in {x.encode()[:c] for x in plain(text)}:
+                    tables[level].setdefault(w, [0, 0])[y[i]] += 1
+    clean, toxic = (max(1, sum(v[k] for v in tables[0].values())) for k in (0, 1))
+    share = toxic / (clean + toxic)
+
+    def score(word):
+        p = share
+        for level in (2, 1, 0):
+            c, t = tables[level].get(word.encode()[: cuts[level]], (0, 0))
+            p = (t + toxicity.PRIOR[level] * p) / (c + t + toxicity.PRIOR[level])
+        return max(toxicity.FLOOR, math.log(p / (1 - p)) - math.log(share / (1 - share)) - toxicity.DRIFT)
+
+    return lambda text: [score(w) for w in plain(text)]
+
+
+def test_toxicity_brute_force(spark, make, marked):
+    """Scores and segments of every text from dictionaries, with the fitted calibration."""
+    rows, labels = marked
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    lex = toxicity.fit(make(rows), lab)
+    words = toxicity_brute(rows, labels, 3, 1)
+    assert lex.docs.tolist() == [sum(t == v and not kept_out(i, 3, 1) for i, _, t in labels) for v in (0, 1)]
+    by = {x.doc_id: x for x in toxicity.score(make(rows), lex).collect()}
+    for i, text in rows[:60]:
+        s = words(text)
+        want = []
+        for a, b, x in segments_brute(s) if any(v > 0 for v in s) else []:
+            log_expected = math.log(lex.k * len(s)) - lex.rate * x
+            if math.exp(log_expected) < toxicity.SIGNIFICANT:
+                want.append((a, b, -math.log(-math.expm1(-math.exp(log_expected))) if log_expected > -20 else -log_expected))
+        got = [(x.first, x.end, x.evidence) for x in by[i].segments]
+        assert [x[:2] for x in got] == [x[:2] for x in want] and [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-3)
+        total = math.log1p(sum(x[2] for x in want))
+        assert by[i].evidence == pytest.approx(math.expm1(total), rel=1e-3, abs=1e-9) and by[i].score == pytest.approx(1 / (1 + math.exp(-lex.curve[0] - lex.curve[1] * total)), rel=1e-3)
+
+
+def test_toxicity_of_one_class(spark, make, marked):
+    rows, labels = marked
+    for v in (0, 1):
+        lab = spark.createDataFrame([(i, 1, v) for i, _, _ in labels] + [(labels[0][0], 1, 0)], "doc_id long, quality int, toxic int")
+        got = toxicity.score(make(rows[:5]), toxicity.fit(make(rows), lab)).collect()
+        assert all(abs(x.score - v) < 0.05 and x.predicted == v for x in got)
+
+
+def test_toxicity_table_size(spark, make, marked, monkeypatch):
+    """A table for fewer words holds those of most documents; the others are scored by their beginnings."""
+    rows, labels = marked
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "LEVELS", ((50, None), (40, 6), (40, 4)))
+    lex = toxicity.fit(make(rows), lab)
+    assert 0 < len(lex.found[0][0]) <= 50 and lex.found[0][1].sum(0).min() > 1
+
+
 def test_languages(make):
     r = random.Random(6)
     sounds = {"en": ["the", "ing", "and", "wh"], "fr": ["eau", "è", "que", "ou"], "de": ["sch", "ü", "ung", "ein"]}
@@ -344,6 +454,23 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.assembled(found.union(found.where("segment = 2"))).where("origin = '90'").first().ok
 
 
+def test_warc_query_on_repeated_pages(spark, tmp_path):
+    """The query itself: repeated rows, an id with several payloads over a segment, null ids, clashing columns."""
+    big, other, shared = "x" * 70000, "y" * 80000, "z" * 1500
+    rows = [(1, big), (1, other), (1, other), (2, shared), (3, shared), (3, shared), (4, None), (None, "lost"), (5, "small"), (5, "small"), (-6, other)]
+    folder = str(tmp_path / "t")
+    spark.createDataFrame([(i, None, t, "x", True, 7) for i, t in rows], "page_id long, url string, html string, digest string, several boolean, held int").write.parquet(f"{folder}/pages.parquet")
+    got = sorted(tuple(r) for r in warc.op1(spark, folder).collect())
+    want = []
+    for i, t in rows:
+        body = (t or "").encode()
+        holder = max((j for j, u in rows if j is not None and (u or "") == (t or "")), default=None)
+        if i is not None:
+            again = len(body) >= 1000 and holder != i
+            want.append((i, len(body), hashlib.sha1(body).hexdigest(), "revisit" if again else "response", holder if again else None))
+    assert [r[:4] for r in got] == [r[:4] for r in sorted(want)] and [r[4] for r in got] == [r[4] for r in sorted(want)]
+
+
 def test_warc_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(pages, str(tmp_path / "w"))

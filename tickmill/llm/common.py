@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most label or id rows that are broadcast (16 bytes a row); beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Most bytes that are broadcast, as rows take them in memory; beyond it the join shuffles.
+BROADCAST_BYTES = 64 << 20
 
 
 #: Bytes of an Arrow batch sent to Python: a worker holds a batch several times over.
@@ -36,15 +36,15 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's, or one of our own where none is set (tests)."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickmill-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    """The folder that driver and executors share: the session's; without one, a temporary folder, which only a local master may use."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not given:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a folder that they share with the driver")
+        given = tempfile.mkdtemp(prefix="tickmill-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(given)
+    return given.rstrip("/")
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -53,9 +53,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def maybe_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """df with a broadcast hint if it holds at most BROADCAST_ROWS narrow rows, else df as it is."""
-    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+def maybe_broadcast(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if its rows, measured, take at most BROADCAST_BYTES, else df as it is; df should be settled, since measuring computes it."""
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    row = F.lit(32 + 8 * len(df.columns)).cast("long")
+    for w in wide:
+        row = row + w
+    return F.broadcast(df) if (df.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
@@ -69,7 +73,7 @@ def with_labels(docs: DataFrame, labels: DataFrame, label: str, modulus: int, he
         .groupBy("doc_id")
         .agg(F.max("y").alias("y"))
     )
-    return docs.select("doc_id", "text").join(maybe_broadcast(y), "doc_id")
+    return docs.select("doc_id", "text").join(maybe_broadcast(settled(y)), "doc_id")
 
 
 def held_out(modulus: int, held: int) -> F.Column:

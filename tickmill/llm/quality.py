@@ -18,15 +18,18 @@ from . import common
 
 DIM, FILTERS, WIDTH, CHUNK = 6, 16, 4, 256
 HOP = CHUNK // 2
-#: Labelled documents of each class that the network is fitted on, and chunks of a long one that it sees then.
-SAMPLE, SAMPLE_CHUNKS = 1000, 16
+#: Labelled documents of each class that the network is fitted on, and bytes of them: as many whole texts, in order of their ids' hashes, as both allow, one at least.
+SAMPLE, SAMPLE_BYTES = 1000, 16 << 20
 STEPS, BATCH, RATE = 400, 48, 0.02
 _LOW = np.float32(-1e9)
 
 
 def layout(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(byte pairs of all texts, each padded to whole hops; which pairs are padding; first hop of each text; its hops)."""
-    hops = np.array([max(1, -(-len(p) // (2 * HOP))) for p in parts])
+    """(byte pairs of all texts, each padded to whole hops; which pairs are padding; first hop of each text; its hops).
+
+    A text is followed by WIDTH pairs of padding at least, so that no filter reaches into the next text.
+    """
+    hops = np.array([-(-(len(p) + 2 * WIDTH) // (2 * HOP)) for p in parts])
     buf = b"".join(p.ljust(2 * HOP * int(h), b"\0") for p, h in zip(parts, hops)) + b"\0" * (2 * WIDTH)
     first = np.cumsum(np.r_[0, hops[:-1]])
     pad = np.zeros(int(hops.sum()) * HOP, bool)
@@ -73,19 +76,27 @@ class Network:
         x = np.maximum(chunk + self.bias, 0)
         return np.hstack([np.add.reduceat(x, first) / hops[:, None], np.maximum.reduceat(x, first)])
 
+    def maxima(self, pairs: np.ndarray, pad: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(greatest value, its place) of each filter in each hop; long texts are convolved piece by piece."""
+        top, place, step = [], [], 256 * HOP
+        for i in range(0, len(pad), step):
+            conv = self.convolve(pairs[i : i + step + WIDTH], pad[i : i + step], tables)
+            place.append(conv.argmax(1))
+            top.append(np.take_along_axis(conv, place[-1][:, None, :], 1)[:, 0])
+        return np.concatenate(top), np.concatenate(place)
+
     def score(self, parts: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
-        """Probability of each text; long batches are convolved piecewise."""
+        """Probability of each text, whatever the others are."""
         pairs, pad, first, hops = layout(parts)
         step = 256 * HOP
         hop_max = np.concatenate([self.convolve(pairs[i : i + step + WIDTH], pad[i : i + step], tables).max(1) for i in range(0, len(pad), step)])
-        z = self.pooled(self.chunks(hop_max, first, hops), first, hops) @ self.out + self.base
+        x = self.pooled(self.chunks(hop_max, first, hops), first, hops)
+        z = (x * self.out).sum(1, dtype=np.float64) + float(self.base[0])
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def gradients(self, parts: list[bytes], y: np.ndarray, weight: np.ndarray, tables: list[np.ndarray]) -> list[np.ndarray]:
         pairs, pad, first, hops = layout(parts)
-        conv = self.convolve(pairs, pad, tables)
-        best = conv.argmax(1)  # hop, filter
-        hop_max = np.take_along_axis(conv, best[:, None, :], 1)[:, 0]
+        hop_max, best = self.maxima(pairs, pad, tables)
         chunk = self.chunks(hop_max, first, hops)
         pooled = self.pooled(chunk, first, hops)
         p = 1 / (1 + np.exp(-np.clip(pooled @ self.out + self.base, -30, 30)))
@@ -134,30 +145,26 @@ class Network:
         return self
 
 
-def excerpt(text: bytes) -> bytes:
-    """At most SAMPLE_CHUNKS evenly spaced chunks, for fitting only."""
-    size = 2 * CHUNK
-    n = -(-len(text) // size)
-    if n <= SAMPLE_CHUNKS:
-        return text
-    return b"".join(text[size * (i * n // SAMPLE_CHUNKS) :][:size] for i in range(SAMPLE_CHUNKS))
-
-
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> Network:
-    """The network fitted on at most SAMPLE labelled documents of each class, those of smallest id hash; the others' labels aren't read."""
+    """The network fitted on whole texts of at most SAMPLE labelled documents and SAMPLE_BYTES of each class, those of smallest id hash; the others' labels aren't read.
+
+    Of repeated labels of an id the largest counts, of repeated ids the least text; null texts are empty. If
+    only one class is labelled every score is near that class, without labels it is a half.
+    """
     spark = docs.sparkSession
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % modulus != held)).select("doc_id", F.col("quality").cast("int").alias("y"))
-    ids: list = []
+    labelled = common.with_labels(docs.where(F.col("doc_id").isNotNull()), labels, "quality", modulus, held)
+    sizes = common.settled(labelled.groupBy("doc_id", F.when(F.col("y") > 0, 1).otherwise(0).alias("y")).agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).cast("long").alias("size")))
+    picked = []
     for v in (0, 1):
-        ids += rows.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()
-    picked = spark.createDataFrame([tuple(r) for r in ids], f"doc_id {labels.schema['doc_id'].dataType.simpleString()}, y int").groupBy("doc_id").agg(F.min("y").alias("y"))
-
-    def cut(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([excerpt(x) for x in common.texts(batch)], pa.binary())], ["doc_id", "y", "part"])
-
-    found = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(F.broadcast(picked), "doc_id").mapInArrow(cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, part binary").groupBy("doc_id", "y").agg(F.min("part").alias("part"))  # an id counts once
-    got = sorted((r[0], r[1], bytes(r[2])) for r in found.collect())  # SAMPLE x 2 excerpts of SAMPLE_CHUNKS chunks at most
+        total = 0
+        for i, (key, size) in enumerate(sizes.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("doc_id", "size").collect()):
+            total += size
+            if i and total > SAMPLE_BYTES:
+                break
+            picked.append((key, v))
+    wanted = spark.createDataFrame(picked, f"doc_id {labels.schema['doc_id'].dataType.simpleString()}, y int")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # an id counts once
+    got = sorted((r.doc_id, r.y, r.text.encode()) for r in found.collect())  # 2 x SAMPLE texts, 2 x SAMPLE_BYTES at most but for a single longer text
     return Network().fit([r[2] for r in got], np.array([r[1] for r in got], np.float32))
 
 
@@ -183,6 +190,11 @@ def classify(docs: DataFrame, network: Network, columns: list[str], threshold: f
 
 
 def op5(spark, sf_dir):
+    """Quality score of every document by the network fitted on the labelled ones outside the held-out fifth.
+
+    Null and empty texts share the score of an empty text; rows of equal or null doc_id have a row each, those of null id aren't held out. Equal texts have equal
+    scores, a score at the threshold is predicted 1. An empty table gives no rows. Other columns are not read.
+    """
     docs = common.table(spark, sf_dir, "documents")
     network = fit(docs, common.table(spark, sf_dir, "labels"))
     return classify(docs, network, ["doc_id"]).select("doc_id", common.held_out(5, 0).alias("held_out"), "score", "predicted")

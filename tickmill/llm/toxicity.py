@@ -6,13 +6,14 @@ the corpus, less a drift that makes clean text score below zero. A linear-time s
 maximal-scoring segments of a text (Ruzzo and Tompa's, over runs of positive words). Extreme-value
 theory calibrates them: with the root lambda of the clean words' score distribution and K
 fitted on the clean documents, a segment's expected number of equals in a text of n words
-is K n exp(-lambda S). The evidence of all significant segments is summed, and a logistic curve
-fitted on the labelled documents turns it into a probability.
+is K n exp(-lambda S). The evidence of all significant segments is summed, and a logistic curve of its
+logarithm, fitted on the same sums over the labelled documents, turns it into a probability.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,68 +22,89 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Buckets of words, six-byte and four-byte beginnings: fixed, so the broadcast tables have a fixed size.
-LEVELS = ((20, None), (18, 6), (18, 4))
+#: Most words, six-byte and four-byte beginnings that the broadcast tables hold, and the bytes that count: those that most labelled documents hold; a word beyond them is scored by its beginning.
+LEVELS = ((1 << 20, None), (1 << 18, 6), (1 << 18, 4))
 PRIOR = (4.0, 8.0, 16.0)
 DRIFT, FLOOR = 2.0, -3.0
 #: Segments with fewer expected equals than this in a clean text of the same length are significant.
 SIGNIFICANT = 0.05
-BINS, BIN = 400, 0.5
+#: Histogram bins: of words' scores, segments' scores, texts' lengths (in each doubling), and evidence.
+WORD, BEST, SIZE, STRENGTH = 0.05, 0.25, 8, 0.05
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def slots(parts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """(bucket of each word at each level, first word of each text and the total); ASCII punctuation counts as white space."""
+def keys(parts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(hash of each word at each level, first word of each text and the total); ASCII punctuation counts as white space."""
     buf = np.frombuffer(b"\n".join(p.translate(_LOWER) for p in parts) + b"\n", np.uint8)
     starts, ends = common.spans(buf)
     at = np.searchsorted(starts, np.cumsum([0, *(len(p) + 1 for p in parts)]))
-    return [(common.hash_spans(buf, starts, ends, cut) >> np.uint64(64 - bits)).astype(np.int64) for bits, cut in LEVELS], at
+    return [common.hash_spans(buf, starts, ends, cut) for _, cut in LEVELS], at
 
 
-def counts(labelled: DataFrame) -> list[np.ndarray]:
-    """(Clean, toxic) labelled documents that hold a word of each bucket, for each level; a document counts once, however often it repeats a word."""
+def counts(labelled: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """(Hashes, ascending, and the clean and toxic labelled documents that hold them) of each level, and the number of clean and toxic documents; a document counts once, however often it repeats a word."""
 
     def run(batches):
-        total = [np.zeros((2, 1 << bits), np.int64) for bits, _ in LEVELS]
+        docs = np.zeros(2, np.int64)
         for batch in batches:
-            parts, y = common.texts(batch), np.array(batch.column("y").to_pylist(), np.int64)
-            for i, j in common.groups([len(p) for p in parts], 1 << 21):
-                found, at = slots(parts[i:j])
+            parts, y = common.texts(batch), np.array(batch.column("y").to_pylist(), np.int64) > 0
+            docs += np.bincount(y, minlength=2)
+            for i, j in common.groups([len(p) for p in parts], 1 << 22):
+                found, at = keys(parts[i:j])
                 doc = np.repeat(np.arange(i, j), np.diff(at))
-                for t, s in zip(total, found):
-                    once = np.unique(doc * t.shape[1] + s)
-                    toxic = y[once // t.shape[1]] > 0
-                    for v in (0, 1):
-                        t[v] += np.bincount(once[toxic == v] % t.shape[1], minlength=t.shape[1])
-        for level, t in enumerate(total):
-            slot = np.flatnonzero(t.any(0))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), level, np.int32)), pa.array(slot), pa.array(t[0, slot]), pa.array(t[1, slot])], ["level", "slot", "clean", "toxic"])
-
-    rows = labelled.mapInArrow(run, "level int, slot long, clean long, toxic long").groupBy("level", "slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    out = [np.zeros((2, 1 << bits), np.float64) for bits, _ in LEVELS]
-    got = rows.toArrow()  # a row for each bucket at most
-    level, slot = got["level"].to_numpy(), got["slot"].to_numpy()
-    for i, t in enumerate(out):
-        at = level == i
-        t[0, slot[at]], t[1, slot[at]] = got["clean"].to_numpy()[at], got["toxic"].to_numpy()[at]
-    return out
+                for level, h in enumerate(found):
+                    order = np.lexsort((doc, h))
+                    h, of = h[order], doc[order]
+                    once = common.first_of_runs(h, of)
+                    h, toxic = h[once], y[of[once]].astype(np.int64)
+                    first = np.flatnonzero(common.first_of_runs(h))
+                    if len(first):
+                        bad = np.add.reduceat(toxic, first)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), level, np.int32)), pa.array(h[first].view(np.int64)), pa.array(np.diff(np.r_[first, len(h)]) - bad), pa.array(bad)], ["level", "word", "clean", "toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array(docs[:1]), pa.array(docs[1:])], ["level", "word", "clean", "toxic"])
+
+    rows = common.settled(labelled.mapInArrow(run, "level int, word long, clean long, toxic long").groupBy("level", "word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    # as many documents as a word must stand in so that a level's table stays within its size
+    least = {}
+    sizes: dict[int, list] = {}
+    held = F.least(F.col("clean") + F.col("toxic"), F.lit(10_000))
+    for r in rows.groupBy("level", held.alias("held")).agg(F.count("*").alias("n")).collect():  # 10,000 rows a level at most
+        sizes.setdefault(r.level, []).append((r.held, r.n))
+    for level, found in sizes.items():
+        total, least[level] = 0, 10_001
+        for docs, n in sorted(found, reverse=True):
+            total += n
+            if total <= max(1, LEVELS[level][0]) or level < 0:
+                least[level] = docs
+    out = []
+    for level in range(len(LEVELS)):
+        got = rows.where((F.col("level") == level) & (held >= least.get(level, 1))).select("word", "clean", "toxic").toArrow()  # a level's size
+        word = got["word"].to_numpy().view(np.uint64)
+        order = np.argsort(word)
+        out.append((word[order], np.stack([got[c].to_numpy()[order] for c in ("clean", "toxic")]).astype(np.float32)))
+    whole = rows.where("level = -1").first()
+    return out, np.array([whole.clean, whole.toxic] if whole else [0, 0])
 
 
 class Lexicon:
     """Scores of words, and what calibrates segments of them."""
 
-    def __init__(self, found: list[np.ndarray]):
-        self.found = [t.astype(np.float32) for t in found]
-        clean, toxic = (max(1.0, found[0][v].sum()) for v in (0, 1))
-        self.total = np.array([clean, toxic])
+    def __init__(self, found: list[tuple[np.ndarray, np.ndarray]], docs: np.ndarray):
+        self.found, self.docs = found, docs
+        clean, toxic = (max(1.0, float(found[0][1][v].sum())) for v in (0, 1))
         self.share = toxic / (clean + toxic)
-        self.rate, self.k, self.curve = 1.0, 0.1, (-3.0, 0.2)
-
-    def scores(self, found: list[np.ndarray]) -> np.ndarray:
-        """Each word's log-odds: the expected toxic share of its occurrences, backed off level by level, against the corpus."""
-        p = np.full(len(found[0]), self.share)
-        for (t, s), a in reversed(list(zip(zip(self.found, found), PRIOR))):
-            toxic, both = t[1][s], t[0][s] + t[1][s]
+        self.rate, self.k = 1.0, 0.1
+        self.curve = (math.log(docs[1] + 1) - math.log(docs[0] + 1), 0.0)
+
+    def scores(self, asked: list[np.ndarray]) -> np.ndarray:
+        """Each word's log-odds: the expected toxic share of the documents that hold it, backed off level by level, against the corpus."""
+        p = np.full(len(asked[0]), self.share)
+        for (word, held), h, a in reversed(list(zip(self.found, asked, PRIOR))):
+            if not len(word):
+                continue
+            at = np.minimum(np.searchsorted(word, h), len(word) - 1)
+            known = word[at] == h
+            toxic, both = np.where(known, held[1][at], 0), np.where(known, held[0][at] + held[1][at], 0)
             p = (toxic + a * p) / (both + a)
         p = np.clip(p, 1e-6, 1 - 1e-6)
         return np.clip(np.log(p / (1 - p)) - math.log(self.share / (1 - self.share)) - DRIFT, FLOOR, None)
@@ -113,66 +135,73 @@ class Lexicon:
             stack.append([*item[:4], j])
         return [(b, e, float(after - before)) for b, e, before, after, _ in stack]
 
-    def evidence(self, found: list[tuple[int, int, float]], n: int) -> tuple[float, int, float]:
-        """(sum of -ln p over significant segments, their number, the best segment's score)."""
-        total, count, best = 0.0, 0, 0.0
-        for _, _, score in found:
-            best = max(best, score)
-            expected = self.k * n * math.exp(-self.rate * score)
-            if expected < SIGNIFICANT:
-                p = -math.expm1(-expected)
-                total += -math.log(max(p, 1e-300))
-                count += 1
-        return total, count, best
+    def significant(self, found: list[tuple[int, int, float]], n: int) -> list[tuple[int, int, float]]:
+        """The segments with (start, end, -ln of the chance of such a one in a clean text of n words) that are too good for chance."""
+        out = []
+        for b, e, score in found:
+            log_expected = math.log(self.k * n) - self.rate * score
+            if log_expected < math.log(SIGNIFICANT):
+                out.append((b, e, -math.log(-math.expm1(-math.exp(log_expected))) if log_expected > -30 else -log_expected))
+        return out
 
     def probability(self, evidence: float) -> float:
-        z = self.curve[0] + self.curve[1] * evidence
+        z = self.curve[0] + self.curve[1] * math.log1p(evidence)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def texts(self, parts: list[bytes]):
-        """(segments, number of words) of each text."""
+        """(scores of the words, segments) of each text."""
         for i, j in common.groups([len(p) for p in parts], 1 << 20):
-            found, at = slots(parts[i:j])
+            found, at = keys(parts[i:j])
             s = self.scores(found)
             for a, b in zip(at[:-1], at[1:]):
-                yield self.segments(s[a:b]), int(b - a)
+                yield s[a:b], self.segments(s[a:b])
 
 
-def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> Lexicon:
-    """Counts, calibration and curve from all labelled documents outside the held-out remainder."""
-    labelled = common.with_labels(docs.where(F.col("doc_id").isNotNull()), labels, "toxic", modulus, held).select("y", "text")
-    made = Lexicon(counts(labelled))
-    # lambda: the positive root of sum over words of p * exp(lambda * score) = 1, by the words of clean documents
-    word = made.found[0][0]
-    if made.found[0][1].sum() == 0 or word.sum() == 0:
-        made.curve = (-30.0, 0.0) if word.sum() else (-5.0, 0.0)
-        return made
+def _histogram(labelled: DataFrame, made: Lexicon, bins) -> list:
+    """(kind, size, bin, n) over the labelled documents; bins(lexicon, scores, segments, toxic) yields the first three and a count. A fixed number of rows."""
     shared = labelled.sparkSession.sparkContext.broadcast(made)
 
     def run(batches):
-        """Histograms: of clean words' scores, and of texts by class, length and best segment."""
         lex = shared.value
-        words = np.zeros(BINS, np.int64)
-        rows = []
         for batch in batches:
-            parts, y = common.texts(batch), batch.column("y").to_pylist()
-            for i, j in common.groups([len(p) for p in parts], 1 << 20):
-                found, at = slots(parts[i:j])
-                s = lex.scores(found)
-                clean = np.repeat(np.array(y[i:j]) <= 0, np.diff(at))
-                words += np.bincount(np.clip(((s[clean] - FLOOR) / 0.05).astype(int), 0, BINS - 1), minlength=BINS)
-                for a, b, v in zip(at[:-1], at[1:], y[i:j]):
-                    best = max((x for _, _, x in lex.segments(s[a:b])), default=0.0)
-                    rows.append((int(v > 0), int(math.log2(b - a + 1)), min(BINS - 1, int(best / BIN))))
-        kinds = [(2, 0, i, int(w)) for i, w in enumerate(words) if w]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*[*((*r, 1) for r in rows), *kinds]), (pa.int32(), pa.int32(), pa.int32(), pa.int64()))] if rows or kinds else [pa.array([], t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.int64())], ["kind", "size", "bin", "n"])
-
-    got = labelled.mapInArrow(run, "kind int, size int, bin int, n long").groupBy("kind", "size", "bin").agg(F.sum("n").alias("n")).collect()  # bins: a fixed number
-    words = np.zeros(BINS)
-    for r in got:
-        if r["kind"] == 2:
-            words[r["bin"]] += r["n"]
-    p, s = words / words.sum(), FLOOR + 0.05 * (np.arange(BINS) + 0.5)
+            rows: Counter = Counter()
+            for (s, found), toxic in zip(lex.texts(common.texts(batch)), batch.column("y").to_pylist()):
+                for *row, n in bins(lex, s, found, int(toxic > 0)):
+                    rows[tuple(row)] += int(n)
+            cols = list(zip(*((*k, n) for k, n in rows.items()))) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.int64()))], ["kind", "size", "bin", "n"])
+
+    return labelled.mapInArrow(run, "kind int, size int, bin int, n long").groupBy("kind", "size", "bin").agg(F.sum("n").alias("n")).collect()
+
+
+def _calibrating(lex: Lexicon, s: np.ndarray, found: list, toxic: int):
+    """Of a clean text: its words' scores, its length and best segment."""
+    if not toxic and len(s):
+        where, n = np.unique(((s - FLOOR) / WORD).astype(int), return_counts=True)
+        yield from ((0, 0, int(i), k) for i, k in zip(where, n))
+        yield 1, int(SIZE * math.log2(len(s))), int(max((x for *_, x in found), default=0.0) / BEST), 1
+
+
+def _strengths(lex: Lexicon, s: np.ndarray, found: list, toxic: int):
+    """A text's class and the logarithm of its evidence."""
+    yield toxic, 0, int(math.log1p(sum(x for *_, x in lex.significant(found, len(s)))) / STRENGTH), 1
+
+
+def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> Lexicon:
+    """Counts, calibration and curve from all labelled documents outside the held-out remainder.
+
+    Of repeated labels of an id the largest counts. If only one class is labelled, or none, every text has the
+    same probability: that of its class among the labels, with one label of either class added.
+    """
+    labelled = common.with_labels(docs.where(F.col("doc_id").isNotNull()), labels, "toxic", modulus, held).select("y", "text")
+    made = Lexicon(*counts(labelled))
+    if not made.docs.all() or not made.found[0][1].sum(1).all():
+        return made
+    # lambda: the positive root of sum over words of p * exp(lambda * score) = 1, by the words of clean documents
+    got = _histogram(labelled, made, _calibrating)
+    s = np.array([FLOOR + WORD * (r.bin + 0.5) for r in got if r.kind == 0])
+    p = np.array([r.n for r in got if r.kind == 0], float)
+    p /= p.sum()
     low, high = 0.0, 1.0
     while (p * np.exp(np.minimum(high * s, 50))).sum() < 1 and high < 64:
         high *= 2
@@ -182,15 +211,10 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) ->
             low, high = (mid, high) if (p * np.exp(np.minimum(mid * s, 50))).sum() < 1 else (low, mid)
     made.rate = max(high, 0.05)
     # K: maximum likelihood of the Gumbel law of clean texts' best segments
-    clean = [(2.0 ** (r["size"] + 0.5), (r["bin"] + 0.5) * BIN, r["n"]) for r in got if r["kind"] == 0 and r["bin"] > 0]
-    texts = sum(r["n"] for r in got if r["kind"] == 0)
-    spread = sum(n * size * math.exp(-made.rate * score) for size, score, n in clean) + sum(2.0 ** (r["size"] + 0.5) * r["n"] for r in got if r["kind"] == 0 and r["bin"] == 0)
-    made.k = min(1.0, max(1e-6, texts / max(spread, 1e-9)))
-    # the logistic curve of the evidence, on the same histogram
-    x = np.array([made.evidence([(0, 0, (r["bin"] + 0.5) * BIN if r["bin"] else 0.0)], int(2.0 ** (r["size"] + 0.5)))[0] for r in got if r["kind"] < 2])
-    y = np.array([float(r["kind"]) for r in got if r["kind"] < 2])
-    w = np.array([float(r["n"]) for r in got if r["kind"] < 2])
-    made.curve = logistic(np.minimum(x, 60), y, w)
+    best = [(2.0 ** ((r.size + 0.5) / SIZE), (r.bin + 0.5) * BEST if r.bin else 0.0, r.n) for r in got if r.kind == 1]
+    made.k = min(1.0, max(1e-6, sum(n for *_, n in best) / max(1e-9, sum(n * size * math.exp(-made.rate * x) for size, x, n in best))))
+    got = _histogram(labelled, made, _strengths)
+    made.curve = logistic(*(np.array(c, float) for c in zip(*(((r.bin + 0.5) * STRENGTH if r.bin else 0.0, r.kind, r.n) for r in got))))
     return made
 
 
@@ -210,27 +234,34 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7, modulus: int = 3, held: int = 1) -> DataFrame:
-    """doc_id, held_out, score, predicted, evidence, and the significant segments as word ranges, of every row.
+    """doc_id, held_out, score, predicted, evidence, and the significant segments (first word, end, evidence), of every row.
 
     Null and empty texts have no segment and the score of no evidence.
     """
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    segment = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("evidence", pa.float64())]))
 
     def run(batches):
         lex = shared.value
         for batch in batches:
             out = []
-            for found, n in lex.texts(common.texts(batch)):
-                x, count, best = lex.evidence(found, n)
-                p = lex.probability(min(x, 60))
-                out.append((p, int(p >= threshold), x, count, best))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *(pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.int32(), pa.float64(), pa.int32(), pa.float64())))], ["doc_id", "held_out", "score", "predicted", "evidence", "n_segments", "best_segment"])
+            for s, found in lex.texts(common.texts(batch)):
+                found = lex.significant(found, len(s))
+                x = sum(e for *_, e in found)
+                p = lex.probability(x)
+                out.append((p, int(p >= threshold), x, [dict(zip(("first", "end", "evidence"), f)) for f in found]))
+            cols = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *(pa.array(c, t) for c, t in zip(cols, (pa.float64(), pa.int32(), pa.float64(), segment)))], ["doc_id", "held_out", "score", "predicted", "evidence", "segments"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", common.held_out(modulus, held).alias("held_out")).mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence double, n_segments int, best_segment double")
+    return docs.select("doc_id", "text", common.held_out(modulus, held).alias("held_out")).mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence double, segments array<struct<first: int, end: int, evidence: double>>")
 
 
 def op8(spark, sf_dir):
+    """Toxicity of every document by the lexicon fitted on the labelled ones outside the held-out third, with the number of its toxic segments.
+
+    Null and empty texts share the score of no evidence; rows of equal or null doc_id have a row each, those of null id aren't held out. Equal texts have equal
+    scores, a score at the threshold is predicted 1. An empty table gives no rows. Other columns are not read.
+    """
     docs = common.table(spark, sf_dir, "documents")
-    return score(docs, fit(docs, common.table(spark, sf_dir, "labels")))
+    return score(docs, fit(docs, common.table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted", "evidence", F.size("segments").alias("n_segments"))

@@ -16,6 +16,7 @@ import re
 import uuid
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def page_records(key: str, url: str, body: bytes, refers_to: str | None, segment
 
 
 def decisions(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """pages with refers_to: the largest page_id with an equal payload of at least `least` bytes, null for that page itself, for smaller payloads and for payloads that occur once.
+    """page_id, url, body, several (whether the id has more rows), and refers_to: the largest page_id with an equal payload of at least `least` bytes, null for that page itself, for smaller payloads and for payloads that occur once.
 
     Payloads are grouped by SHA-1 and length with partial aggregation; only digests that
     occur again are joined back, so a payload that fills a third of the table is one row there.
@@ -82,18 +83,26 @@ def decisions(pages: DataFrame, least: int = 1000) -> DataFrame:
     again = keyed.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1").select("digest", "bytes", "holder")
     again = common.settled(again)
     out = keyed.join(common.maybe_broadcast(again), ["digest", "bytes"], "left")
-    return out.select("page_id", "url", "body", F.when(F.col("holder") != F.col("page_id"), F.col("holder")).alias("refers_to"))
+    several = common.settled(pages.groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1").select("page_id", F.lit(True).alias("several")))
+    out = out.join(common.maybe_broadcast(several), "page_id", "left")
+    return out.select("page_id", "url", "body", F.when(F.col("holder") != F.col("page_id"), F.col("holder")).alias("refers_to"), F.coalesce("several", F.lit(False)).alias("several"))
 
 
 def write(pages: DataFrame, folder: str, least: int = 1000, segment: int = SEGMENT) -> None:
-    """Archives of all pages with an id, as gzip files in folder. Null html is an empty payload, null url no target."""
+    """Archives of all pages with an id, as gzip files in folder. Null html is an empty payload, null url no target; rows of null page_id are left out.
+
+    A record's id is its page's; each row of an id that has several gets a suffix of its own, so that rows are
+    never taken for segments of each other. Revisits refer to the page's id, without a suffix.
+    """
 
     def run(batches):
+        task, row = TaskContext.get().partitionId(), 0
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("page_id", "url", "body", "refers_to")]
+            cols = [batch.column(c).to_pylist() for c in ("page_id", "url", "body", "refers_to", "several")]
             out, held = [], 0
-            for key, url, body, ref in zip(*cols):
-                for r in page_records(str(key), url or "", body or b"", None if ref is None else str(ref), segment):
+            for key, url, body, ref, several in zip(*cols):
+                row += 1
+                for r in page_records(f"{key}+{task}.{row}" if several else str(key), url or "", body or b"", None if ref is None else str(ref), segment):
                     out.append(r)
                     held += len(r)
                 if held > 8 << 20:
@@ -192,12 +201,17 @@ def assembled(found: DataFrame) -> DataFrame:
 
 
 def op1(spark, sf_dir):
-    """What is read back of the archives of all pages; a broken page raises."""
+    """What is read back of the archives of all pages: a row for each row of pages that has an id; a broken page raises.
+
+    Null html is an empty payload, null url no target. Repeated rows and further rows of an id come back as
+    often as they are written. Of equal payloads the largest page_id is the response (all of its rows are, if it
+    has several). An empty table gives no rows. Other columns are not read.
+    """
     folder = f"{common.shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     pages = common.table(spark, sf_dir, "pages")
     write(pages, folder)
     got = assembled(records(spark, folder)).select(
-        F.col("origin").cast("long").alias("page_id"),
+        F.substring_index("origin", "+", 1).cast("long").alias("page_id"),
         F.when(F.col("ok"), F.octet_length("body").cast("long")).otherwise(F.raise_error(F.concat(F.lit("broken record "), F.col("origin")))).alias("payload_bytes"),
         F.coalesce(F.sha1("body"), F.col("digest")).alias("payload_digest"),
         F.col("type").alias("record_type"),
@@ -205,7 +219,7 @@ def op1(spark, sf_dir):
     )
     got = common.settled(got)
     # a revisit's payload is that of the response it refers to
-    held = got.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("held"))
-    wanted = got.where("record_type = 'revisit'").select("refers_to").distinct()
-    held = held.join(wanted, "refers_to", "left_semi")
-    return got.join(common.maybe_broadcast(held), "refers_to", "left").select("page_id", F.coalesce("payload_bytes", "held").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    wanted = got.where("record_type = 'revisit'").select("refers_to", "payload_digest").distinct()
+    held = got.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload_bytes").alias("held"))
+    held = common.settled(held.join(wanted, ["refers_to", "payload_digest"], "left_semi").distinct())
+    return got.join(common.maybe_broadcast(held), ["refers_to", "payload_digest"], "left").select("page_id", F.coalesce("payload_bytes", "held").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
