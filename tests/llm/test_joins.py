@@ -211,6 +211,21 @@ def test_fingerprints(make, corpus):
     assert fingerprint.compared(make([(5, "one")])).first().near_next == 1.0
 
 
+def test_fingerprint_query(spark, make, tmp_path):
+    """The query on repeated ids, null ids and texts, and columns with clashing names; null ids come first, by a hash of their texts."""
+    rows = [(None, "lost one"), (None, "lost two"), (None, None), (-4, "Straße"), (3, "STRASSE "), (3, "strasse"), (3, "strasse"), (8, None), (9, "")]
+    make(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = fingerprint.op10(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and len(got[0]) == 8
+    assert sorted((r.doc_id, r.n_chars, r.group_id) for r in got if r.doc_id is not None) == [(-4, 6, -4), (3, 7, -4), (3, 7, -4), (3, 8, -4), (8, 0, 8), (9, 0, 8)]
+    assert all(r.group_id is None for r in got if r.doc_id is None) and sorted(r.n_chars for r in got if r.doc_id is None) == [0, 8, 8]
+    # every text is the next one of some row: likeness along the whole circle
+    by = {r.doc_id: r for r in got}
+    assert by[8].near_next == 1.0 and by[9].near_next in (0.0, 1.0) and by[-4].near_next == 1.0
+    make([]).write.parquet(f"{tmp_path}/e/documents.parquet")
+    assert fingerprint.op10(spark, f"{tmp_path}/e").collect() == []
+
+
 def test_groups(make, corpus):
     canon = lambda t: " ".join(unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", t or "").casefold()).split())
     least = {}
