@@ -6,8 +6,12 @@ import re
 import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 from tickmill.llm import decontam, fingerprint, graph, ngram_join, substring
 
+from .conftest import prose
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -132,7 +136,47 @@ def test_substring_edges(make):
     got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in substring.without_repeats(make(rows)).collect())
     assert got == [("3", 21, 0), ("5", 20, 20), ("5", 20, 20), ("5", 21, 20), ("9", 0, 0), ("None", 20, 0)]
     carried = substring.without_repeats(make(rows), carry=True)
-    assert carried.columns[-4:] == ["text", "lang", "source", "n_chars"] and carried.count() == 6
+    assert carried.select("carried.*").columns == make(rows).columns and carried.count() == 6
+
+
+@pytest.mark.parametrize("hot,remembered,broadcast", [(2, 1 << 16, 1 << 26), (2, 3, 0), (10**9, 0, 0)])
+def test_substring_hot_passages(make, corpus, monkeypatch, hot, remembered, broadcast):
+    """Hot anchors dealt by window, tasks that remember few or no windows, texts all shuffled: the same result."""
+    from tickmill.llm import common
+
+    monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "REMEMBERED", remembered)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.without_repeats(make(corpus).repartition(7)).collect()}
+    assert got == removed(corpus)
+
+
+def test_passage_in_every_document(spark, make):
+    """One passage in all documents: no bucket gets much more than the others."""
+    r = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(13))
+    rows = [(i, prose(r, 30, 40) + " " + passage + " " + prose(r, 30, 40)) for i in range(3000)]
+    docs = substring._key(make(rows).repartition(40))
+    seen, deal = [], DataFrame.repartitionById
+    try:
+        DataFrame.repartitionById = lambda self, *a: seen.append(self) or deal(self, *a)
+        substring.repeats(docs, 13, 5)
+    finally:
+        DataFrame.repartitionById = deal
+    size = lambda c: F.coalesce(F.octet_length(c), F.lit(0))
+    for sent in seen:
+        total = {x.bucket: x.n for x in sent.groupBy("bucket").agg(F.sum(sum((size(c) for c in sent.columns[1:]), F.lit(0))).alias("n")).collect()}
+        assert max(total.values()) < 3 * sorted(total.values())[len(total) // 2]
+
+
+def test_equal_hashes_are_told_apart():
+    """Windows of equal hash and different words: the words decide."""
+    import numpy as np
+
+    words = np.arange(20, dtype=np.uint64)
+    words[10:15] = words[0:5]
+    start, doc = np.array([0, 5, 10, 15, 0]), np.array([3, 2, 4, 1, 3])
+    assert substring.same_as_first(words, start, 5, doc, np.zeros(5, np.uint64)).tolist() == [False, False, True, False, False]
 
 
 def test_tiling():

@@ -3,7 +3,6 @@
 import random
 
 import corpus_pipeline
-from tickmill.llm import ngram_join, substring
 
 from .conftest import prose
 from .test_joins import components, removed
@@ -57,7 +56,14 @@ def test_stages(spark, tmp_path):
     assert sorted(r.doc_id for r in whole.collect()) == sorted(i for i, _ in clean)
 
 
-def test_stages_take_other_columns(spark, make):
-    docs = make([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None)])
-    assert ngram_join.representatives(docs).columns == docs.columns
-    assert substring.without_repeats(docs, carry=True).count() == 3
+def test_stages_take_other_columns(spark, make, tmp_path):
+    """Columns that the operators use themselves, whatever their names, come through every stage but the last."""
+    docs = make([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None), (None, "x y"), (None, "x y")])
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "not here at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert all(r["node"] == "x" for r in out.collect())
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 5
