@@ -27,13 +27,14 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document of smaller id holds too.
 
-    Untouched texts stay as they are; a cut text is its words left, joined by single spaces. Documents
-    of which nothing is left go. n_chars follows the text.
+    Untouched texts stay as they are; a cut text is its words left, joined by single spaces, and n_chars
+    follows it. Documents of which nothing is left go. All other columns stay.
     """
     common.bounded_batches(spark)
     got = substring.without_repeats(docs, carry=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return got.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    columns = [F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col(f"carried.{c}")).alias(c) if c in changed else F.col(f"carried.{c}").alias(c) for c in docs.columns]
+    return got.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))).select(*columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
