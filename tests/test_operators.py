@@ -188,11 +188,13 @@ def test_store(spark, tmp_path):
     store.replace_partition(spark.createDataFrame([("m0", 1), ("m1", 2)], "model string, v int"), path, "model")
     store.replace_partition(spark.createDataFrame([("m0", 9)], "model string, v int"), path, "model")
     assert sorted((r.model, r.v) for r in spark.read.parquet(path).collect()) == [("m0", 9), ("m1", 2)]
-    store.check_manifest(str(tmp_path / "run"), {"seed": 1})
-    store.check_manifest(str(tmp_path / "run"), {"seed": 1})
+    store.check_manifest(spark, str(tmp_path / "run"), {"seed": 1})
+    store.check_manifest(spark, str(tmp_path / "run"), {"seed": 1})
     with pytest.raises(ValueError, match="seed"):
-        store.check_manifest(str(tmp_path / "run"), {"seed": 2})
+        store.check_manifest(spark, str(tmp_path / "run"), {"seed": 2})
     assert "| id | v |" in store.markdown("t", new)
+    with pytest.raises(ValueError):
+        store.markdown("t", spark.range(5), 4)
     assert store.migrate(spark, "tickmill_app") == [] and store.migrate(spark, "tickmill_app") == []
     store.downgrade(spark, "tickmill_app")
 

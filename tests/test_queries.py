@@ -70,6 +70,7 @@ def test_entry_without_the_optional_part(monkeypatch):
 
     assert set(registry.oracle_sql()) <= set(entry.oracle_sql()) and set(registry.queries()) <= set(entry.queries())
     monkeypatch.setattr(entry, "_llm", None)
+    monkeypatch.setattr(entry, "_pipeline", None)
     assert set(entry.queries()) == set(registry.queries())
     importlib.reload(entry)
 

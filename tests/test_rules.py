@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tickmill.config import Config
 from tickmill.functions import scores, text
-from tickmill.operators import replay
+from tickmill.operators import ranks, replay
 from tickmill.operators.board import Board, perft
 
 
@@ -136,7 +136,7 @@ def test_scores(spark):
         scores.acceptable(F.lit(60.0), F.lit(55.0)).alias("f"), scores.band(F.lit(-7), 2).alias("g"), scores.clip(F.lit(None).cast("int"), 1, 2).alias("h"),
     ).first()
     assert row.a == 50 and round(row.b, 2) == 59.10 and row.c == pytest.approx(97.55, abs=0.01) and row.d == -1000 and row.e == 1000 and row.f and row.g == -8 and row.h is None
-    q = spark.createDataFrame([(x,) for x in range(1, 8)], "x int").agg(scores.nearest_quantile(F.col("x"), 0.9).alias("q")).first().q
+    q = ranks.at_ranks(spark.createDataFrame([(x,) for x in range(1, 8)], "x int"), [], "x", None, {"q": ranks.nearest(0.9)}).first().q
     assert q == 6
     with pytest.raises(Exception, match="no value"):
         spark.createDataFrame([("z",)], "k string").select(scores.mapped(F.col("k"), {"a": 1.0}).alias("v")).collect()

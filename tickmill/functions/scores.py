@@ -67,12 +67,6 @@ def uniform(salt: str, *keys: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / float(1 << 52)
 
 
-def nearest_quantile(x: Column, q: float) -> Column:
-    """Aggregate: the element at rank round(q (n - 1)) of the sorted non-null values."""
-    values = F.sort_array(F.collect_list(x))
-    return F.get(values, F.floor(q * (F.size(values) - 1) + 0.5).cast("int"))
-
-
 def weighted_rate(x: Column, w: Column) -> Column:
     """Aggregate: sum of x w over sum of w."""
     return F.sum(x * w) / F.sum(w)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Categories, Config
 from ..functions import scores
+from . import ranks
 from .survival import CATEGORIES
 
 STATES = ("losing", "balanced", "winning")
@@ -53,10 +54,11 @@ def observations(positions: DataFrame, labels: DataFrame, cfg: Config | None = N
 def acceptance_by(obs: DataFrame, *keys: str) -> DataFrame:
     """Count, plain and weighted acceptance, mean clipped loss, median and nearest 90 % time of labelled decisions."""
     y = F.col("y").cast("double")
-    return obs.where("loss_win_pct is not null").groupBy(*keys).agg(
+    aggregates = [
         F.count("*").alias("n"), F.avg(y).alias("y_sample"), scores.weighted_rate(y, F.col("sampling_weight")).alias("y_population"), scores.weighted_rate(F.col("is_best").cast("double"), F.col("sampling_weight")).alias("best_population"),
-        F.avg(F.greatest(F.col("loss_win_pct"), F.lit(0.0))).alias("mean_loss"), F.median("time_spent_s").alias("median_s"), scores.nearest_quantile(F.col("time_spent_s"), 0.9).alias("p90_s"),
-    )
+        F.avg(F.greatest(F.col("loss_win_pct"), F.lit(0.0))).alias("mean_loss"),
+    ]
+    return ranks.described(obs.where("loss_win_pct is not null"), list(keys), "time_spent_s", aggregates, "median_s", ("p90_s", 0.9))
 
 
 def category_mix(obs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scores
+from . import ranks
 
 
 def _share(c, name: str):
@@ -17,7 +18,8 @@ def timing_by_band(moves: DataFrame, games: DataFrame, width: int = 200) -> Data
     """Decisions with a time by class and the mover's rating band: count, median and nearest 90 % time."""
     elo = F.when(F.col("side") == 0, F.col("white_elo")).otherwise(F.col("black_elo"))
     j = moves.where("time_spent_s is not null").select("game_id", "side", "time_spent_s").join(games.select("game_id", "tc_class", "white_elo", "black_elo"), "game_id")
-    return j.groupBy("tc_class", scores.band(elo, width).alias("band")).agg(F.count("*").alias("n"), F.median("time_spent_s").alias("median_s"), scores.nearest_quantile(F.col("time_spent_s"), 0.9).alias("p90_s")).orderBy("tc_class", "band")
+    rows = j.select("tc_class", scores.band(elo, width).alias("band"), "time_spent_s")
+    return ranks.described(rows, ["tc_class", "band"], "time_spent_s", [F.count("*").alias("n")], "median_s", ("p90_s", 0.9)).orderBy("tc_class", "band")
 
 
 def timing_by_control(moves: DataFrame, games: DataFrame, least: int = 10_000) -> DataFrame:

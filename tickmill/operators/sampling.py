@@ -74,6 +74,8 @@ def stratified(candidates: DataFrame, target: int | None = None, cfg: Sampling |
     sizes = rows.groupBy(*STRATUM).agg(F.count("*").alias("stratum_candidates"))
     wanted = quotas(sizes, target or cfg.target_positions, STRATUM, "stratum_candidates", "stratum_sampled")
     rank = F.row_number().over(Window.partitionBy(*STRATUM).orderBy("stage2_u", "game_id", "ply"))
-    rows = rows.join(F.broadcast(wanted), STRATUM).withColumn("_r", rank).where(F.col("_r") <= F.col("stratum_sampled"))
+    # uniforms far beyond those that a quota can need are dropped before a stratum is sorted: twice the quota and 200 more are left to choose from
+    near = F.col("stage2_u") * F.col("stratum_candidates") <= 2 * F.col("stratum_sampled") + 200
+    rows = rows.join(wanted, STRATUM).where(near).withColumn("_r", rank).where(F.col("_r") <= F.col("stratum_sampled"))
     weight = (F.col("game_eligible_plies") / F.col("game_sampled_plies")) * (F.col("stratum_candidates") / F.col("stratum_sampled"))
     return rows.withColumn("sampling_weight", weight).drop("_r", "stage2_u")

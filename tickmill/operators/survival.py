@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scores
+from . import ranks
 
 #: Categories that budgets are fitted for, in order (fixed values).
 CATEGORIES = ("forced", "recapture", "tactical", "defensive", "only-move", "endgame", "many-good-moves", "quiet")
@@ -14,11 +15,8 @@ TRAINABLE = CATEGORIES[2:]
 
 
 def weighted_quantile(df: DataFrame, keys: list[str], value: str, weight: str, qs: dict[str, float]) -> DataFrame:
-    """For each key, the least value whose cumulative weight reaches q of the total. Equal values are summed first, so a window sees one row for each distinct value."""
-    cells = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.sum(weight).alias("_w"))
-    upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = cells.withColumns({"_cum": F.sum("_w").over(upto), "_all": F.sum("_w").over(Window.partitionBy(*keys))})
-    return cum.groupBy(*keys).agg(*(F.min(F.when(F.col("_cum") >= q * F.col("_all"), F.col("_v"))).alias(name) for name, q in qs.items()))
+    """For each key, the least value whose cumulative weight reaches q of the total."""
+    return ranks.at_ranks(df, keys, value, weight, {name: (lambda total, q=q: q * total) for name, q in qs.items()})
 
 
 def weighted_ecdf(df: DataFrame, keys: list[str], value: str, weight: str, grid: list[float]) -> DataFrame:
@@ -36,9 +34,10 @@ def km_quantiles(cells: DataFrame, keys: list[str], qs: dict[str, float]) -> Dat
     """Times by which a share q has found it; null if the curve never gets there. Events at a time precede censorings, and spread linearly over half a unit on either side, not below 0."""
     later = Window.partitionBy(*keys).orderBy("t").rowsBetween(0, Window.unboundedFollowing)
     upto = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    product = lambda xs: F.aggregate(xs, F.lit(1.0), lambda a, b: a * b)
     curve = cells.withColumn("_risk", F.sum("total").over(later)).withColumn("_f", F.lit(1.0) - F.col("e") / F.col("_risk"))
-    curve = curve.withColumn("_after", 1 - product(F.collect_list("_f").over(upto)))
+    # the running product as a sum of logarithms; nothing is left once a factor is 0
+    left = F.when(F.max(F.col("_f") <= 0).over(upto), 0.0).otherwise(F.exp(F.sum(F.when(F.col("_f") > 0, F.log("_f")).otherwise(0.0)).over(upto)))
+    curve = curve.withColumn("_after", 1 - left)
     curve = curve.withColumn("_before", F.coalesce(F.lag("_after").over(Window.partitionBy(*keys).orderBy("t")), F.lit(0.0)))
     lo = F.greatest(F.col("t") - 0.5, F.lit(0.0))
 

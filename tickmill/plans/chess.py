@@ -1,4 +1,4 @@
-"""Queries over positions and evaluations: literal games with known outcomes, and records put together from the tables."""
+"""Queries over positions and evaluations: games with known outcomes dealt over the tables, and records put together from them."""
 
 from __future__ import annotations
 
@@ -15,37 +15,48 @@ _GAMES = {
 }
 
 
-def _literal(*rows: str) -> str:
-    return "SELECT * FROM (VALUES " + ", ".join(rows) + ")"
+#: Positions before the last ply of each game, and the pieces after it, a8 last (fixed values, counted by hand): FEN, legal moves, whether the move captures, whether the side to move is in check.
+_REPLAYED = {
+    "ruy": ("r1bqkbnr/1pp2ppp/p1p5/4p3/4P3/5N2/PPPP1PPP/RNBQK2R w KQkq - 0 5", 25, False, False, "RNBQ.RK.PPPP.PPP.....N......P.......p...p.p......pp..pppr.bqkbnr"),
+    "fool": ("rnbqkbnr/pppp1ppp/8/4p3/6P1/5P2/PPPPP2P/RNBQKBNR b KQkq - 0 2", 30, False, False, "RNBQKBNRPPPPP..P.....P........Pq....p...........pppp.ppprnb.kbnr"),
+    "passant": ("rnbqkbnr/1pp1pppp/p7/3pP3/8/8/PPPP1PPP/RNBQKBNR w KQkq d6 0 3", 31, True, False, "RNBQKBNRPPPP.PPP........................p..P.....pp.pppprnbqkbnr"),
+}
+_NAMES = list(_GAMES)
 
 
 def _games(t, column: int):
-    values = F.array(*(F.struct(F.lit(k).alias("game_id"), F.split(F.lit(v[column]), " ").alias("moves")) for k, v in _GAMES.items() if v[column]))
-    return t("region").limit(1).select(F.inline(values))
+    """A game for each customer, by key, whose first moves are played: as many as the key says, all of every eighth."""
+    n = F.col("c_custkey")
+    moves = F.element_at(F.array(*(F.split(F.lit(v[column] or "e2e4 e7e5"), " ") for v in _GAMES.values())), (n % len(_GAMES) + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, _NAMES)), (n % len(_GAMES) + 1).cast("int"))
+    return t("customer").select(n.alias("game"), name.alias("name"), moves.alias("whole")).withColumn("moves", F.when(F.col("game") % 8 < 4, F.col("whole")).otherwise(F.slice("whole", F.lit(1), (1 + F.floor(F.col("game") / 8) % F.size("whole")).cast("int"))))
 
 
-@_query(_literal(*(f"('{k}', {'NULL' if u is None else repr(u)}, {repr('illegal_move') if u is None else 'NULL'})" for k, (_, u) in _GAMES.items())) + " v(game_id, uci, error)")
-def san_to_uci(t):
-    return _games(t, 0).withColumn("x", replay.san_to_uci("moves")).select("game_id", F.array_join("x.uci", " ").alias("uci"), "x.error")
+def _games_sql() -> str:
+    """The same games by their moves between squares: c_custkey, name, uci, n (moves played), size (moves in all)."""
+    rows = ", ".join(f"({i}, '{k}', {[*(u or 'e2e4 e7e5').split()]})" for i, (k, (_, u)) in enumerate(_GAMES.items()))
+    return f"""v AS (SELECT * FROM (VALUES {rows}) v(i, name, whole)),
+    g AS (SELECT c_custkey, name, whole, len(whole) AS size, CASE WHEN c_custkey % 8 < 4 THEN len(whole) ELSE 1 + (c_custkey // 8) % len(whole) END AS n FROM customer JOIN v ON i = c_custkey % {len(_GAMES)})"""
 
 
-#: Positions before the last ply of each game, counted by hand (fixed values): FEN, legal moves, whether the move captures, whether the side to move is in check.
-_REPLAYED = {
-    "ruy": (9, "r1bqkbnr/1pp2ppp/p1p5/4p3/4P3/5N2/PPPP1PPP/RNBQK2R w KQkq - 0 5", 25, False, False),
-    "fool": (4, "rnbqkbnr/pppp1ppp/8/4p3/6P1/5P2/PPPPP2P/RNBQKBNR b KQkq - 0 2", 30, False, False),
-    "passant": (5, "rnbqkbnr/1pp1pppp/p7/3pP3/8/8/PPPP1PPP/RNBQKBNR w KQkq d6 0 3", 31, True, False),
-}
+@_query(f"WITH {_games_sql()} SELECT c_custkey, CASE WHEN name = 'bad' AND n > 1 THEN NULL ELSE array_to_string(whole[1:n], ' ') END AS uci, CASE WHEN name = 'bad' AND n > 1 THEN 'illegal_move' END AS error FROM g")
+def san_to_uci(t):
+    """Notation of every customer's game, by the rules; one game of four breaks them at its second move."""
+    return _games(t, 0).withColumn("x", replay.san_to_uci("moves")).select(F.col("game").alias("c_custkey"), F.array_join("x.uci", " ").alias("uci"), "x.error")
 
 
-@_query(_literal(*(f"('{k}', {p}, '{f}', {n}, {str(c).lower()}, {str(x).lower()})" for k, (p, f, n, c, x) in _REPLAYED.items())) + " v(game_id, ply, fen, n_legal_moves, is_capture, in_check)")
+@_query(f"""WITH {_games_sql()}, r AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{f}', {n}, {str(c).lower()}, {str(x).lower()})" for k, (f, n, c, x, _) in _REPLAYED.items())}) r(name, fen, n_legal_moves, is_capture, in_check))
+    SELECT c_custkey, cast(size AS integer) AS ply, fen, n_legal_moves, is_capture, in_check FROM g JOIN r USING (name) WHERE n = size""")
 def board_replay(t):
-    g = _games(t, 1).withColumn("x", F.explode(replay.replayed("moves", F.array(F.size("moves")))))
-    return g.select("game_id", F.col("x.ply").cast("int").alias("ply"), "x.fen", F.col("x.n_legal_moves").cast("int").alias("n_legal_moves"), "x.is_capture", "x.in_check")
+    """The position before the last move of every customer's whole game."""
+    g = _games(t, 1).where((F.col("name") != "bad") & (F.size("moves") == F.size("whole"))).withColumn("x", F.explode(replay.replayed("moves", F.array(F.size("moves")))))
+    return g.select(F.col("game").alias("c_custkey"), F.col("x.ply").cast("int").alias("ply"), "x.fen", F.col("x.n_legal_moves").cast("int").alias("n_legal_moves"), "x.is_capture", "x.in_check")
 
 
-@_query(_literal("('ruy', 'RNBQ.RK.PPPP.PPP.....N......P.......p...p.p......pp..pppr.bqkbnr')", "('fool', 'RNBQKBNRPPPPP..P.....P........Pq....p...........pppp.ppprnb.kbnr')", "('passant', 'RNBQKBNRPPPP.PPP........................p..P.....pp.pppprnbqkbnr')") + " v(game_id, placement)")
+@_query(f"""WITH {_games_sql()}, r AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{x[-1]}')" for k, x in _REPLAYED.items())}) r(name, placement)) SELECT c_custkey, placement FROM g JOIN r USING (name) WHERE n = size""")
 def placement_fold(t):
-    return _games(t, 1).select("game_id", replay.placement_after(F.col("moves")).alias("placement"))
+    """The pieces after the last move of every customer's whole game."""
+    return _games(t, 1).where((F.col("name") != "bad") & (F.size("moves") == F.size("whole"))).select(F.col("game").alias("c_custkey"), replay.placement_after(F.col("moves")).alias("placement"))
 
 
 _EVAL_SQL = f"""e AS (SELECT vec_id, vec_id % 2 = 0 AS white, cast(round(cast(embedding[1] AS double) * 500) AS integer) AS a, cast(round(cast(embedding[2] AS double) * 500) AS integer) AS b, cast(round(cast(embedding[3] AS double) * 500) AS integer) AS c, 500 + vec_id % 4 * 400 AS k1, 900 + vec_id % 3 * 400 AS k2 FROM embeddings),

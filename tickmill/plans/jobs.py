@@ -62,14 +62,21 @@ def lookup_evaluations(spark: SparkSession, path, out: str, cfg: Config | None =
     for p in also:
         wanted = wanted.union(spark.read.parquet(p).select("epd"))
     raw = labels.wanted_records(records.read_lines(spark, path), wanted.distinct())
-    matches = labels.parse_evaluations(raw, cfg, replay.first_legal_move).dropDuplicates(["epd"])
+    matches = labels.parse_evaluations(raw, cfg, replay.first_legal_move)
+    # of several records of a position the one of most nodes, then of most lines, then by move
+    matches = matches.groupBy("epd").agg(F.max_by(F.struct(*(c for c in matches.columns if c != "epd")), F.struct("best_knodes", "n_pvs", "best_uci")).alias("_m")).select("epd", "_m.*").select(*matches.columns)
     store.write_table(matches, f"{out}/evaldb_matches")
     return labels.coverage_by(labels.covered(positions, spark.read.parquet(f"{out}/evaldb_matches"), cfg.multipv)).first().asDict()
 
 
 def label(spark: SparkSession, out: str, evaluator, cfg: Config | None = None, batch: int = 50, limit: int | None = None) -> int:
-    """Labels of the positions that the database doesn't cover and no earlier run labelled; evaluator makes an engine for a partition."""
+    """Labels of the positions that the database doesn't cover and no earlier run labelled; evaluator makes an engine for a partition.
+
+    Positions are labelled in units of `batch` for each task that runs at once, each committed before the next one
+    begins; a run that is lost goes on with the first unit that wasn't. A run with other settings is refused.
+    """
     cfg = cfg or Config()
+    store.check_manifest(spark, f"{out}/labels_settings", {"settings": settings_of(cfg)})
     todo = labels.positions_to_label(spark.read.parquet(f"{out}/sampled_positions"), spark.read.parquet(f"{out}/evaldb_matches"), cfg.multipv)
     try:
         todo = todo.join(spark.read.parquet(f"{out}/labels").select("position_id"), "position_id", "left_anti")
@@ -79,8 +86,11 @@ def label(spark: SparkSession, out: str, evaluator, cfg: Config | None = None, b
     if limit:
         todo = todo.orderBy("position_id").limit(limit)
     n = todo.count()
-    if n:
-        replay.label_positions(todo.repartition(max(1, -(-n // batch))), evaluator).write.mode("append").option("compression", "zstd").parquet(f"{out}/labels")
+    unit = batch * spark.sparkContext.defaultParallelism
+    units = -(-n // unit)
+    for i in range(units):
+        part = todo.where(F.pmod(F.xxhash64("position_id"), F.lit(units)) == i)
+        replay.label_positions(part.repartition(spark.sparkContext.defaultParallelism), evaluator).write.mode("append").option("compression", "zstd").parquet(f"{out}/labels")
     return n
 
 

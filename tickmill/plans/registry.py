@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scores, text
-from ..operators import labels, sampling, survival, timing
+from ..operators import labels, ranks, sampling, survival, timing
 from ..sources import store
 
 _QUERIES: dict = {}
@@ -183,7 +183,8 @@ def eligible_filter(t):
 def thinking_time_by_class(t):
     x = F.col("time_spent_s")
     share = lambda c: F.round(F.avg(F.col(c).cast("double")), 9).alias(c)
-    return _timed(t("events")).groupBy("tc_class").agg(F.count(x).alias("n"), F.round(F.median(x), 4).alias("median_s"), F.round(scores.nearest_quantile(x, 0.9), 4).alias("p90_s"), share("low_clock"), share("time_added"))
+    got = ranks.described(_timed(t("events")), ["tc_class"], "time_spent_s", [F.count(x).alias("n"), share("low_clock"), share("time_added")], "median_s", ("p90_s", 0.9))
+    return got.withColumns({c: F.round(c, 4) for c in ("median_s", "p90_s")})
 
 
 @_query("""WITH r AS (SELECT p_partkey, chr(cast(97 + p_partkey % 8 AS integer)) AS file, p_size FROM part),
@@ -200,8 +201,8 @@ def phase_from_text(t):
 @_query(f"""SELECT o_orderpriority AS class, cast(floor(l_extendedprice / 10000) * 10000 AS integer) AS band, count(*) AS n, median(l_quantity) AS median_q, {_nearest_sql('l_quantity', 0.9)} AS p90_q
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""")
 def band_stats(t):
-    q = F.col("l_quantity")
-    return t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("o_orderpriority").alias("class"), scores.band(F.col("l_extendedprice"), 10000).alias("band")).agg(F.count("*").alias("n"), F.median(q).alias("median_q"), scores.nearest_quantile(q, 0.9).alias("p90_q"))
+    rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderpriority").alias("class"), scores.band(F.col("l_extendedprice"), 10000).alias("band"), "l_quantity")
+    return ranks.described(rows, ["class", "band"], "l_quantity", [F.count("*").alias("n")], "median_q", ("p90_q", 0.9))
 
 
 @_query("SELECT l_returnflag || '+' || cast(l_linenumber AS varchar) AS control, count(*) AS n, median(l_quantity) AS median_q FROM lineitem GROUP BY 1 HAVING count(*) >= (SELECT count(*) / 30 FROM lineitem)")
@@ -326,7 +327,11 @@ def keep_first_dedupe(t):
 
 @_query("SELECT event_id, count(*) OVER (PARTITION BY user_id) AS n_user, max(value) OVER (PARTITION BY event_type) - value AS below_best FROM events")
 def partition_windows(t):
-    return t("events").select("event_id", F.count("*").over(Window.partitionBy("user_id")).alias("n_user"), (F.max("value").over(Window.partitionBy("event_type")) - F.col("value")).alias("below_best"))
+    """Aggregates joined back rather than windows, so that a type with a third of all rows isn't one task."""
+    e = t("events").select("event_id", "user_id", "event_type", "value")
+    users = e.groupBy("user_id").agg(F.count("*").alias("n_user"))
+    types = e.groupBy("event_type").agg(F.max("value").alias("_best"))
+    return ranks.joined(ranks.joined(e, types, ["event_type"]), users, ["user_id"]).select("event_id", "n_user", (F.col("_best") - F.col("value")).alias("below_best"))
 
 
 @_query("""WITH m AS (SELECT cast(floor(o_totalprice / 25000) * 25000 AS integer) AS band, o_orderpriority, cast(round(avg(o_totalprice), 2) AS double) AS v FROM orders GROUP BY 1, 2)
@@ -339,8 +344,8 @@ def pairwise_violations(t):
 
 @_query("SELECT o_orderkey, cast(floor((rn - 1) / 50) AS bigint) AS batch FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS rn FROM orders)")
 def batches(t):
-    rn = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey"))
-    return t("orders").select("o_orderkey", F.floor((rn - 1) / 50).alias("batch"))
+    rows = ranks.numbered(t("orders").select("o_orderkey", "o_orderstatus"), ["o_orderstatus"], "o_orderkey", "rn")
+    return rows.select("o_orderkey", F.floor((F.col("rn") - 1) / 50).alias("batch"))
 
 
 @_query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
@@ -356,7 +361,7 @@ def union_distinct(t):
 @_query("SELECT r, c, coalesce(n, 0) AS n FROM (SELECT * FROM (SELECT DISTINCT o_orderpriority AS r FROM orders) CROSS JOIN (SELECT DISTINCT o_orderstatus AS c FROM orders)) LEFT JOIN (SELECT o_orderpriority AS r, o_orderstatus AS c, count(*) AS n FROM orders GROUP BY 1, 2) USING (r, c)")
 def cross_grid(t):
     o = t("orders").select(F.col("o_orderpriority").alias("r"), F.col("o_orderstatus").alias("c"))
-    return o.select("r").distinct().crossJoin(F.broadcast(o.select("c").distinct())).join(o.groupBy("r", "c").agg(F.count("*").alias("n")), ["r", "c"], "left").select("r", "c", F.coalesce("n", F.lit(0)).alias("n"))
+    return o.select("r").distinct().crossJoin(o.select("c").distinct()).join(o.groupBy("r", "c").agg(F.count("*").alias("n")), ["r", "c"], "left").select("r", "c", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @_query("SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
@@ -387,8 +392,8 @@ def left_join_assert(t):
 
 @_query("SELECT n_name, count(*) AS n, cast(sum(c_acctbal > 0) AS bigint) AS solvent FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' GROUP BY 1")
 def star_join(t):
-    n = t("nation").join(F.broadcast(t("region").where("r_name = 'ASIA'")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return t("customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"), F.count_if(F.col("c_acctbal") > 0).alias("solvent"))
+    n = t("nation").join(t("region").where("r_name = 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return t("customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"), F.count_if(F.col("c_acctbal") > 0).alias("solvent"))
 
 
 # --- sampling ---
@@ -509,12 +514,12 @@ def array_best_sort(t):
     return t("embeddings").select("vec_id", best.alias("at_max"), F.round(F.array_max("embedding").cast("double"), 6).alias("top"), F.size(F.filter("embedding", lambda x: x > 0)).alias("positive"))
 
 
-@_query("SELECT event_id, cast(json_extract(props, '$.k') AS integer) AS k FROM events WHERE cast(json_extract(props, '$.k') AS integer) % 3 = 0")
+@_query("SELECT event_id, cast(json_extract(props, '$.k') AS integer) AS k FROM events WHERE cast(json_extract(props, '$.k') AS integer) IN (SELECT n_nationkey FROM nation)")
 def json_props(t):
     """Keys are cut out of the raw text and reduced by a semi-join before any JSON is parsed."""
     raw = F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("int")
     e = t("events").select("event_id", "props", raw.alias("key"))
-    wanted = e.select("key").distinct().where("key % 3 = 0")
+    wanted = t("nation").select(F.col("n_nationkey").cast("int").alias("key"))
     return e.join(wanted, "key", "left_semi").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,31 +72,61 @@ def downgrade(spark: SparkSession, database: str) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
-def write_json(path: str, value) -> None:
-    """A small driver-side file, complete or absent, keys sorted."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    fd, tmp = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
-    with os.fdopen(fd, "w") as f:
-        json.dump(value, f, sort_keys=True, indent=1, default=str)
-    os.replace(tmp, path)
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API, so that small files go wherever tables go."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def check_manifest(folder: str, settings: dict) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or absent: written beside its place and renamed over it."""
+    fs, target = _hadoop(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The contents of a small file; None if there is none."""
+    fs, target = _hadoop(spark, path)
+    if not fs.exists(target):
+        return None
+    got = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(got)).decode()
+    finally:
+        got.close()
+
+
+def write_json(spark: SparkSession, path: str, value) -> None:
+    """A small file, complete or absent, keys sorted."""
+    write_text(spark, path, json.dumps(value, sort_keys=True, indent=1, default=str))
+
+
+def check_manifest(spark: SparkSession, folder: str, settings: dict) -> None:
     """Writes the settings of a run beside its output; refuses to resume one that was begun with others."""
-    path = os.path.join(folder, "_manifest.json")
-    if os.path.exists(path):
-        with open(path) as f:
-            old = json.load(f)
-        if old != json.loads(json.dumps(settings, default=str)):
-            changed = sorted(k for k in {*old, *settings} if old.get(k) != json.loads(json.dumps(settings.get(k), default=str)))
-            raise ValueError(f"{folder} was made with other settings: {', '.join(changed)}")
+    path = f"{folder.rstrip('/')}/_manifest.json"
+    now = json.loads(json.dumps(settings, default=str))
+    found = read_text(spark, path)
+    if found is None:
+        write_json(spark, path, settings)
         return
-    write_json(path, settings)
+    old = json.loads(found)
+    changed = sorted(k for k in {*old, *now} if old.get(k) != now.get(k))
+    if changed:
+        raise ValueError(f"{folder} was made with other settings: {', '.join(changed)}")
 
 
-def markdown(title: str, df: DataFrame, most: int = 1000) -> str:
-    """A small result as a Markdown table."""
-    rows = df.limit(most).collect()
+def markdown(title: str, df: DataFrame, most: int = 10_000) -> str:
+    """A small result as a Markdown table, whole; a result of more than `most` rows is no report and raises."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{title} has more than {most} rows")
     cell = lambda v: "" if v is None else f"{v:g}" if isinstance(v, float) else str(v)
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join([*lines, *("| " + " | ".join(map(cell, r)) + " |" for r in rows)]) + "\n"
