@@ -207,6 +207,22 @@ def greedy(item, doc, least):
         covered += n
 
 
+def test_tiling_of_long_and_repeated_passages():
+    """20,000 words with swapped halves, and runs of one word, take seconds; the tiles are those of the plain search on small cases."""
+    import time
+
+    began = time.time()
+    item = list(range(20000))
+    assert sorted(decontam.tiles(item, [(0, item[10000:] + item[:10000])], 5)) == [(0, 10000, 10000), (10000, 0, 10000)]
+    got = decontam.tiles([7] * 3000, [(0, [7] * 1000), (5000, [7] * 1999)], 5)
+    assert sum(n for *_, n in got) == 2999
+    assert time.time() - began < 20
+    r = random.Random(3)
+    for _ in range(200):
+        item, doc = [r.randrange(3) for _ in range(r.randrange(1, 30))], [r.randrange(3) for _ in range(r.randrange(1, 40))]
+        assert sum(n for *_, n in decontam.tiles(item, [(0, doc)], 2)) == greedy(item, doc, 2)
+
+
 def test_decontamination(spark, make):
     r = random.Random(9)
     items = [(k, " ".join(f"b{r.randrange(60)}" for _ in range(r.choice([3, 8, 25, 40])))) for k in range(12)] + [(50, None), (51, "")]

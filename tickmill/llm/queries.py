@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: each operator on its whole table, and the pipeline."""
+"""The registered queries of this subpackage: each operator on its whole table."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from . import bpe, decontam, fingerprint, langid, lm, ngram_join, quality, subst
 
 
 def queries() -> dict:
-    import corpus_pipeline
-
     return {
         "op1_warc": warc.op1,
         "op2_decontamination": decontam.op2,
@@ -19,7 +17,6 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8,
         "op9_language_id": langid.op9,
         "op10_fingerprint": fingerprint.op10,
-        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -71,7 +68,4 @@ FROM documents d LEFT JOIN k USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    import corpus_pipeline
-
-    out = {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6}
-    return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6}

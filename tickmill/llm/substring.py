@@ -180,7 +180,7 @@ def _runs(key: np.ndarray, doc: np.ndarray, place: np.ndarray, buckets: int):
 
 
 def repeats(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """(bucket, key, doc, first, length) blobs: runs of places, counted in words, of windows that also stand in a document of smaller id; dealt by key."""
+    """(bucket, key, doc, first, length): runs of places, counted in words, of windows that also stand in a document of smaller id; a row of blobs for each bucket of keys."""
     spark = docs.sparkSession
     buckets = common.partitions(spark)
     shared = spark.sparkContext.broadcast(repeated_anchors(docs, window, seed, buckets))
@@ -271,8 +271,16 @@ def repeats(docs: DataFrame, window: int, seed: int) -> DataFrame:
         key, doc, place = (np.concatenate(x) for x in zip(*found))
         yield from _rows(_runs(key, doc, place, buckets), RUN)
 
+    def merged(batches):
+        """All runs of a bucket in one row, in order of their keys."""
+        got = common.gathered(batches, **dict(zip(RUN, (np.int64, np.int64, np.int32, np.int32))))
+        order = np.lexsort((got["first"], got["doc"], got["key"]))
+        if len(order):
+            yield from _rows([(int(got["key"][0] % buckets), {k: got[k][order].tobytes() for k in RUN})], RUN)
+
     sent = docs.mapInArrow(run, f"bucket int, {kind}").repartitionById(buckets, F.col("bucket"))
-    return sent.mapInArrow(reduce, "bucket int, " + ", ".join(f"{c} binary" for c in RUN))
+    runs = "bucket int, " + ", ".join(f"{c} binary" for c in RUN)
+    return sent.mapInArrow(reduce, runs).repartitionById(buckets, F.col("bucket")).mapInArrow(merged, runs)
 
 
 def _within(n: np.ndarray) -> np.ndarray:
@@ -339,7 +347,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, car
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(x, np.int64)))], ["key"])
 
     # texts without a repeat need no shuffle, as long as the keys of those with one can be broadcast
-    touched = common.settled(found.mapInArrow(keys, "key long").distinct())
+    touched = common.settled(found.mapInArrow(keys, "key long"))  # a key is in one row
     small = touched.count() * 48 <= common.BROADCAST_BYTES
     some = whole.join(F.broadcast(touched), "key", "left_semi") if small else whole
     rows = some.select(F.pmod("key", F.lit(buckets)).cast("int").alias("bucket"), F.lit(1).alias("kind"), *whole.columns, *(F.lit(None).cast("binary").alias("run_" + k) for k in RUN))
