@@ -76,12 +76,16 @@ def test_tree():
     sets = [np.unique(r.integers(0, 400, r.integers(20, 90)).astype(np.uint64) << np.uint64(20)) for _ in range(300)]
     x = ngram_join.points(sets)
     tree = ngram_join.Tree(x)
-    for q in range(0, 300, 30):
-        needed = np.full(300, 12)
-        found, bound = tree.search(x[q], needed, 12)
-        want = np.minimum(x, x[q]).sum(1)
-        assert set(found) == set(np.flatnonzero(want >= 12)) and (bound == want[found]).all()
-        assert all(np.intersect1d(sets[q], s).size <= w for s, w in zip(sets, want))
+    n = np.array([len(s) for s in sets])
+    for share in (75, 12):
+        for q in range(0, 300, 30):
+            found, bound = tree.search(x[q], share)
+            want = np.minimum(x, x[q]).sum(1)
+            assert set(found) == set(np.flatnonzero(want * (100 + share) >= share * (n + n[q]))) and (bound == want[found]).all()
+            assert all(np.intersect1d(sets[q], s).size <= w for s, w in zip(sets, want))
+    tally = {}
+    [tree.search(x[q], 75, tally) for q in range(300)]
+    assert tally["bounded"] <= tally["opened"] < tally["points"] / 3  # boxes rule most points out
     tally = {}
     near = [np.arange(100, dtype=np.uint64) * np.uint64(7919 << 20)] * 1
     near += [np.sort(np.r_[near[0][i + 1 :], near[0][:i], np.array([i + 5], np.uint64)]) for i in range(99)]

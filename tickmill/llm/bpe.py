@@ -341,6 +341,11 @@ def encode(docs: DataFrame, ranks_path: str, ids: bool = True) -> DataFrame:
 
 
 def op3(spark, sf_dir):
+    """Token ids of every whole text, as counts and digests, and the digest of what they decode to.
+
+    Null and empty texts have no tokens. Rows of equal or null doc_id have a row each. Ties: of equal ranks the leftmost pair merges
+    first. An empty table gives no rows. Other columns are not read.
+    """
     import public_tokenizers
 
     return encode(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), ids=False).drop("round_trip")

@@ -30,7 +30,8 @@ from . import common, graph
 SHINGLE, SHARE = 5, 75
 #: Shingles of a block, in all, that one task joins.
 BLOCK_TOKENS = 2_000_000
-LEAF = 16
+#: Points of a box, and boxes of a larger one.
+LEAF = 4
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SLAB = 2 << 20
 
@@ -200,39 +201,56 @@ def candidate_edges(docs: DataFrame, k: int = SHINGLE, share: int = SHARE) -> Da
 
 
 class Tree:
-    """Points packed by sorting on their sums and first coordinates; upper corners of boxes of LEAF, LEAF^2, ... of them."""
+    """Points packed by halving on the coordinate of greatest variance, so that near ones share boxes; upper corners of boxes of LEAF, LEAF^2, ... of them."""
 
     def __init__(self, points: np.ndarray):
-        self.order = np.lexsort((*points.T[:3], points.sum(1)))
+        self.order = np.arange(len(points))
+        todo = [(0, len(points))]
+        while todo:
+            i, j = todo.pop()
+            if j - i <= LEAF:
+                continue
+            mine = self.order[i:j]
+            x = points[mine]
+            by = x[:, (np.square(x, dtype=np.float32).sum(0) - np.square(x.sum(0, dtype=np.float32)) / len(x)).argmax()]
+            mine[:] = mine[np.argsort(by, kind="stable")]
+            half = i + LEAF * -(-(j - i) // (2 * LEAF))
+            todo += [(i, half), (half, j)]
         self.levels = [points[self.order]]
+        self.least = [self.levels[0].sum(1, dtype=np.int64)]  # of each box: tokens of its smallest point
         while len(self.levels[-1]) > LEAF:
-            x = self.levels[-1]
-            self.levels.append(np.maximum.reduceat(x, np.arange(0, len(x), LEAF)))
+            x, at = self.levels[-1], np.arange(0, len(self.levels[-1]), LEAF)
+            self.levels.append(np.maximum.reduceat(x, at))
+            self.least.append(np.minimum.reduceat(self.least[-1], at))
 
-    def search(self, q: np.ndarray, needed: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
-        """(points, bounds) whose summed minima with q reach needed[point] (a box: floor)."""
+    def search(self, q: np.ndarray, share: int = SHARE, tally: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(points, bounds) whose summed minima with q reach the overlap that a link needs (of a box: with its smallest point); tally counts points, those in boxes that are opened, and those whose bound allows a link."""
+        own = int(q.sum(dtype=np.int64))
         at = np.arange(len(self.levels[-1]))
         for depth in range(len(self.levels) - 1, 0, -1):
             box = self.levels[depth][at]
-            at = at[np.minimum(box, q).sum(1, dtype=np.int64) >= floor]
+            at = at[np.minimum(box, q).sum(1, dtype=np.int64) * (100 + share) >= share * (self.least[depth][at] + own)]
             if not len(at):
-                return at, at
+                break
             at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
             at = at[at < len(self.levels[depth - 1])]
         bound = np.minimum(self.levels[0][at], q).sum(1, dtype=np.int64)
         found = self.order[at]
-        ok = bound >= needed[found]
+        ok = bound * (100 + share) >= share * (self.least[0][at] + own)
+        if tally is not None:
+            for k, n in (("points", len(self.order)), ("opened", len(at)), ("bounded", int(ok.sum()))):
+                tally[k] = tally.get(k, 0) + n
         return found[ok], bound[ok]
 
 
 def points(sets: list[np.ndarray]) -> np.ndarray:
-    """Counts of each set's tokens in groups; a power of two, about a third of the largest set but 16 at least and 512 at most."""
+    """Counts of each set's tokens in groups: a power of two, at least twice the largest set but 16 at least and 4096 at most, so that few tokens share a group and a box of a few points leaves many groups empty."""
     largest = max(map(len, sets))
-    bits = int(np.clip(np.ceil(np.log2(max(1, largest) / 3)), 4, 9))
+    bits = int(np.clip(np.ceil(np.log2(max(1, largest) * 2)), 4, 12))
     g = 1 << bits
     at = np.concatenate([(x >> np.uint64(20)) & np.uint64(g - 1) for x in sets]).astype(np.int64)
     row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    return np.bincount(row * g + at, minlength=len(sets) * g).reshape(len(sets), g).astype(np.int32)
+    return np.bincount(row * g + at, minlength=len(sets) * g).reshape(len(sets), g).astype(np.int32 if largest > 65535 else np.uint16)
 
 
 def spanning_links(sets: list[np.ndarray], share: int = SHARE, tally: dict | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
@@ -269,11 +287,9 @@ def spanning_links(sets: list[np.ndarray], share: int = SHARE, tally: dict | Non
         if len(band) > 1:
             x = points([sets[i] for i in band])
             tree = Tree(x)
-            s = size[band]
             for q in range(hi - lo):
                 i = band[q]
-                needed = -(-share * (s + s[q]) // (100 + share))
-                found, bound = tree.search(x[q], needed, -(-share * 2 * int(first) // (100 + share)))
+                found, bound = tree.search(x[q], share, tally)
                 other = band[found]
                 ok = (root[other] != root[i]) & (size[other] * share <= 100 * size[i])
                 # the smaller of a pair asks; of equal sizes both do
@@ -389,4 +405,10 @@ def representatives(docs: DataFrame, k: int = SHINGLE, share: int = SHARE) -> Da
 
 
 def op4(spark, sf_dir):
+    """Shingles of every document and the least doc_id that links lead to.
+
+    Null and empty texts have an empty set and no link. Rows of equal doc_id have a row each and share a component only through links; rows
+    of null doc_id have a null component if nothing else is in it. A link of exactly the threshold counts. An empty table
+    gives no rows. Other columns are not read.
+    """
     return clusters(common.table(spark, sf_dir, "documents"))
