@@ -81,3 +81,8 @@ def mapped(x: Column, values: dict) -> Column:
     """A value by key; an unknown key raises."""
     table = F.create_map(*(F.lit(v) for kv in values.items() for v in kv))
     return F.when(x.isNull() | F.array_contains(F.array(*(F.lit(k) for k in values)), x), table[x]).otherwise(F.raise_error(F.concat(F.lit("no value for "), x.cast("string"))))
+
+
+def tenths(x: Column, whole: Column) -> Column:
+    """The share of x in whole, clipped to [0, 1], floored to tenths; all of it counts as 0.9."""
+    return F.least(F.floor(clip(x / whole, 0.0, 1.0) * 10), F.lit(9)) / 10

@@ -29,13 +29,13 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict:
-    from . import chess  # noqa: F401  registers its own
+    from . import chess, reporting  # noqa: F401  register their own
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chess  # noqa: F401
+    from . import chess, reporting  # noqa: F401
 
     return dict(_SQL)
 
