@@ -304,3 +304,24 @@ def test_equal_digests_are_told_apart(make):
     """Texts whose digests collide have groups of their own: the bytes decide."""
     got = fingerprint.grouped(make([(1, "a"), (2, "b"), (3, "A "), (4, None)]), hexdigest=lambda x: "0" * 32).collect()
     assert {r.doc_id: r.group_id for r in got} == {1: 1, 2: 2, 3: 1, 4: 4} and {r.fingerprint for r in got} == {"0" * 32}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_graph_components(spark, seed):
+    """Random edges, a star around a node that isn't its least, a chain, loops and repeated edges, against union-find."""
+    r = random.Random(seed)
+    edges = [(5000, i) for i in range(4000, 4600)] + [(i, 9000) for i in range(8000, 8500)] + [(i, i + 1) for i in range(6000, 6060)] + [(7, 7), (7, 7)]
+    edges += [(r.randrange(400), r.randrange(400)) for _ in range(220)] * 2
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        up[b] = a
+    r.shuffle(edges)
+    got = {(x.node, x.component) for x in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(x, top(x)) for x in up if any(top(x) == top(y) and x != y for y in up)}
