@@ -80,11 +80,12 @@ def state_share(obs: DataFrame) -> DataFrame:
 EVAL_DDL = "fen string, evals array<struct<pvs:array<struct<cp:int,mate:int,line:string>>,knodes:bigint,depth:int>>"
 
 
-def wanted_records(lines: DataFrame, wanted: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Raw JSON lines whose position is in wanted(epd), before any parsing; wanted is broadcast if it is small."""
+def wanted_records(lines: DataFrame, wanted: DataFrame, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """Raw JSON lines whose position is in wanted(epd), before any parsing; wanted is broadcast if its rows, measured, take at most broadcast_bytes, else the join shuffles."""
     keys = wanted.select(F.col("epd").alias("_k")).where("_k is not null").distinct()
     keyed = lines.withColumn("_k", F.substring_index(F.substring_index(F.col("value"), '"fen":"', -1), '"', 1))
-    side = F.broadcast(keys) if keys.count() <= broadcast_rows else keys
+    size = keys.agg(F.sum(F.octet_length("_k") + F.lit(40).cast("long"))).first()[0] or 0
+    side = F.broadcast(keys) if size <= broadcast_bytes else keys
     return keyed.join(side, "_k", "left_semi").drop("_k")
 
 

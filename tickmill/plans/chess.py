@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from ..operators import labels, replay, reports, timing
@@ -124,3 +126,68 @@ def observations_join(t):
     return out.select("vec_id", F.coalesce(F.round("loss_win_pct", 3), F.lit(-999.0)).alias("loss"), F.coalesce("y", F.lit(False)).alias("y"), F.col("position_state").alias("state"), F.coalesce(F.col("n_acceptable_lines").cast("int"), F.lit(-1)).alias("near"))
 
 
+
+
+# --- sampled positions, puzzles and the pool ---
+
+#: Positions of the whole games above by ply (fixed values, by hand): FEN, FEN one ply earlier, the move before, whether that captured, whether the move takes back.
+_POSITIONS = {
+    ("ruy", 8): ("r1bqkbnr/1ppp1ppp/p1B5/4p3/4P3/5N2/PPPP1PPP/RNBQK2R b KQkq - 0 4", "r1bqkbnr/1ppp1ppp/p1n5/1B2p3/4P3/5N2/PPPP1PPP/RNBQK2R w KQkq - 0 4", "b5c6", True, True),
+    ("ruy", 9): (_REPLAYED["ruy"][0], "r1bqkbnr/1ppp1ppp/p1B5/4p3/4P3/5N2/PPPP1PPP/RNBQK2R b KQkq - 0 4", "d7c6", True, False),
+    ("fool", 4): (_REPLAYED["fool"][0], "rnbqkbnr/pppp1ppp/8/4p3/8/5P2/PPPPP1PP/RNBQKBNR w KQkq - 0 2", "g2g4", False, False),
+    ("passant", 5): (_REPLAYED["passant"][0], "rnbqkbnr/1ppppppp/p7/4P3/8/8/PPPP1PPP/RNBQKBNR b KQkq - 0 2", "d7d5", False, False),
+}
+
+
+def _positions_sql() -> str:
+    """name, ply, fen, prev_fen, before, took, back, position_id (BLAKE2b of the position without its counters) as a relation."""
+    digest = lambda fen: hashlib.blake2b(fen.rsplit(" ", 2)[0].encode(), digest_size=8).hexdigest()
+    rows = ", ".join(f"('{n}', {p}, '{f}', '{e}', '{b}', {str(x).lower()}, {str(y).lower()}, '{digest(f)}')" for (n, p), (f, e, b, x, y) in _POSITIONS.items())
+    return f"{_games_sql()}, r AS (SELECT * FROM (VALUES {rows}) r(name, ply, fen, prev_fen, before, took, back, position_id))"
+
+
+def _replay_input(t):
+    """(sampled plies of every whole game, all games' moves)."""
+    games = _games(t, 1).select(F.concat(F.lit("g"), F.col("game").cast("string")).alias("game_id"), "game", "name", "moves", "whole")
+    wanted = F.when(F.col("name") == "ruy", F.array(F.lit(8), F.lit(9))).when(F.col("name") == "fool", F.array(F.lit(4))).when(F.col("name") == "passant", F.array(F.lit(5)))
+    sampled = games.where(F.size("moves") == F.size("whole")).select("game_id", "game", F.explode(wanted.cast("array<smallint>")).alias("ply"))
+    moves = games.select("game_id", "game", F.posexplode("moves").alias("i", "uci")).select("game_id", (F.col("i") + 1).cast("short").alias("ply"), "uci", (F.col("i") + 1 + F.col("game") % 10).cast("double").alias("time_spent_s"))
+    return sampled, moves
+
+
+@_query(f"""WITH {_positions_sql()} SELECT c_custkey, cast(ply AS integer) AS ply, fen, position_id, cast((ply + 1) // 2 AS integer) AS move_number, 'opening' AS phase, before AS opp_prev_uci, took AS opp_prev_was_capture, back AS is_recapture,
+    cast(ply - 1 + c_custkey % 10 AS double) AS opp_prev_time_spent_s, cast(ply - 2 + c_custkey % 10 AS double) AS prev_own_time_spent_s FROM g JOIN r USING (name) WHERE n = size""")
+def replayed_samples(t):
+    """Sampled decisions with the facts that replay gives them."""
+    out = replay.replay_positions(*_replay_input(t))
+    return out.select(F.col("game").alias("c_custkey"), F.col("ply").cast("int").alias("ply"), "fen", "position_id", F.col("move_number").cast("int").alias("move_number"), "phase", "opp_prev_uci", "opp_prev_was_capture", "is_recapture", "opp_prev_time_spent_s", "prev_own_time_spent_s")
+
+
+@_query(f"""WITH {_positions_sql()} SELECT position_id, fen, prev_fen, before AS opp_prev_uci, min('g' || c_custkey) AS source_game_id FROM g JOIN r USING (name) WHERE n = size GROUP BY ALL""")
+def trainer_pool(t):
+    """Every distinct position of the samples, from its first game, replayed again and checked."""
+    sampled, moves = _replay_input(t)
+    obs = replay.replay_positions(sampled, moves).withColumns({"loss_win_pct": F.lit(1.0), "category": F.lit("quiet"), "position_state": F.lit("balanced")})
+    lines = obs.select("position_id").distinct().withColumn("lines", F.array(F.lit("a line")))
+    return replay.trainer_pool(obs, lines, moves).select("position_id", "fen", "prev_fen", "opp_prev_uci", "source_game_id")
+
+
+@_query("""WITH k AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 1 THEN 'd7d5' WHEN 3 THEN NULL ELSE 'd8h4' END AS played, CASE WHEN c_custkey % 5 = 0 THEN 'd8g5' ELSE 'd8h4' END AS solution FROM customer)
+    SELECT 'p' || c_custkey AS puzzle_id, CASE c_custkey % 4 WHEN 2 THEN 'setup_mismatch' WHEN 3 THEN 'no_solver_move' ELSE 'kept' END AS outcome, cast(4 AS integer) AS ply, coalesce(played, '-') AS played_uci,
+    CASE WHEN played IS NULL THEN 'none' WHEN played = solution OR (c_custkey % 3 = 0 AND played = 'd8h4') THEN 'solved' ELSE 'missed' END AS solved, 1200 + c_custkey % 300 AS solver_elo,
+    'rnbqkbnr/pppp1ppp/8/4p3/6P1/5P2/PPPPP2P/RNBQKBNR b KQkq - 0 2' AS fen FROM k""")
+def puzzle_outcomes(t):
+    """A mate in one for every customer, whose game set it up otherwise, ended before the answer, or answered well or not; another mate than the stored one counts if the theme asks for mate."""
+    k = F.col("c_custkey")
+    game, solution = F.concat(F.lit("g"), k.cast("string")).alias("game_id"), F.when(k % 5 == 0, "d8g5").otherwise("d8h4")
+    themes = F.when(k % 3 == 0, F.array(F.lit("short"), F.lit("mateIn1"))).when(k % 3 == 2, F.array(F.lit("opening")))
+    puzzles = t("customer").select(
+        F.concat(F.lit("p"), k.cast("string")).alias("puzzle_id"), game, F.lit(_POSITIONS["fool", 4][1]).alias("fen_before"), F.array(F.lit("g2g4"), solution).alias("moves"), F.lit("g2g4").alias("setup_uci"), solution.alias("solution_uci"),
+        F.lit(900).alias("puzzle_rating"), F.lit(80).alias("rating_deviation"), F.lit(90).alias("popularity"), F.lit(7).alias("nb_plays"), themes.alias("themes"), F.lit(3).alias("setup_ply"), F.lit("b").alias("solver_side"),
+    )
+    games = t("customer").select(game, (1000 + k % 500).alias("white_elo"), (1200 + k % 300).alias("black_elo"), F.lit("blitz").alias("tc_class"), F.lit(300).alias("base_s"), F.lit(0).alias("increment_s"))
+    played = F.array(F.lit("f2f3"), F.lit("e7e5"), F.when(k % 4 == 2, "g2g3").otherwise("g2g4"), F.when(k % 4 == 1, "d7d5").otherwise("d8h4"))
+    moves = t("customer").select(game, F.posexplode(F.slice(played, F.lit(1), F.when(k % 4 == 3, 3).otherwise(4))).alias("i", "uci")).select("game_id", (F.col("i") + 1).cast("int").alias("ply"), "uci")
+    out = replay.puzzle_outcomes(puzzles, games, moves)
+    solved = F.when(F.col("played_solution").isNull(), "none").when(F.col("played_solution"), "solved").otherwise("missed")
+    return out.select("puzzle_id", "outcome", F.col("ply").cast("int").alias("ply"), F.coalesce("played_uci", F.lit("-")).alias("played_uci"), solved.alias("solved"), "solver_elo", "fen")
