@@ -5,10 +5,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from tickmill.config import Config
+from tickmill.config import Config, Settings
 from tickmill.operators import reports
 from tickmill.operators.board import Board
-from tickmill.plans import jobs
+from tickmill.plans import cli, jobs
 from tickmill.sources import evaluator, store
 
 from .test_rules import made
@@ -87,7 +87,11 @@ def test_all_jobs(spark, tmp_path):
     assert rest == sampled.select("position_id").distinct().count() - 5 and jobs.label(spark, out, MaterialEvaluator, cfg) == 0
     assert reports.label_summary(spark.read.parquet(f"{out}/labels")).first().n == rest + 5
     checks = jobs.build_observations(spark, out, cfg)
-    assert checks["n"] == 24 and checks["lines_sorted"] and checks["above_best_by_1"] == 0
+    assert checks["n"] == checks["observations"] == 24 and checks["lines_sorted"] and checks["above_best_by_1"] == 0
+    obs = [r for r in spark.read.parquet(f"{out}/labeled_observations").collect() if r.loss_win_pct is not None]
+    assert checks["y_population"] == pytest.approx(sum(r.sampling_weight for r in obs if r.y) / sum(r.sampling_weight for r in obs))
+    assert sum(r["n"] for r in checks["by_state"]) == sum(r["n"] for r in checks["by_class_band_state"]) == 24
+    assert sum(r["positions"] for r in checks["by_category"]) == len({r.position_id for r in obs}) and checks["evaluation_check"]["n"] <= 1
     report = jobs.build_budgets(spark, out, cfg)
     assert report["rows"] == 2 * 6 * 4 and all("increases" not in v for v in report["violations"])
     n = jobs.build_pool(spark, interim, out, cfg)
@@ -99,6 +103,16 @@ def test_all_jobs(spark, tmp_path):
     again = jobs.load_serving(spark, str(tmp_path / "o2"), serving, cfg)
     assert (again["added"], again["updated"], again["deactivated"]) == (0, n - 1, 1)
     assert spark.read.parquet(again["path"]).where("active").count() == n - 1 and spark.read.parquet(again["path"]).count() == n
+    # the command line: the whole load, twice; the first user and their settings stay
+    app = str(tmp_path / "app")
+    first, second = (cli.run(spark, ["load"], Settings(interim=interim, processed=out, database=app)) for _ in range(2))
+    assert first["positions"]["added"] == n and second["positions"]["updated"] == n and first["budget_rows"] == report["rows"] and second["user_id"] == 1
+    assert spark.read.parquet(f"{app}/users").first().rating == 1500 and spark.read.parquet(f"{app}/user_settings").first().default_class == "blitz"
+    assert json.loads((tmp_path / "o/reports/load.json").read_text())["budget_rows"] == report["rows"]
+    assert cli.run(spark, ["--out", out, "observations"])["y_population"] == checks["y_population"] and "## by_category" in (tmp_path / "o/reports/observations.md").read_text()
+    store.write_table(spark.createDataFrame([(1, "nowhere")], "user_id long, position_id string"), f"{app}/attempts")
+    with pytest.raises(ValueError, match="attempts.position_id"):
+        cli.run(spark, ["load"], Settings(interim=interim, processed=out, database=app))
     # a pool whose games don't replay is refused
     broken = spark.read.parquet(f"{out}/labeled_observations").withColumn("fen", F.lit("other"))
     from tickmill.operators import replay

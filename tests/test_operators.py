@@ -195,8 +195,19 @@ def test_store(spark, tmp_path):
     assert "| id | v |" in store.markdown("t", new)
     with pytest.raises(ValueError):
         store.markdown("t", spark.range(5), 4)
+    assert store.migrate(spark, "tickmill_app", 1) == []
+    spark.sql("INSERT INTO tickmill_app.users VALUES (7, timestamp'2024-01-01')")
     assert store.migrate(spark, "tickmill_app") == [] and store.migrate(spark, "tickmill_app") == []
+    assert [(r.user_id, r.name, r.rating) for r in spark.table("tickmill_app.users").collect()] == [(7, None, None)]
     store.downgrade(spark, "tickmill_app")
+    users = spark.createDataFrame([(1,)], "user_id long")
+    store.check_references({"users": users, "user_settings": users})
+    with pytest.raises(ValueError, match="attempts.user_id refers to missing users: 2"):
+        store.check_references({"users": users, "attempts": spark.createDataFrame([(1, "p"), (2, "p"), (None, "p")], "user_id long, position_id string")})
+    store.write_report(spark, str(tmp_path / "reports"), "job", {"n": 3, "rates": {"a": 0.5}, "rows": [{"x": 1, "y": None}], "none": []})
+    assert json.loads((tmp_path / "reports/job.json").read_text())["rates"] == {"a": 0.5}
+    assert (tmp_path / "reports/job.md").read_text().split("\n")[2:4] == ["- n: 3", "- none: "] and "| 1 |  |" in (tmp_path / "reports/job.md").read_text()
+    assert [r["n"] for r in records.read_sidecars(spark, str(tmp_path / "reports"))] == [3]
 
 
 def test_sources(spark, tmp_path):

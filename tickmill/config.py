@@ -132,6 +132,8 @@ class Config:
     multipv: int = 5
     puzzle_band_width: int = 200
     position_states: tuple[str, ...] = ("balanced",)
+    rating_offset: int = 300
+    default_rating: int = 1500
 
     def __post_init__(self):
         clipped = {c for c, _, _ in self.budget.clip_s}

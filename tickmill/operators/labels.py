@@ -142,9 +142,9 @@ def depth_profile(tops: Column, best: Column) -> tuple[Column, Column]:
     return F.array_min(F.transform(mine, lambda t: t["depth"])), stays
 
 
-def evaluation_check(obs: DataFrame, evaldb: DataFrame) -> DataFrame:
-    """Labels against database lines for the same played move: agreement on the best move, mean and median difference of loss."""
+def evaluation_check(obs: DataFrame, evaldb: DataFrame, tau: float = 5.0) -> DataFrame:
+    """Labels against database lines for the same played move: agreement on the best move and on acceptance, mean and median difference of loss."""
     lines = evaldb.select("epd", F.col("best_uci").alias("db_best"), F.explode("pvs").alias("p")).select("epd", "db_best", F.col("p.uci").alias("played_uci"), (F.max("p.win_pct").over(Window.partitionBy("epd")) - F.col("p.win_pct")).alias("db_loss"))
     both = obs.where("loss_win_pct is not null").join(lines, ["epd", "played_uci"])
     diff = F.abs(F.col("loss_win_pct") - F.col("db_loss"))
-    return both.agg(F.count("*").alias("n"), F.avg((F.col("best_uci") == F.col("db_best")).cast("double")).alias("same_best"), F.avg(diff).alias("mean_abs_diff"), F.median(diff).alias("median_abs_diff"))
+    return both.agg(F.count("*").alias("n"), F.avg((F.col("best_uci") == F.col("db_best")).cast("double")).alias("same_best"), F.avg(((F.col("loss_win_pct") <= tau) == (F.col("db_loss") <= tau)).cast("double")).alias("same_y"), F.avg(diff).alias("mean_abs_diff"), F.median(diff).alias("median_abs_diff"))

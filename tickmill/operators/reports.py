@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scores
-from . import ranks
+from . import labels, ranks
 
 
 def _share(c, name: str):
@@ -69,3 +69,23 @@ def observation_checks(obs: DataFrame) -> DataFrame:
     """Data quality of labelled decisions: how far played moves stand above the best, and domains."""
     o = obs.where("loss_win_pct is not null")
     return o.agg(F.count("*").alias("n"), _share(F.col("loss_win_pct") < -1, "above_best_by_1"), _share(F.col("loss_win_pct") < -5, "above_best_by_5"), F.bool_and(F.col("best_win_pct").between(0, 100)).alias("win_in_range"), F.bool_and(F.col("sampling_weight") > 0).alias("weights_positive"), F.bool_and(F.coalesce(F.col("gap_1_2"), F.lit(0.0)) >= 0).alias("lines_sorted"))
+
+
+def quality_report(obs: DataFrame, matches: DataFrame | None = None, cfg: Config | None = None, width: int = 200) -> dict:
+    """What build_observations prints: checks, rates, tables by state, by category and by class, band and state, and the agreement with database evaluations if there are any. Sizes don't grow with the data."""
+    cfg = cfg or Config()
+    found = obs.where("loss_win_pct is not null")
+    y, best = F.col("y").cast("double"), F.col("is_best").cast("double")
+    rates = found.agg(
+        F.avg(y).alias("y_sample"), scores.weighted_rate(y, F.col("sampling_weight")).alias("y_population"), scores.weighted_rate(best, F.col("sampling_weight")).alias("best_population"),
+        _share(F.col("played_in_multipv"), "played_in_multipv"), _share(F.col("loss_win_pct") < 0, "negative_loss"),
+    ).first().asDict()
+    rows = lambda df: [r.asDict() for r in df.collect()]
+    report = {"observations": obs.count(), "tau_win_pct": cfg.acceptability.tau_win_pct, **observation_checks(obs).first().asDict(), **rates}
+    report["by_state"] = rows(labels.acceptance_by(obs, "position_state").orderBy("position_state"))
+    report["by_category"] = rows(labels.category_mix(obs))
+    by = ["tc_class", "band", "position_state"]
+    report["by_class_band_state"] = rows(labels.acceptance_by(obs.withColumn("band", scores.band(F.col("mover_elo"), width)), *by).orderBy(*by))
+    if matches is not None:
+        report["evaluation_check"] = labels.evaluation_check(obs, matches, cfg.acceptability.tau_win_pct).first().asDict()
+    return report

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import asdict
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,16 @@ def parse_games(spark: SparkSession, interim: str, cfg: Config | None = None, mo
     return {r["e"] or "parsed": r["n"] for r in done.groupBy(F.col("parse_error").alias("e")).agg(F.count("*").alias("n")).collect()}
 
 
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path; None if nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _games(spark: SparkSession, interim: str) -> DataFrame:
     return spark.read.parquet(f"{interim}/games").where("parse_error is null")
 
@@ -78,11 +90,8 @@ def label(spark: SparkSession, out: str, evaluator, cfg: Config | None = None, b
     cfg = cfg or Config()
     store.check_manifest(spark, f"{out}/labels_settings", {"settings": settings_of(cfg)})
     todo = labels.positions_to_label(spark.read.parquet(f"{out}/sampled_positions"), spark.read.parquet(f"{out}/evaldb_matches"), cfg.multipv)
-    try:
-        todo = todo.join(spark.read.parquet(f"{out}/labels").select("position_id"), "position_id", "left_anti")
-    except Exception as e:  # no labels yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    if (done := _existing(spark, f"{out}/labels")) is not None:
+        todo = todo.join(done.select("position_id"), "position_id", "left_anti")
     if limit:
         todo = todo.orderBy("position_id").limit(limit)
     n = todo.count()
@@ -100,7 +109,7 @@ def build_observations(spark: SparkSession, out: str, cfg: Config | None = None)
     obs = spark.read.parquet(f"{out}/labeled_observations")
     if obs.count() != positions.count():
         raise ValueError("a label joined more than once")
-    return reports.observation_checks(obs).first().asDict()
+    return reports.quality_report(obs, _existing(spark, f"{out}/evaldb_matches"), cfg)
 
 
 def build_budgets(spark: SparkSession, out: str, cfg: Config | None = None, model: str = "m0") -> dict:
@@ -130,6 +139,33 @@ def load_serving(spark: SparkSession, out: str, serving: str, cfg: Config | None
     return {"path": f"{serving}/v{now}", **counts}
 
 
+def load_app(spark: SparkSession, out: str, serving: str, cfg: Config | None = None, model: str = "m0") -> dict:
+    """Everything that the application serves, in one job: positions, a model's budgets, and a first user with default settings if there is none yet.
+
+    Settings and attempts that refer to a user or position that wouldn't be there stop the job before positions or budgets change.
+    """
+    cfg = cfg or Config()
+    budgets = spark.read.parquet(f"{out}/budgets").where(F.col("model") == model)
+    tables = {name: found for name in ("users", "user_settings", "attempts") if (found := _existing(spark, f"{serving}/{name}")) is not None}
+    if "users" not in tables:
+        user = spark.range(1, 2).select(F.col("id").alias("user_id"), F.lit("local").alias("name"), F.lit(cfg.default_rating).alias("rating"), F.current_timestamp().alias("created_at"))
+        mix = F.create_map(*(F.lit(x) for c in survival.TRAINABLE for x in (c, 1.0)))
+        settings = spark.range(1, 2).select(
+            F.col("id").alias("user_id"), F.lit(cfg.rating_offset).alias("target_offset"), F.lit(cfg.time_controls.supported[0]).alias("default_class"), F.lit("median").alias("strictness"),
+            F.to_json(mix).alias("category_mix"), F.lit(True).alias("continue_after_budget"), F.current_timestamp().alias("updated_at"),
+        )
+        for name, df in (("user_settings", settings), ("users", user)):  # the user last: without one the job starts over
+            store.write_table(df, f"{serving}/{name}")
+            tables[name] = spark.read.parquet(f"{serving}/{name}")
+    known = [f"{out}/trainer_pool", *(f"{serving}/v{max(int(r[0]) for r in v)}" for v in [_versions(spark, serving)] if v)]
+    store.check_references({**tables, "positions": reduce(DataFrame.union, (spark.read.parquet(p).select("position_id") for p in known))})
+    positions = load_serving(spark, out, serving, cfg)
+    served = budgets.select("model", "tc_class", "category", "rating", "budget_s", "budget_strict_s", "p_inf", "sparse")
+    store.replace_partition(served, f"{serving}/category_budgets", "model")
+    first = tables["users"].agg(F.min("user_id")).first()[0]
+    return {"positions": positions, "budget_rows": served.count(), "model": model, "user_id": first}
+
+
 def _versions(spark: SparkSession, serving: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(serving)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Versioned schemas of the serving tables.
+#: Columns of the serving tables that each version adds; names and types are fixed values of the data model.
 TABLES = {
     1: {
         "positions": "position_id string, fen string, prev_fen string, opp_prev_uci string, category string, phase string, source_rating smallint, active boolean",
@@ -17,9 +17,18 @@ TABLES = {
         "users": "user_id bigint, created_at timestamp",
         "user_settings": "user_id bigint, tc_class string, rating int, category_mix string",
         "attempts": "attempt_id bigint, user_id bigint, position_id string, seconds double, solved boolean, created_at timestamp",
-    }
+    },
+    2: {
+        "positions": "move_number smallint, side string, best_uci string, best_win_pct float, lines array<struct<uci:string,cp:int,mate:int,win_pct:float>>, n_acceptable_lines int, gap_1_2 double, source_game_id string, source_month string, source_tc_class string",
+        "users": "name string, rating int",
+        "user_settings": "target_offset int, default_class string, strictness string, continue_after_budget boolean, updated_at timestamp",
+        "attempts": "tc_class string, target_rating int, budget_model string, strictness string, budget_s double, time_ms int, move_uci string, played_win_pct double, loss_win_pct double, acceptable boolean, is_best boolean, within_budget boolean, graded_by string, mode string, propensity double",
+    },
 }
 
+#: (table, column, table that it refers to, its key)
+REFERENCES = (("user_settings", "user_id", "users", "user_id"), ("attempts", "user_id", "users", "user_id"), ("attempts", "position_id", "positions", "position_id"))
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """zstd Parquet; Spark's commit makes the write all or nothing, and _SUCCESS comes last."""
@@ -55,17 +64,31 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return child.where(F.col(key).isNotNull()).join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
 
 
+def check_references(tables: dict[str, DataFrame]) -> None:
+    """Raises if a row of a table refers to one that another lacks; tables that aren't given aren't checked."""
+    for child, key, parent, parent_key in REFERENCES:
+        if child in tables and parent in tables and (lost := orphans(tables[child], key, tables[parent], parent_key).limit(5).collect()):
+            raise ValueError(f"{child}.{key} refers to missing {parent}: {', '.join(str(r[key]) for r in lost)}")
+
+
 def write_serving(pool: DataFrame, path: str) -> None:
     """Positions laid out for lookups by category and rating."""
     pool.repartition("category").sortWithinPartitions("source_rating").write.mode("overwrite").option("compression", "zstd").partitionBy("category").parquet(path)
 
 
 def migrate(spark: SparkSession, database: str, version: int = max(TABLES)) -> list[str]:
-    """Creates the missing tables of a version in a database of the session's catalogue."""
+    """Brings a database of the session's catalogue to a version: missing tables are created, missing columns added, rows stay. Returns the tables that hold something else."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, ddl in TABLES[version].items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet")
-    return [name for name, ddl in TABLES[version].items() if [(f.name, f.dataType) for f in spark.table(f"{database}.{name}").schema] != [(f.name, f.dataType) for f in T._parse_datatype_string(ddl)]]
+    wanted: dict[str, dict] = {}
+    for step in range(1, version + 1):
+        for name, ddl in TABLES[step].items():
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet")
+            wanted.setdefault(name, {}).update((f.name, f.dataType) for f in T._parse_datatype_string(ddl))
+    for name, columns in wanted.items():
+        have = set(spark.table(f"{database}.{name}").columns)
+        if new := ", ".join(f"{c} {t.simpleString()}" for c, t in columns.items() if c not in have):
+            spark.sql(f"ALTER TABLE {database}.{name} ADD COLUMNS ({new})")
+    return [name for name, columns in wanted.items() if {f.name: f.dataType for f in spark.table(f"{database}.{name}").schema} != columns]
 
 
 def downgrade(spark: SparkSession, database: str) -> None:
@@ -127,6 +150,25 @@ def markdown(title: str, df: DataFrame, most: int = 10_000) -> str:
     rows = df.limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"{title} has more than {most} rows")
-    cell = lambda v: "" if v is None else f"{v:g}" if isinstance(v, float) else str(v)
-    lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-    return "\n".join([*lines, *("| " + " | ".join(map(cell, r)) + " |" for r in rows)]) + "\n"
+    return _table(title, df.columns, rows)
+
+
+def _cell(v) -> str:
+    return "" if v is None else f"{v:g}" if isinstance(v, float) else str(v)
+
+
+def _table(title: str, names: list[str], rows) -> str:
+    lines = [f"## {title}", "", "| " + " | ".join(names) + " |", "|" + " --- |" * len(names)]
+    return "\n".join([*lines, *("| " + " | ".join(map(_cell, r)) + " |" for r in rows)]) + "\n"
+
+
+def write_report(spark: SparkSession, folder: str, job: str, report: dict) -> None:
+    """A job's report as <job>.json and <job>.md: single values as a list, lists of rows and nested values as tables."""
+    single = {k: v for k, v in report.items() if not isinstance(v, dict) and not (isinstance(v, list) and v and isinstance(v[0], dict))}
+    parts = [f"# {job}\n", "".join(f"- {k}: {', '.join(map(_cell, v)) if isinstance(v, list) else _cell(v)}\n" for k, v in single.items())]
+    for k, v in report.items():
+        if k not in single:
+            rows = v if isinstance(v, list) else [{"name": a, "value": b} for a, b in v.items()]
+            parts.append(_table(k, list(rows[0]) if rows else ["name", "value"], (r.values() for r in rows)))
+    write_json(spark, f"{folder}/{job}.json", report)
+    write_text(spark, f"{folder}/{job}.md", "\n".join(parts))
