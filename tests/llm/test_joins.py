@@ -93,6 +93,17 @@ def test_tree():
     assert len(set(root.tolist())) == 1 and len(links) == 99 and tally["verified"] < 200  # a cluster costs a tree, not all pairs
 
 
+def test_null_ids_link(spark):
+    """A text that only rows of null id hold links two others that don't link with each other."""
+    word = [f"w{i}" for i in range(120)]
+    texts = [word[:100], word[8:108], word[16:116]]
+    rows = [(7, " ".join(texts[0])), (None, " ".join(texts[1])), (None, " ".join(texts[1])), (5, " ".join(texts[2])), (None, "alone with its words here today"), (9, " ".join(word[:60]))]
+    got = ngram_join.clusters(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == [(0, 2, 0), (0, 96, 5), (0, 96, 5), (5, 96, 5), (7, 96, 5), (9, 56, 9)]
+    alone = ngram_join.clusters(spark.createDataFrame([rows[0], rows[3]], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in alone} == {(7, 7), (5, 5)}
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 200)] + [(r.randrange(300, 400), r.randrange(300, 400)) for _ in range(60)] + [(500, x) for x in range(501, 700)]

@@ -349,16 +349,20 @@ def links(docs: DataFrame, facts: DataFrame, k: int = SHINGLE, share: int = SHAR
             out = []
             for i, j in common.groups([len(p) for p in parts], _SLAB):
                 out += shingle_sets(parts[i:j], k)
-            node = batch.column("node").to_pylist()
+            node = batch.column("node").to_pylist() if "node" in batch.schema.names else [node_of(x) for x in out]
+            block = batch.column("block") if "block" in batch.schema.names else pa.nulls(len(out), pa.int64())
             keep = []
             for i, x in enumerate(out):  # rows of equal id may differ, or be the same again
                 if len(x) and node[i] not in seen and node_of(x) == node[i]:
                     seen.add(node[i])
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column("block").take(pa.array(keep, pa.int64())), batch.column("node").take(pa.array(keep, pa.int64())), pa.array([out[i].tobytes() for i in keep], pa.binary())], ["block", "node", "shingles"])
+            yield pa.RecordBatch.from_arrays([block.take(pa.array(keep, pa.int64())), pa.array([node[i] for i in keep], pa.int64()), pa.array([out[i].tobytes() for i in keep], pa.binary())], ["block", "node", "shingles"])
 
     texts = docs.select("doc_id", "text").join(common.maybe_broadcast(wanted), "doc_id").select("block", "node", "text")
     sets = texts.mapInArrow(sets_of, "block long, node long, shingles binary")
+    if facts.where("doc_id is null and node is not null").limit(1).count():  # texts that only rows of null id have are found by their node
+        nameless = docs.where("doc_id is null").select("text").mapInArrow(sets_of, "block long, node long, shingles binary").drop("block")
+        sets = sets.unionByName(nameless.join(wanted.where("doc_id is null").select("block", "node"), "node"))
     if not hot.count():
         return block_links(sets.select(F.col("block").alias("task"), "node", "shingles"), share)
     sets = common.settled(sets)
