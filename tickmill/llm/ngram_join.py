@@ -32,6 +32,8 @@ SHINGLE, SHARE = 5, 75
 BLOCK_TOKENS = 2_000_000
 #: Points of a box, and boxes of a larger one.
 LEAF = 4
+#: Cells of the matrix of points that are worked on at once.
+_CELLS = 1 << 18
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SLAB = 2 << 20
 
@@ -211,8 +213,7 @@ class Tree:
             if j - i <= LEAF:
                 continue
             mine = self.order[i:j]
-            x = points[mine]
-            by = x[:, (np.square(x, dtype=np.float32).sum(0) - np.square(x.sum(0, dtype=np.float32)) / len(x)).argmax()]
+            by = points[mine, self._widest(points, mine)]
             mine[:] = mine[np.argsort(by, kind="stable")]
             half = i + LEAF * -(-(j - i) // (2 * LEAF))
             todo += [(i, half), (half, j)]
@@ -223,6 +224,16 @@ class Tree:
             self.levels.append(np.maximum.reduceat(x, at))
             self.least.append(np.minimum.reduceat(self.least[-1], at))
 
+    @staticmethod
+    def _widest(points: np.ndarray, mine: np.ndarray) -> int:
+        """The coordinate of greatest variance among some points, a piece of them at a time."""
+        step, total, square = max(1, _CELLS // points.shape[1]), 0.0, 0.0
+        for i in range(0, len(mine), step):
+            x = points[mine[i : i + step]].astype(np.float32)
+            total = total + x.sum(0)
+            square = square + np.square(x, out=x).sum(0)
+        return int((square - np.square(total) / len(mine)).argmax())
+
     def search(self, q: np.ndarray, share: int = SHARE, tally: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(points, bounds) whose summed minima with q reach the overlap that a link needs (of a box: with its smallest point); tally counts points, those in boxes that are opened, and those whose bound allows a link."""
         own = int(q.sum(dtype=np.int64))
@@ -248,9 +259,14 @@ def points(sets: list[np.ndarray]) -> np.ndarray:
     largest = max(map(len, sets))
     bits = int(np.clip(np.ceil(np.log2(max(1, largest) * 2)), 4, 12))
     g = 1 << bits
-    at = np.concatenate([(x >> np.uint64(20)) & np.uint64(g - 1) for x in sets]).astype(np.int64)
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    return np.bincount(row * g + at, minlength=len(sets) * g).reshape(len(sets), g).astype(np.int32 if largest > 65535 else np.uint16)
+    out = np.empty((len(sets), g), np.int32 if largest > 65535 else np.uint16)
+    step = max(1, _CELLS // g)
+    for i in range(0, len(sets), step):
+        part = sets[i : i + step]
+        at = np.concatenate([(x >> np.uint64(20)) & np.uint64(g - 1) for x in part]).astype(np.int64)
+        row = np.repeat(np.arange(len(part)), [len(x) for x in part])
+        out[i : i + step] = np.bincount(row * g + at, minlength=len(part) * g).reshape(len(part), g)
+    return out
 
 
 def spanning_links(sets: list[np.ndarray], share: int = SHARE, tally: dict | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
