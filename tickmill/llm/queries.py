@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, fingerprint, langid, lm, ngram_join, quality, substring, toxicity, warc
+from . import bpe, decontam, fingerprint, hot_join, langid, lm, ngram_join, quality, substring, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8,
         "op9_language_id": langid.op9,
         "op10_fingerprint": fingerprint.op10,
+        "op11_hot_join": hot_join.op11,
     }
 
 
@@ -66,6 +67,30 @@ FROM documents d LEFT JOIN k USING (doc_id)
 """
 )
 
+#: crc32 byte by byte: the table by its rule, and the fold over an ASCII string.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, b)) AS t"
+_CRC = "xor(list_reduce(list_transform(range(1, length({0}) + 1), lambda i: cast(ascii({0}[i]) AS bigint)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295)"
+OP11 = (
+    r"""
+WITH t AS MATERIALIZED (""" + _CRC_TABLE + r"""),
+raw AS (
+  SELECT 'click' AS side, click_id AS id, client_id, value AS amount FROM clicks
+  UNION ALL SELECT 'sale', sale_id, client_id, total FROM sales),
+named AS (SELECT side, id, client_id, cast(id AS varchar) AS a, coalesce(cast(id AS varchar), '') || ':' || coalesce(cast(cast(floor(100 * amount + 0.5) AS bigint) AS varchar), '') AS b FROM raw),
+hashed AS (
+  SELECT side, id, client_id,
+         """ + _CRC.format("a") + r""" AS h,
+         """ + _CRC.format("b") + r""" AS crc
+  FROM named, t),
+dealt AS (SELECT side, id, CASE WHEN h % 10 < 3 THEN (h // 10) % 7 ELSE client_id END AS client_id, crc FROM hashed),
+keyed AS (SELECT client_id, side, count(*) AS n, sum(crc) AS s FROM dealt WHERE client_id IS NOT NULL GROUP BY 1, 2),
+met AS (SELECT d.side, d.id, d.client_id, coalesce(k.n, 0) AS n, coalesce(k.s, 0) AS s FROM dealt d LEFT JOIN keyed k ON k.client_id = d.client_id AND k.side <> d.side)
+SELECT side, id, min(client_id) AS client_id, count(*) AS copies, cast(sum(n) AS bigint) AS inner_rows,
+       cast(sum(CASE WHEN side = 'click' THEN greatest(n, 1) ELSE n END) AS bigint) AS left_rows, cast(sum(greatest(n, 1)) AS bigint) AS full_rows, cast(sum(s) AS bigint) AS partner_crc
+FROM met GROUP BY side, id
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6}
+    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6, "op11_hot_join": OP11}
