@@ -12,7 +12,7 @@ sum of a measure over them: its result grows with the inputs, where the join's o
 rows. Only sums of the other side being asked for, a hot key's replicated side is merged into one weighted row first.
 
 Equal rows are merged into one with a count before anything is dealt, so copies are never a hot group, and a row's id,
-the hash of its contents, is the same when a lost task runs again. Null keys match nothing and aren't shuffled.
+the hash of its contents, is the same when a lost task runs again. Null keys match nothing and are answered beside the cells.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, fingerprint, hot_join, langid, lm, ngram_join, quality, substring, toxicity, warc
+from . import bpe, decontam, fingerprint, hot_join, langid, lm, ngram_join, quality, repair, substring, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_language_id": langid.op9,
         "op10_fingerprint": fingerprint.op10,
         "op11_hot_join": hot_join.op11,
+        "op12_conversation_repair": repair.op12,
     }
 
 
@@ -92,5 +93,66 @@ FROM met GROUP BY side, id
 )
 
 
+def _op12_sql() -> str:
+    """The edits as rows (state, kind of row, cost, letters, state after, inserted role, given role), and the layers as a recursive query over rows."""
+    from .repair import INSERT, TURN, _moves
+
+    ways = [f"({state}, '{k}', {cost}, '{letters}', {to}, {repr(TURN[state][0] + ':') if 'I' in letters else 'NULL'}, {repr(_role(state, letters)) if 'R' in letters else 'NULL'})" for state in TURN for k in "suaoSUAOx" for cost, letters, to in _moves(state, k)]
+    ends = ", ".join(f"({s}, {INSERT * n}, '{'I' * n}', {text})" for s, n, text in ((0, 0, "[]"), (1, 2, "['user:', 'assistant:']"), (2, 1, "['assistant:']"), (3, 0, "[]")))
+    return (
+        r"""
+WITH RECURSIVE t AS MATERIALIZED ("""
+        + _CRC_TABLE
+        + r"""),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(cast(conv_id AS varchar), ' ') || ':' || coalesce(cast(turn AS varchar), ' ') AS a FROM conversations),
+coded AS (SELECT *, """
+        + _CRC.format("a")
+        + r""" % 20 AS code FROM named, t),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE code <> 0),
+trimmed AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, substring(role, 1, 1) AS initial, sha256(text) AS digest FROM damaged),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, digest ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, lag(initial) OVER w || initial AS pair FROM trimmed WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest, copy)),
+marked AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault, CASE WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS letter FROM numbered),
+signed AS (SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN fault = 'truncated' THEN upper(letter) ELSE letter END AS k FROM marked),
+ways(state, k, cost, letters, after, inserted, given) AS (VALUES """
+        + ", ".join(ways)
+        + r"""),
+dp(conv_id, i, n, state, cost, audit, made) AS (
+  SELECT DISTINCT conv_id, cast(0 AS bigint), n, 0, 0, '', cast([] AS varchar[]) FROM signed
+  UNION ALL
+  SELECT conv_id, i, n, after, cost, audit, made FROM (
+    SELECT d.conv_id, s.i, d.n, w.after, d.cost + w.cost AS cost, d.audit || w.letters AS audit,
+           list_concat(d.made, CASE WHEN w.inserted IS NULL THEN [] ELSE [w.inserted] END, CASE WHEN w.letters LIKE '%D' THEN [] ELSE [coalesce(w.given, s.role) || ':' || s.text] END) AS made,
+           row_number() OVER (PARTITION BY d.conv_id, w.after ORDER BY d.cost + w.cost, d.audit || w.letters) AS r
+    FROM dp d JOIN signed s ON s.conv_id IS NOT DISTINCT FROM d.conv_id AND s.i = d.i + 1 JOIN ways w ON w.state = d.state AND w.k = s.k)
+  WHERE r = 1),
+ends(state, cost, letters, made) AS (VALUES """
+        + ends
+        + r"""),
+best AS (
+  SELECT d.conv_id, d.cost + e.cost AS cost, d.audit || e.letters AS audit, sha256(array_to_string(list_concat(d.made, e.made), chr(10))) AS repaired_sha256,
+         row_number() OVER (PARTITION BY d.conv_id ORDER BY d.cost + e.cost, d.audit || e.letters) AS r
+  FROM dp d JOIN ends e USING (state) WHERE d.i = d.n),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM signed GROUP BY conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+       cast(coalesce(b.cost, 0) AS bigint) AS cost, coalesce(b.audit, '') AS audit, coalesce(b.repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id AND b.r = 1
+"""
+    )
+
+
+def _role(state: int, letters: str) -> str:
+    """The role that a row gets in this state, after the insertion if there is one."""
+    from .repair import TURN
+
+    return TURN[TURN[state][1] if "I" in letters else state][0]
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6, "op11_hot_join": OP11}
+    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6, "op11_hot_join": OP11, "op12_conversation_repair": _op12_sql()}
