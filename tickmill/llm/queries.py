@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, fingerprint, hot_join, langid, lm, ngram_join, quality, repair, substring, toxicity, warc
+from . import bpe, chat, decontam, fingerprint, hot_join, langid, lm, ngram_join, quality, repair, substring, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_fingerprint": fingerprint.op10,
         "op11_hot_join": hot_join.op11,
         "op12_conversation_repair": repair.op12,
+        "op13_chat_format": chat.op13,
     }
 
 
@@ -92,6 +93,19 @@ FROM met GROUP BY side, id
 """
 )
 
+#: A turn takes 8 + 8 + 7 characters of marks, and a backslash for each control string in its role or text.
+OP13 = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (SELECT *, length(role) + length(text) + 23 + len(regexp_extract_all(role || chr(0) || text, '<\\*(\|(turn|text|end)\|>|/?s>)|\[\\*/?INST\]')) AS chars FROM r),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, sha256(text))) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, sha256(text)) FILTER (WHERE role = 'assistant'), '') AS trained, cast(sum(chars) AS bigint) AS formatted_chars
+  FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, cast(length(trained) AS bigint) AS loss_chars, sha256(trained) AS loss_sha256, formatted_chars FROM g
+"""
+
 
 def _op12_sql() -> str:
     """The edits as rows (state, kind of row, cost, letters, state after, inserted role, given role), and the layers as a recursive query over rows."""
@@ -155,4 +169,4 @@ def _role(state: int, letters: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6, "op11_hot_join": OP11, "op12_conversation_repair": _op12_sql()}
+    return {"op1_warc": OP1, "op4_ngram_jaccard": OP4, "op6_substring_dedup": OP6, "op11_hot_join": OP11, "op12_conversation_repair": _op12_sql(), "op13_chat_format": OP13}
