@@ -53,12 +53,10 @@ def observations(positions: DataFrame, labels: DataFrame, cfg: Config | None = N
 
 def acceptance_by(obs: DataFrame, *keys: str) -> DataFrame:
     """Count, plain and weighted acceptance, mean clipped loss, median and nearest 90 % time of labelled decisions."""
-    y = F.col("y").cast("double")
-    aggregates = [
-        F.count("*").alias("n"), F.avg(y).alias("y_sample"), scores.weighted_rate(y, F.col("sampling_weight")).alias("y_population"), scores.weighted_rate(F.col("is_best").cast("double"), F.col("sampling_weight")).alias("best_population"),
-        F.avg(F.greatest(F.col("loss_win_pct"), F.lit(0.0))).alias("mean_loss"),
-    ]
-    return ranks.described(obs.where("loss_win_pct is not null"), list(keys), "time_spent_s", aggregates, "median_s", ("p90_s", 0.9))
+    w, y, best = F.col("sampling_weight"), F.col("y").cast("double"), F.col("is_best").cast("double")
+    weighted = lambda x: (x * w, w)
+    ratios = {"y_sample": ranks.mean(y), "y_population": weighted(y), "best_population": weighted(best), "mean_loss": ranks.mean(F.greatest(F.col("loss_win_pct"), F.lit(0.0)))}
+    return ranks.described(obs.where("loss_win_pct is not null"), list(keys), "time_spent_s", ratios, "median_s", ("p90_s", 0.9))
 
 
 def category_mix(obs: DataFrame) -> DataFrame:

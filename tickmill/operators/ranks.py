@@ -1,8 +1,9 @@
-"""Ranks, quantiles and row numbers of large groups, without a task that sees a whole group.
+"""Running aggregates, ranks and quantiles of groups, without a task that sees a whole large group.
 
-A group's rows are cut into RANGES by approximate quantiles, which are a partial aggregate. Exact counts of the
-ranges are cumulated over one row for each group and range; only the range that holds a wanted rank, or each
-range by itself, is sorted in a task. The cuts being approximate changes sizes, never results.
+Rows are first aggregated to cells, one for each distinct value of a group, with map-side combine. Where the cells of all groups
+together are few (LARGEST), each group is cumulated as it is. Else a group is cut into RANGES by the quantiles of a KLL sketch,
+which is a partial aggregate; running aggregates are worked out within ranges and over one row a range, and put together. The
+cuts being approximate changes sizes, never results: sums of weights are decimals, which don't depend on their order.
 """
 
 from __future__ import annotations
@@ -12,7 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import shared
+
+#: Most cells that one task cumulates.
+LARGEST = 1 << 20
 RANGES = 64
+#: Size parameter of the sketch.
+SKETCH = 400
+#: Weights count to so many decimals.
+EXACT = "decimal(38,12)"
+
+#: How two runs' aggregates become one, and what an empty run has.
+_KINDS = {"sum": (F.sum, lambda a, b: a + b, 0), "product": (F.product, lambda a, b: a * b, 1.0)}
 
 
 def joined(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -26,30 +38,57 @@ def joined(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> D
     return a.join(right, on, how).drop(*(f"_same_{k}" for k in keys))
 
 
-def _ranged(df: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """df with _range: how many of its group's cuts are below `by`."""
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(by, [i / RANGES for i in range(1, RANGES)], F.lit(1000)).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda c: c < F.col(by)))
-    return joined(df, cuts, keys).withColumn("_range", below).drop("_cuts")
+def _place(x: Column, cuts: Column, lo: int, hi: int) -> Column:
+    """How many of the sorted cuts lo..hi-1 are below x, by bisection."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(x > F.get(cuts, F.lit(mid)), _place(x, cuts, mid + 1, hi)).otherwise(_place(x, cuts, lo, mid))
+
+
+def ranged(df: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """df with _range, which rises with the numeric column `by` within keys: RANGES parts of about as many rows, by the cuts of a sketch."""
+    x = F.col(by).cast("double")
+    sketch = df.groupBy(*keys).agg(F.kll_sketch_agg_double(x, F.lit(SKETCH)).alias("_s")).where(F.kll_sketch_get_n_double("_s") > 0)
+    cuts = sketch.select(*keys, F.kll_sketch_get_quantile_double("_s", F.array(*(F.lit(i / RANGES) for i in range(1, RANGES)))).alias("_cuts"))
+    few = shared.maybe_broadcast(shared.settled(cuts))
+    return joined(df, few, keys, "left").withColumn("_range", F.coalesce(_place(x, F.col("_cuts"), 0, RANGES - 1), F.lit(0))).drop("_cuts")
+
+
+class Ordered:
+    """Rows in the order of a numeric column within keys, for running aggregates. df is settled; rows of equal order follow each other in any order."""
+
+    def __init__(self, df: DataFrame, keys: list[str], by: str):
+        self.rows, self.keys, self.by = shared.settled(df), keys, by
+        self.split = self.rows.count() > LARGEST
+        if self.split:
+            self.rows = ranged(self.rows, keys, by)
+
+    def running(self, name: str, kind: str, column: Column) -> Ordered:
+        """Adds name, the aggregate of the column over the rows up to this one, name_before, over those before it, and name_all, over the group."""
+        fn, both, empty = _KINDS[kind]
+        rows = self.rows.withColumn("_x", column)
+        here = Window.partitionBy(*self.keys, *(["_range"] if self.split else [])).orderBy(self.by)
+        start, none = Window.unboundedPreceding, F.lit(empty)
+        own = {name: fn("_x").over(here.rowsBetween(start, 0)), f"{name}_before": F.coalesce(fn("_x").over(here.rowsBetween(start, -1)), none)}
+        if not self.split:
+            self.rows = rows.withColumns({**own, f"{name}_all": fn("_x").over(Window.partitionBy(*self.keys))}).drop("_x")
+            return self
+        by_range = Window.partitionBy(*self.keys).orderBy("_range")
+        sums = rows.groupBy(*self.keys, "_range").agg(fn("_x").alias("_t"))
+        sums = sums.withColumns({"_o": F.coalesce(fn("_t").over(by_range.rowsBetween(start, -1)), none), f"{name}_all": fn("_t").over(Window.partitionBy(*self.keys))}).drop("_t")
+        rows = joined(rows.withColumns(own), sums, [*self.keys, "_range"])
+        self.rows = rows.withColumns({c: both(F.col("_o"), F.col(c)) for c in own}).drop("_x", "_o")
+        return self
 
 
 def at_ranks(df: DataFrame, keys: list[str], value: str, weight: str | None, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """(keys, names): the least value whose cumulative weight (rows, without a weight) reaches rank(the group's total). Null values don't count; groups without others are left out."""
+    """(keys, names): the least value whose cumulative weight (rows, without a weight) reaches rank(the group's total). Null values and weights don't count; groups without others are left out."""
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
-    cells = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_w"))
-    cells = _ranged(cells, keys, "_v")
-    sums = cells.groupBy(*keys, "_range").agg(F.sum("_w").alias("_sum"))
-    upto = Window.partitionBy(*keys).orderBy("_range")
-    sums = sums.withColumns({"_upto": F.sum("_sum").over(upto), "_all": F.sum("_sum").over(Window.partitionBy(*keys))})
-    sums = sums.withColumn("_before", F.coalesce(F.lag("_upto").over(upto), F.lit(0)))
-    holds = lambda f: (F.col("_upto") >= f(F.col("_all"))) & ((F.col("_before") < f(F.col("_all"))) | (F.col("_range") == F.col("_least")))
-    sums = sums.withColumn("_least", F.min("_range").over(Window.partitionBy(*keys)))
-    some = F.lit(False)
-    for f in ranks.values():
-        some = some | holds(f)
-    few = joined(cells, sums.where(some).select(*keys, "_range", "_before", "_upto", "_all", "_least"), [*keys, "_range"])
-    cum = few.withColumn("_cum", F.col("_before") + F.sum("_w").over(Window.partitionBy(*keys, "_range").orderBy("_v")))
-    return cum.groupBy(*keys).agg(*(F.min(F.when(holds(f) & (F.col("_cum") >= f(F.col("_all"))), F.col("_v"))).alias(name) for name, f in ranks.items()))
+    cells = rows.groupBy(*keys, "_v").agg(F.coalesce(F.sum("_w"), F.lit(0)).cast(EXACT if weight else "long").alias("_w"))
+    ordered = Ordered(cells, keys, "_v").running("_cum", "sum", F.col("_w"))
+    cum, total = (F.col(c).cast("double") if weight else F.col(c) for c in ("_cum", "_cum_all"))
+    return ordered.rows.groupBy(*keys).agg(*(F.min(F.when(cum >= f(total), F.col("_v"))).alias(name) for name, f in ranks.items()))
 
 
 def nearest(q: float) -> Callable[[Column], Column]:
@@ -57,18 +96,26 @@ def nearest(q: float) -> Callable[[Column], Column]:
     return lambda n: F.floor(q * (n - 1) + 0.5) + 1
 
 
-def described(df: DataFrame, keys: list[str], value: str, aggregates: list[Column], median: str, high: tuple[str, float]) -> DataFrame:
-    """(keys, aggregates, median, high quantile): a groupBy with the median and a nearest quantile of one column."""
-    name, q = high
-    middle = {"_m1": lambda n: F.floor((n - 1) / 2) + 1, "_m2": lambda n: F.floor(n / 2) + 1}
-    found = at_ranks(df, keys, value, None, {**middle, name: nearest(q)}).select(*keys, ((F.col("_m1") + F.col("_m2")) / 2).alias(median), name)
-    return joined(df.groupBy(*keys).agg(*aggregates), found, keys, "left")
+def described(df: DataFrame, keys: list[str], value: str, ratios: dict[str, tuple[Column, Column]], median: str, high: tuple[str, float] | None = None, n: str = "n", n_values: bool = False) -> DataFrame:
+    """(keys, n, ratios, median, high quantile) in one pass: counts of rows (or of values), sums of one column over sums of another, the median and a nearest quantile of the value. Null values are in no quantile."""
+    sums = {f"_{part}{i}": c for i, pair in enumerate(ratios.values()) for part, c in zip("ab", pair)}
+    cells = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"), *(F.sum(c).alias(name) for name, c in sums.items()))
+    valued = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0).cast("long"))
+    rows = Ordered(cells, keys, "_v").running("_cum", "sum", valued).rows
+    at = lambda rank: F.min(F.when(F.col("_cum") >= rank(F.col("_cum_all")), F.col("_v")))
+    out = [F.sum(valued if n_values else F.col("_n")).alias(n), *((F.sum(f"_a{i}") / F.sum(f"_b{i}")).alias(name) for i, name in enumerate(ratios))]
+    out.append(((at(lambda m: F.floor((m - 1) / 2) + 1) + at(lambda m: F.floor(m / 2) + 1)) / 2).alias(median))
+    if high:
+        out.append(at(nearest(high[1])).alias(high[0]))
+    return rows.groupBy(*keys).agg(*out)
+
+
+def mean(c: Column) -> tuple[Column, Column]:
+    """A mean as the ratio that `described` takes."""
+    return c.cast("double"), F.when(c.isNotNull(), F.lit(1.0))
 
 
 def numbered(df: DataFrame, keys: list[str], by: str, out: str) -> DataFrame:
-    """df with the row number, from 1 on, within keys by a unique column."""
-    rows = _ranged(df, [], by)
-    sums = rows.groupBy(*keys, "_range").agg(F.count("*").alias("_sum"))
-    before = F.coalesce(F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = joined(rows, sums.withColumn("_before", before).drop("_sum"), [*keys, "_range"])
-    return rows.withColumn(out, F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(by))).drop("_before", "_range")
+    """df with the row number, from 1 on, within keys by a unique numeric column."""
+    rows = Ordered(df, keys, by).running(out, "sum", F.lit(1).cast("long")).rows
+    return rows.select(*df.columns, out)

@@ -19,13 +19,14 @@ def timing_by_band(moves: DataFrame, games: DataFrame, width: int = 200) -> Data
     elo = F.when(F.col("side") == 0, F.col("white_elo")).otherwise(F.col("black_elo"))
     j = moves.where("time_spent_s is not null").select("game_id", "side", "time_spent_s").join(games.select("game_id", "tc_class", "white_elo", "black_elo"), "game_id")
     rows = j.select("tc_class", scores.band(elo, width).alias("band"), "time_spent_s")
-    return ranks.described(rows, ["tc_class", "band"], "time_spent_s", [F.count("*").alias("n")], "median_s", ("p90_s", 0.9)).orderBy("tc_class", "band")
+    return ranks.described(rows, ["tc_class", "band"], "time_spent_s", {}, "median_s", ("p90_s", 0.9)).orderBy("tc_class", "band")
 
 
 def timing_by_control(moves: DataFrame, games: DataFrame, least: int = 10_000) -> DataFrame:
     """The same by exact time control, those with enough decisions."""
     j = moves.where("time_spent_s is not null").select("game_id", "time_spent_s").join(games.select("game_id", "tc_class", "base_s", "increment_s"), "game_id")
-    return j.groupBy("tc_class", F.concat_ws("+", F.col("base_s").cast("string"), F.col("increment_s").cast("string")).alias("control")).agg(F.count("*").alias("n"), F.median("time_spent_s").alias("median_s")).where(F.col("n") >= least).orderBy(F.desc("n"), "control")
+    rows = j.select("tc_class", F.concat_ws("+", F.col("base_s").cast("string"), F.col("increment_s").cast("string")).alias("control"), "time_spent_s")
+    return ranks.described(rows, ["tc_class", "control"], "time_spent_s", {}, "median_s").where(F.col("n") >= least).orderBy(F.desc("n"), "control")
 
 
 def flag_shares(moves: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..config import Config, Sampling
 from ..functions import scores
+from . import ranks
 
 
 def quotas(sizes: DataFrame, target: int, keys: list[str], size: str = "n", out: str = "quota") -> DataFrame:
@@ -65,17 +67,22 @@ def game_candidates(moves: DataFrame, games: DataFrame, cfg: Config | None = Non
 
 
 STRATUM = ["tc_class", "rating_band", "ply_bucket"]
+#: Bins of a stratum's uniforms: beyond its quota, only the last bin's rows are sorted with it.
+BINS = 4096
 
 
 def stratified(candidates: DataFrame, target: int | None = None, cfg: Sampling | None = None) -> DataFrame:
-    """Stage 2: each stratum's quota of the candidates of smallest uniform, with weights that undo both stages."""
+    """Stage 2: each stratum's quota of the candidates of smallest uniform, with weights that undo both stages; null strata are strata. Exact on any data: a stratum gives less than its quota only if it has no more."""
     cfg = cfg or Sampling()
     rows = candidates.withColumns({"rating_band": scores.band(F.col("mover_elo"), cfg.rating_band_width), "ply_bucket": scores.bucket_floor(F.col("ply"), cfg.min_ply, cfg.ply_bucket_edges)})
-    sizes = rows.groupBy(*STRATUM).agg(F.count("*").alias("stratum_candidates"))
-    wanted = quotas(sizes, target or cfg.target_positions, STRATUM, "stratum_candidates", "stratum_sampled")
+    # uniforms in bins: a stratum's counts give its size and the bin that its quota-th smallest uniform is in, whatever their distribution
+    cell = F.least(F.floor(F.col("stage2_u") * BINS), F.lit(BINS - 1)).cast("int")
+    counts = shared.settled(rows.groupBy(*STRATUM, cell.alias("_bin")).agg(F.count("*").alias("_n")))
+    wanted = quotas(counts.groupBy(*STRATUM).agg(F.sum("_n").alias("stratum_candidates")), target or cfg.target_positions, STRATUM, "stratum_candidates", "stratum_sampled")
+    upto = F.sum("_n").over(Window.partitionBy(*STRATUM).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    last = ranks.joined(counts.withColumn("_upto", upto), wanted, STRATUM).groupBy(*STRATUM, "stratum_candidates", "stratum_sampled").agg(F.min(F.when(F.col("_upto") >= F.col("stratum_sampled"), F.col("_bin"))).alias("_last"))
+    near = ranks.joined(rows.withColumn("_bin", cell), shared.maybe_broadcast(shared.settled(last)), STRATUM).where(F.col("_bin") <= F.col("_last"))
     rank = F.row_number().over(Window.partitionBy(*STRATUM).orderBy("stage2_u", "game_id", "ply"))
-    # uniforms far beyond those that a quota can need are dropped before a stratum is sorted: twice the quota and 200 more are left to choose from
-    near = F.col("stage2_u") * F.col("stratum_candidates") <= 2 * F.col("stratum_sampled") + 200
-    rows = rows.join(wanted, STRATUM).where(near).withColumn("_r", rank).where(F.col("_r") <= F.col("stratum_sampled"))
+    rows = near.withColumn("_r", rank).where(F.col("_r") <= F.col("stratum_sampled"))
     weight = (F.col("game_eligible_plies") / F.col("game_sampled_plies")) * (F.col("stratum_candidates") / F.col("stratum_sampled"))
-    return rows.withColumn("sampling_weight", weight).drop("_r", "stage2_u")
+    return rows.withColumn("sampling_weight", weight).drop("_r", "stage2_u", "_bin", "_last")

@@ -1,10 +1,11 @@
-"""Weighted survival statistics as SQL windows: Kaplan-Meier quantiles, monotone fits, widening windows, and the budget table made of them."""
+"""Weighted survival statistics: Kaplan-Meier quantiles, monotone fits, widening windows, and the budget table made of them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..config import Config
 from ..functions import scores
 from . import ranks
@@ -15,7 +16,7 @@ TRAINABLE = CATEGORIES[2:]
 
 
 def weighted_quantile(df: DataFrame, keys: list[str], value: str, weight: str, qs: dict[str, float]) -> DataFrame:
-    """For each key, the least value whose cumulative weight reaches q of the total."""
+    """For each key, the least value whose cumulative weight reaches q of the total, 0 < q <= 1. Cumulative weights are decimals, so no order of the rows changes the result."""
     return ranks.at_ranks(df, keys, value, weight, {name: (lambda total, q=q: q * total) for name, q in qs.items()})
 
 
@@ -30,40 +31,94 @@ def km_cells(df: DataFrame, keys: list[str], time: str, found: str, weight: str)
     return df.groupBy(*keys, F.col(time).alias("t")).agg(F.sum(F.when(F.col(found), F.col(weight)).otherwise(0.0)).alias("e"), F.sum(weight).alias("total"))
 
 
+#: A curve that falls short of a share by no more than this has reached it: products of factors in floats are that far off.
+TOLERANCE = 1e-12
+
+
 def km_quantiles(cells: DataFrame, keys: list[str], qs: dict[str, float]) -> DataFrame:
-    """Times by which a share q has found it; null if the curve never gets there. Events at a time precede censorings, and spread linearly over half a unit on either side, not below 0."""
-    later = Window.partitionBy(*keys).orderBy("t").rowsBetween(0, Window.unboundedFollowing)
-    upto = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    curve = cells.withColumn("_risk", F.sum("total").over(later)).withColumn("_f", F.lit(1.0) - F.col("e") / F.col("_risk"))
-    # the running product as a sum of logarithms; nothing is left once a factor is 0
-    left = F.when(F.max(F.col("_f") <= 0).over(upto), 0.0).otherwise(F.exp(F.sum(F.when(F.col("_f") > 0, F.log("_f")).otherwise(0.0)).over(upto)))
-    curve = curve.withColumn("_after", 1 - left)
-    curve = curve.withColumn("_before", F.coalesce(F.lag("_after").over(Window.partitionBy(*keys).orderBy("t")), F.lit(0.0)))
-    lo = F.greatest(F.col("t") - 0.5, F.lit(0.0))
+    """Times by which a share q has found it; null if the curve never gets there, to within TOLERANCE. Events at a time precede censorings, and spread linearly over half a unit on either side, not below 0.
 
-    def at(q: float):
-        value = lo + (F.col("t") + 0.5 - lo) * (q - F.col("_before")) / (F.col("_after") - F.col("_before"))
-        return F.min_by(F.when((F.col("e") > 0) & (F.col("_after") >= q), value), F.when((F.col("e") > 0) & (F.col("_after") >= q), F.col("t")))
+    Weights at risk are decimals. The curve is the product of the factors in time order; a group of very many times is cut
+    into ranges, whose products are multiplied in order, so that no task scans it whole.
+    """
+    exact = cells.withColumns({c: F.col(c).cast(ranks.EXACT) for c in ("e", "total")})
+    curve = ranks.Ordered(exact, keys, "t").running("_t", "sum", F.col("total"))
+    at_risk = (F.col("_t_all") - F.col("_t_before")).cast("double")
+    curve = curve.running("_left", "product", F.when(F.col("e") > 0, 1.0 - F.col("e").cast("double") / at_risk).otherwise(1.0))
+    after, before = 1.0 - F.col("_left"), 1.0 - F.col("_left_before")
+    lo, hi = F.greatest(F.col("t") - 0.5, F.lit(0.0)), F.col("t") + 0.5
 
-    return curve.groupBy(*keys).agg(*(at(q).alias(name) for name, q in qs.items()))
+    def at(q: float):
+        there = (F.col("e") > 0) & (after >= q - TOLERANCE)
+        return F.min_by(F.when(there, F.least(hi, lo + (hi - lo) * (q - before) / (after - before))), F.when(there, F.col("t")))
+
+    return curve.rows.groupBy(*keys).agg(*(at(q).alias(name) for name, q in qs.items()))
+
+
+def _pooled(values, weights):
+    """Blocks (mean, weight, count) of adjacent values pooled until they rise: pool adjacent violators, left to right."""
+    blocks = []
+    for v, w in zip(values, weights):
+        n = 1
+        while blocks and blocks[-1][0] > v:
+            m, u, k = blocks.pop()
+            v, w, n = (m * u + v * w) / (u + w), u + w, k + n
+        blocks.append((v, w, n))
+    return blocks
+
+
+def _pooled_task(order: str, value: str, weight: str, sign: float, out: str, mean: str | None = None):
+    """Fits of one group's rows, in order; rows without a value or weight have none. With `mean`, the block's number, mean and weight."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(table: pa.Table) -> pa.Table:
+        o, v, w = (table.column(c).to_numpy(zero_copy_only=False).astype("float64") for c in (order, value, weight))
+        use = np.flatnonzero(~np.isnan(v) & ~np.isnan(w))
+        use = use[np.lexsort((w[use], v[use], o[use]))]
+        blocks = _pooled((sign * v[use]).tolist(), w[use].tolist())
+        sizes = [b[2] for b in blocks]
+        columns = {out: np.repeat([b[0] for b in blocks], sizes) * sign}
+        if mean:
+            columns = {"_block": np.repeat(np.arange(len(blocks), dtype="float64"), sizes), "_mean": columns[out] * sign, "_weight": np.repeat([b[1] for b in blocks], sizes)}
+        for name, got in columns.items():
+            x = np.full(len(v), np.nan)
+            x[use] = got
+            table = table.append_column(name, pa.array(x, mask=np.isnan(x)))
+        return table
+
+    return run
+
+
+def isotonics(df: DataFrame, keys: list[str], order: str, weight: str, fits: dict[str, tuple[str, bool]]) -> DataFrame:
+    """df with a column for each of fits {out: (value, increasing)}: the weighted monotone least-squares fit of the value along the numeric column `order` within keys.
+
+    Adjacent violators are pooled in one pass. Pooled stacks can be pooled again, so a table of many points is cut into ranges
+    of a group, each pooled by itself; a group's stacks, in order, are pooled to the group's blocks, and each
+    range's rows get the fit of the block that theirs became part of.
+    """
+    rows = shared.settled(df)
+    split = rows.count() > ranks.LARGEST
+    for out, (value, increasing) in fits.items():
+        sign = 1.0 if increasing else -1.0
+        if not split:
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+            rows = rows.groupBy(*keys).applyInArrow(_pooled_task(order, value, weight, sign, out), f"{schema}, {out} double")
+            continue
+        parts = ranks.ranged(rows, keys, order)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
+        stacks = shared.settled(parts.groupBy(*keys, "_range").applyInArrow(_pooled_task(order, value, weight, sign, out, "_mean"), f"{schema}, _block double, _mean double, _weight double"))
+        blocks = stacks.where("_block is not null").groupBy(*keys, "_range", "_block").agg(F.first("_mean").alias("_mean"), F.first("_weight").alias("_weight"))
+        blocks = blocks.withColumn("_at", F.col("_range") * float(1 << 40) + F.col("_block"))
+        kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema)
+        fitted = blocks.groupBy(*keys).applyInArrow(_pooled_task("_at", "_mean", "_weight", 1.0, "_fit"), f"{kind}, _fit double")
+        rows = ranks.joined(stacks, fitted.select(*keys, "_range", "_block", (F.col("_fit") * sign).alias(out)), [*keys, "_range", "_block"], "left").drop("_range", "_block", "_mean", "_weight")
+    return rows
 
 
 def isotonic(df: DataFrame, keys: list[str], order: str, value: str, weight: str, increasing: bool, out: str) -> DataFrame:
-    """Adds the weighted monotone least-squares fit along `order` within keys: the max-min of interval means.
-
-    Each group is a rating grid of fixed size, whose points stand in one array; means of
-    all intervals come from its prefix sums.
-    """
-    sign = 1.0 if increasing else -1.0
-    points = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), (F.col(value) * sign).cast("double").alias("v"), F.col(weight).cast("double").alias("w"))))
-    grouped = df.groupBy(*keys).agg(points.alias("_p"))
-    sums = F.aggregate(F.col("_p"), F.array(F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("w"))), lambda a, p: F.concat(a, F.array(F.struct((F.element_at(a, -1)["x"] + p["v"] * p["w"]).alias("x"), (F.element_at(a, -1)["w"] + p["w"]).alias("w")))))
-    grouped = grouped.withColumn("_s", sums)
-    mean = lambda a, b: (F.get("_s", b)["x"] - F.get("_s", a - 1)["x"]) / (F.get("_s", b)["w"] - F.get("_s", a - 1)["w"])
-    n = F.size("_p")
-    fit = lambda i: F.array_max(F.transform(F.sequence(F.lit(1), i), lambda a: F.array_min(F.transform(F.sequence(i, n), lambda b: mean(a, b)))))
-    fitted = grouped.select(*keys, F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.get("_p", i - 1)["o"].alias(order), (fit(i) * sign).alias(out)))).alias("_x")).select(*keys, "_x.*")
-    return df.join(fitted, [*keys, order], "left")
+    """One fit of `isotonics`."""
+    return isotonics(df, keys, order, weight, {out: (value, increasing)})
 
 
 def widened(cells: DataFrame, keys: list[str], grid: DataFrame, at: str, n: str, finds: str, enough: int, step: int, widest: int) -> DataFrame:
@@ -105,7 +160,7 @@ def fit_budgets(obs: DataFrame, cfg: Config | None = None) -> DataFrame:
     lo, hi, step = b.grid
     grid = spark.range(1).select(F.explode(F.array(*(F.lit(c) for c in cfg.time_controls.supported))).alias("tc_class")).crossJoin(spark.range(1).select(F.explode(F.array(*(F.lit(c) for c in TRAINABLE))).alias("category"))).withColumn("rating", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(step))))
     by_elo = rows.groupBy(*keys, "mover_elo").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("y"), F.col("n")).otherwise(0)).alias("finds"))
-    window = widened(by_elo, keys, grid, "mover_elo", "n", "finds", b.min_successes, b.window_step, b.max_half_width)
+    window = shared.settled(widened(by_elo, keys, grid, "mover_elo", "n", "finds", b.min_successes, b.window_step, b.max_half_width))
     r = rows.select(*(F.col(k).alias(f"_{k}") for k in keys), "mover_elo", "time_spent_s", "y", "w")
     inside = window.where("n_success > 0").join(r, (F.col("tc_class") == F.col("_tc_class")) & (F.col("category") == F.col("_category")) & F.col("mover_elo").between(F.col("rating") - F.col("half_width"), F.col("rating") + F.col("half_width")))
     cell = [*keys, "rating"]
@@ -118,8 +173,7 @@ def fit_budgets(obs: DataFrame, cfg: Config | None = None) -> DataFrame:
         {"raw_budget_s": F.when(some, F.coalesce("q", top)), "raw_budget_strict_s": F.when(some, F.coalesce("s", top)), "unreached": some & (F.col("q").isNull() | F.col("s").isNull())}
     ).drop("q", "s")
     fits = table.where(some).select(*cell, "n_success", F.ln("raw_budget_s").alias("lb"), F.ln("raw_budget_strict_s").alias("ls"), "raw_p_inf")
-    for value, out, up in (("lb", "fb", False), ("ls", "fs", False), ("raw_p_inf", "p_inf", True)):
-        fits = isotonic(fits, keys, "rating", value, "n_success", up, out)
+    fits = isotonics(fits, keys, "rating", "n_success", {"fb": ("lb", False), "fs": ("ls", False), "p_inf": ("raw_p_inf", True)})
     table = table.join(fits.select(*cell, F.exp("fb").alias("budget_s"), F.exp("fs").alias("budget_strict_s"), "p_inf"), cell, "left")
     return across_classes(table, cfg, bottom, top)
 

@@ -181,10 +181,8 @@ def eligible_filter(t):
 
 @_query(f"WITH {_MOVES_SQL} SELECT tc_class, cast(count(spent) AS bigint) AS n, round(median(spent), 4) AS median_s, round({_nearest_sql('spent', 0.9)}, 4) AS p90_s, round(avg(cast(low_clock AS double)), 9) AS low_clock, round(avg(cast(time_added AS double)), 9) AS time_added FROM x GROUP BY 1")
 def thinking_time_by_class(t):
-    x = F.col("time_spent_s")
-    share = lambda c: F.round(F.avg(F.col(c).cast("double")), 9).alias(c)
-    got = ranks.described(_timed(t("events")), ["tc_class"], "time_spent_s", [F.count(x).alias("n"), share("low_clock"), share("time_added")], "median_s", ("p90_s", 0.9))
-    return got.withColumns({c: F.round(c, 4) for c in ("median_s", "p90_s")})
+    got = ranks.described(_timed(t("events")), ["tc_class"], "time_spent_s", {c: ranks.mean(F.col(c)) for c in ("low_clock", "time_added")}, "median_s", ("p90_s", 0.9), n_values=True)
+    return got.withColumns({"median_s": F.round("median_s", 4), "p90_s": F.round("p90_s", 4), "low_clock": F.round("low_clock", 9), "time_added": F.round("time_added", 9)})
 
 
 @_query("""WITH r AS (SELECT p_partkey, chr(cast(97 + p_partkey % 8 AS integer)) AS file, p_size FROM part),
@@ -202,12 +200,12 @@ def phase_from_text(t):
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""")
 def band_stats(t):
     rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderpriority").alias("class"), scores.band(F.col("l_extendedprice"), 10000).alias("band"), "l_quantity")
-    return ranks.described(rows, ["class", "band"], "l_quantity", [F.count("*").alias("n")], "median_q", ("p90_q", 0.9))
+    return ranks.described(rows, ["class", "band"], "l_quantity", {}, "median_q", ("p90_q", 0.9))
 
 
 @_query("SELECT l_returnflag || '+' || cast(l_linenumber AS varchar) AS control, count(*) AS n, median(l_quantity) AS median_q FROM lineitem GROUP BY 1 HAVING count(*) >= (SELECT count(*) / 30 FROM lineitem)")
 def tc_stats_having(t):
-    rows = t("lineitem").groupBy(F.concat_ws("+", "l_returnflag", F.col("l_linenumber").cast("string")).alias("control")).agg(F.count("*").alias("n"), F.median("l_quantity").alias("median_q"))
+    rows = ranks.described(t("lineitem").select(F.concat_ws("+", "l_returnflag", F.col("l_linenumber").cast("string")).alias("control"), "l_quantity"), ["control"], "l_quantity", {}, "median_q")
     return rows.withColumn("_all", F.sum("n").over(Window.partitionBy())).where(F.col("n") >= F.col("_all") / 30).drop("_all")
 
 
@@ -462,8 +460,8 @@ b AS (SELECT *, 1 - product(1 - e / risk) OVER (PARTITION BY k ORDER BY t ROWS U
 c AS (SELECT *, coalesce(lag(after_) OVER (PARTITION BY k ORDER BY t), 0) AS before_, greatest(t - 0.5, 0) AS lo FROM b)"""
 
 
-@_query(f"""WITH {_KM_SQL} SELECT k, round(arg_min(lo + (t + 0.5 - lo) * (0.25 - before_) / (after_ - before_), t) FILTER (WHERE e > 0 AND after_ >= 0.25), 6) AS q25,
-round(arg_min(lo + (t + 0.5 - lo) * (0.5 - before_) / (after_ - before_), t) FILTER (WHERE e > 0 AND after_ >= 0.5), 6) AS q50 FROM c GROUP BY 1""")
+@_query(f"""WITH {_KM_SQL} SELECT k, round(arg_min(lo + (t + 0.5 - lo) * (0.25 - before_) / (after_ - before_), t) FILTER (WHERE e > 0 AND after_ >= 0.25 - 1e-12), 6) AS q25,
+round(arg_min(lo + (t + 0.5 - lo) * (0.5 - before_) / (after_ - before_), t) FILTER (WHERE e > 0 AND after_ >= 0.5 - 1e-12), 6) AS q50 FROM c GROUP BY 1""")
 def km_quantile(t):
     rows = t("lineitem").select(F.col("l_linestatus").alias("k"), F.col("l_quantity").alias("time"), (F.col("l_returnflag") == "R").alias("y"), F.col("l_linenumber").cast("double").alias("w"))
     out = survival.km_quantiles(survival.km_cells(rows, ["k"], "time", "y", "w"), ["k"], {"q25": 0.25, "q50": 0.5})
