@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import Config
 from ..functions import scores, text
 from ..operators import labels, reports, survival
 from .registry import _query
@@ -108,6 +109,47 @@ def budget_training_rows(t):
     return survival.training_rows(_observations(t))
 
 
+_BUDGET_OBS_SQL = """o AS (SELECT ['blitz', 'rapid', 'classical'][l_orderkey % 3 + 1] AS tc, {categories} AS cat, 400 + (l_suppkey * 37 + l_partkey * 11) % 2601 AS elo, l_quantity AS t, l_discount > 0.05 AS y, cast(1 + l_linenumber % 3 AS double) AS w FROM lineitem
+WHERE l_tax > 0 AND l_orderkey % 3 < 2 AND l_partkey % 8 >= 2 AND l_returnflag = 'N' AND l_linenumber <> 7)""".format(categories=f"[{', '.join(repr(c) for c in survival.CATEGORIES)}][l_partkey % 8 + 1]")
+
+
+def _fit_sql(value: str, sign: int) -> str:
+    """The weighted monotone fit by its definition, the largest of the least means of intervals around a point."""
+    return f"""(SELECT tc, cat, rating, {sign} * max(lo) AS fit FROM (
+  SELECT i.tc, i.cat, i.rating, a.i AS a, min((b.{value} - a.{value} + {sign} * a.w * a.{value[1:]}) / (b.sw - a.sw + a.w)) AS lo FROM sums i JOIN sums a ON a.tc = i.tc AND a.cat = i.cat AND a.i <= i.i JOIN sums b ON b.tc = i.tc AND b.cat = i.cat AND b.i >= i.i GROUP BY ALL) GROUP BY ALL)"""
+
+
+@_query(f"""WITH {_BUDGET_OBS_SQL},
+grid AS (SELECT tc, cat, rating, h FROM (SELECT unnest(['blitz', 'rapid']) AS tc), (SELECT unnest({list(survival.TRAINABLE)!r}) AS cat), (SELECT cast(unnest(range(400, 3001, 50)) AS integer) AS rating), (SELECT cast(unnest(range(50, 401, 50)) AS integer) AS h)),
+cells AS (SELECT tc, cat, elo, count(*) AS n, count(*) FILTER (WHERE y) AS finds FROM o GROUP BY ALL),
+sized AS (SELECT g.tc, g.cat, rating, h, cast(coalesce(sum(n), 0) AS bigint) AS n_obs, cast(coalesce(sum(finds), 0) AS bigint) AS n_success FROM grid g LEFT JOIN cells c ON c.tc = g.tc AND c.cat = g.cat AND c.elo BETWEEN rating - h AND rating + h GROUP BY ALL),
+win AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY tc, cat, rating ORDER BY CASE WHEN n_success >= 40 THEN h ELSE 1000 - h END) = 1),
+inside AS (SELECT w.tc, w.cat, rating, t, sum(CASE WHEN y THEN w ELSE 0 END) AS e, sum(w) AS total FROM win w JOIN o ON o.tc = w.tc AND o.cat = w.cat AND o.elo BETWEEN rating - h AND rating + h WHERE n_success > 0 GROUP BY ALL),
+risk AS (SELECT *, sum(total) OVER (PARTITION BY tc, cat, rating ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS risk FROM inside),
+curve AS (SELECT *, 1 - product(1 - e / risk) OVER k AS after_, 1 - coalesce(product(1 - e / risk) OVER (PARTITION BY tc, cat, rating ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS before_, greatest(t - 0.5, 0) AS lo FROM risk WINDOW k AS (PARTITION BY tc, cat, rating ORDER BY t ROWS UNBOUNDED PRECEDING)),
+km AS (SELECT tc, cat, rating, arg_min(lo + (t + 0.5 - lo) * (0.5 - before_) / (after_ - before_), t) FILTER (WHERE e > 0 AND after_ >= 0.5 - 1e-12) AS q,
+       arg_min(lo + (t + 0.5 - lo) * (0.3 - before_) / (after_ - before_), t) FILTER (WHERE e > 0 AND after_ >= 0.3 - 1e-12) AS s, sum(e) / sum(total) AS rate FROM curve GROUP BY ALL),
+raw AS (SELECT w.*, CASE w.tc WHEN 'blitz' THEN 60.0::double ELSE 180.0::double END AS top, rate, q, s FROM win w LEFT JOIN km USING (tc, cat, rating)),
+pts AS (SELECT tc, cat, rating, cast(n_success AS double) AS w, ln(coalesce(q, top)) AS b, ln(coalesce(s, top)) AS z, rate AS p FROM raw WHERE n_success > 0),
+sums AS (SELECT *, row_number() OVER k AS i, sum(w) OVER k AS sw, sum(-b * w) OVER k AS sb, sum(-z * w) OVER k AS sz, sum(p * w) OVER k AS sp FROM pts WINDOW k AS (PARTITION BY tc, cat ORDER BY rating ROWS UNBOUNDED PRECEDING)),
+fits AS (SELECT tc, cat, rating, exp(fb.fit) AS b, exp(fz.fit) AS z, fp.fit AS p FROM {_fit_sql('sb', -1)} fb JOIN {_fit_sql('sz', -1)} fz USING (tc, cat, rating) JOIN {_fit_sql('sp', 1)} fp USING (tc, cat, rating)),
+up AS (SELECT r.*, f.b, f.z, f.p, max(f.b) OVER c AS mb, max(f.z) OVER c AS mz, max(f.b) OVER d AS fb, max(f.z) OVER d AS fz FROM raw r LEFT JOIN fits f USING (tc, cat, rating)
+       WINDOW c AS (PARTITION BY cat, rating ORDER BY tc ROWS UNBOUNDED PRECEDING), d AS (PARTITION BY cat, rating ORDER BY tc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT tc AS tc_class, cat AS category, rating, h AS half_width, n_obs, n_success, n_success > 0 AND (q IS NULL OR s IS NULL) AS unreached, round(least(greatest(mb, 3), top), 6) AS budget_s, round(least(greatest(mz, 3), top), 6) AS budget_strict_s, round(p, 6) AS p_inf,
+       coalesce(b < fb OR z < fz, false) AS raised_to_faster, n_success < 40 AS sparse, mb < 3 AS clipped_low, mb > top AS clipped_high FROM up""")
+def fit_budgets(t):
+    """The whole budget table: widened windows, both quantiles of each curve, monotone fits, classes and bounds. Whole seconds make exact ties common."""
+    k = F.col("l_partkey") % 8 + 1
+    obs = t("lineitem").select(
+        F.element_at(F.array(*map(F.lit, ("blitz", "rapid", "classical"))), (F.col("l_orderkey") % 3 + 1).cast("int")).alias("tc_class"), F.element_at(F.array(*map(F.lit, survival.CATEGORIES)), k.cast("int")).alias("category"),
+        F.when(F.col("l_returnflag") == "N", "balanced").otherwise("winning").alias("position_state"), (F.col("l_linenumber") == 7).alias("low_clock"), (400 + (F.col("l_suppkey") * 37 + F.col("l_partkey") * 11) % 2601).alias("mover_elo"),
+        F.col("l_quantity").alias("time_spent_s"), (F.col("l_discount") > 0.05).alias("y"), (1.0 + F.col("l_linenumber") % 3).alias("sampling_weight"), F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("loss_win_pct"),
+    )
+    table = survival.fit_budgets(obs, Config.from_dict({"budget": {"min_successes": 40}}))
+    flags = ("half_width", "n_obs", "n_success", "unreached", "raised_to_faster", "sparse", "clipped_low", "clipped_high")
+    return table.select("tc_class", "category", "rating", *flags, *(F.round(c, 6).alias(c) for c in ("budget_s", "budget_strict_s", "p_inf")))
+
+
 @_query("""SELECT count(*) AS n, round(avg(cast(o_orderkey % 9 - 6 < -1 AS double)), 9) AS above_best_by_1, round(avg(cast(o_orderkey % 9 - 6 < -5 AS double)), 9) AS above_best_by_5, bool_and(o_custkey % 101 BETWEEN 0 AND 100) AS win_in_range,
 bool_and(1 + o_orderkey % 3 > 0) AS weights_positive, bool_and(o_orderkey % 4 >= 0) AS lines_sorted FROM orders WHERE o_orderkey % 11 <> 0""")
 def observation_checks(t):
