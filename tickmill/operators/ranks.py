@@ -65,18 +65,20 @@ class Ordered:
             self.rows = ranged(self.rows, keys, by)
 
     def running(self, name: str, kind: str, column: Column) -> Ordered:
-        """Adds name, the aggregate of the column over the rows up to this one, name_before, over those before it, and name_all, over the group."""
+        """Adds name, the aggregate of the column over the rows up to this one, and name_all, over the group; products also name_before, over the rows before this one (of sums it is the difference)."""
         fn, both, empty = _KINDS[kind]
         rows = self.rows.withColumn("_x", column)
         here = Window.partitionBy(*self.keys, *(["_range"] if self.split else [])).orderBy(self.by)
-        start, none = Window.unboundedPreceding, F.lit(empty)
-        own = {name: fn("_x").over(here.rowsBetween(start, 0)), f"{name}_before": F.coalesce(fn("_x").over(here.rowsBetween(start, -1)), none)}
+        start = Window.unboundedPreceding
+        own = {name: fn("_x").over(here.rowsBetween(start, 0))}
+        if kind == "product":
+            own[f"{name}_before"] = F.coalesce(fn("_x").over(here.rowsBetween(start, -1)), F.lit(empty))
         if not self.split:
             self.rows = rows.withColumns({**own, f"{name}_all": fn("_x").over(Window.partitionBy(*self.keys))}).drop("_x")
             return self
         by_range = Window.partitionBy(*self.keys).orderBy("_range")
         sums = rows.groupBy(*self.keys, "_range").agg(fn("_x").alias("_t"))
-        sums = sums.withColumns({"_o": F.coalesce(fn("_t").over(by_range.rowsBetween(start, -1)), none), f"{name}_all": fn("_t").over(Window.partitionBy(*self.keys))}).drop("_t")
+        sums = sums.withColumns({"_o": F.coalesce(fn("_t").over(by_range.rowsBetween(start, -1)), F.lit(empty)), f"{name}_all": fn("_t").over(Window.partitionBy(*self.keys))}).drop("_t")
         rows = joined(rows.withColumns(own), sums, [*self.keys, "_range"])
         self.rows = rows.withColumns({c: both(F.col("_o"), F.col(c)) for c in own}).drop("_x", "_o")
         return self

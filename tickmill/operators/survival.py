@@ -43,7 +43,7 @@ def km_quantiles(cells: DataFrame, keys: list[str], qs: dict[str, float]) -> Dat
     """
     exact = cells.withColumns({c: F.col(c).cast(ranks.EXACT) for c in ("e", "total")})
     curve = ranks.Ordered(exact, keys, "t").running("_t", "sum", F.col("total"))
-    at_risk = (F.col("_t_all") - F.col("_t_before")).cast("double")
+    at_risk = (F.col("_t_all") - F.col("_t") + F.col("total")).cast("double")
     curve = curve.running("_left", "product", F.when(F.col("e") > 0, 1.0 - F.col("e").cast("double") / at_risk).otherwise(1.0))
     after, before = 1.0 - F.col("_left"), 1.0 - F.col("_left_before")
     lo, hi = F.greatest(F.col("t") - 0.5, F.lit(0.0)), F.col("t") + 0.5
