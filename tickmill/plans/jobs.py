@@ -16,10 +16,11 @@ from ..sources import records, store
 
 
 def filter_games(spark: SparkSession, dump, out: str, cfg: Config | None = None, partitions: int | None = None) -> dict:
-    """Kept games of a dump by month, and counts by reason from the same pass."""
+    """Kept games of a dump by month, and counts by reason from the same pass; of rejected games only the reason is written."""
     cfg = cfg or Config()
     store_path = f"{out}/_marked"
-    text.with_reason(records.read_games(spark, dump, partitions), cfg).write.mode("overwrite").option("compression", "zstd").partitionBy("reason").parquet(store_path)
+    marked = text.with_reason(records.read_games(spark, dump, partitions), cfg)
+    marked.withColumns({c: F.when(F.col("reason") == "kept", F.col(c)) for c in marked.columns if c != "reason"}).write.mode("overwrite").option("compression", "zstd").partitionBy("reason").parquet(store_path)
     marked = spark.read.parquet(store_path)
     kept = text.kept_games(marked, cfg).withColumn("month", F.date_format("utc_date", "yyyy-MM"))
     store.write_table(kept, f"{out}/filtered", ["month"])

@@ -2,72 +2,32 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import dumps
+
 _SEPARATOR = "\n\n[Event "
 
 
-def read_games(spark: SparkSession, path, partitions: int | None = None) -> DataFrame:
-    """One row (value, file) for each game record of text files, .zst and other codecs included, streamed by tasks.
+#: Endings of compressed dumps, which the dump source reads; Spark splits plain text by itself.
+_PACKED = (".zst", ".gz", ".bz2")
 
-    A compressed file is one task's work, so the records are dealt to `partitions` if given.
-    """
+
+def read_games(spark: SparkSession, path, partitions: int | None = None) -> DataFrame:
+    """One row (value, file) for each game record of a plain or compressed dump, also of one that was cut short; dealt to `partitions` if given."""
+    if str(path).endswith(_PACKED):
+        rows = dumps.read_records(spark, str(path), _SEPARATOR)
+        return rows.repartition(partitions) if partitions else rows
     rows = spark.read.option("lineSep", _SEPARATOR).text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file"))
     whole = F.when(F.startswith(F.ltrim("value"), F.lit("[Event ")), F.col("value")).otherwise(F.concat(F.lit("[Event "), F.col("value")))
     rows = rows.where(F.btrim("value", F.lit(" \t\r\n")) != "").select(whole.alias("value"), "file")
     return rows.repartition(partitions) if partitions else rows
 
 
-def read_truncated(spark: SparkSession, path, separator: str = _SEPARATOR, piece: int = 8 << 20) -> DataFrame:
-    """Records of .zst files of which any may be cut short: what can be decompressed counts, the last, broken record included.
-
-    Each file is decompressed as a stream, piece by piece.
-    """
-    import zstandard
-
-    sep = separator.encode()
-
-    def run(batches):
-        for batch in batches:
-            for name, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                rest, first = b"", True
-                for raw in _pieces(zstandard, data, piece):
-                    parts = (rest + raw).split(sep)
-                    rest = parts.pop()
-                    if parts:
-                        yield _batch(parts, name, sep, first)
-                        first = False
-                if rest.strip():
-                    yield _batch([rest], name, sep, first)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "value string, file string")
-
-
-def _pieces(zstandard, data: bytes, size: int):
-    import io
-
-    reader = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True)
-    while True:
-        try:
-            got = reader.read(size)
-        except zstandard.ZstdError:
-            return
-        if not got:
-            return
-        yield got
-
-
-def _batch(parts: list[bytes], name: str, sep: bytes, first: bool) -> pa.RecordBatch:
-    head = sep.lstrip(b"\n")
-    text = [(x if first and i == 0 else head + x).decode("utf-8", "replace") for i, x in enumerate(parts)]
-    return pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array([name] * len(text), pa.string())], ["value", "file"])
-
-
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """Lines of JSONL files, plain or compressed; a last line that is cut short is dropped by whoever parses it."""
-    return spark.read.text(path)
+    return dumps.read_records(spark, str(path), "\n").select("value") if str(path).endswith(_PACKED) else spark.read.text(path)
 
 
 def read_puzzles(spark: SparkSession, path) -> DataFrame:
