@@ -336,3 +336,23 @@ def test_graph_components(spark, seed):
     r.shuffle(edges)
     got = {(x.node, x.component) for x in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(x, top(x)) for x in up if any(top(x) == top(y) and x != y for y in up)}
+
+
+def structured(n):
+    """Words of n letters that any sum of powers of one base takes for equal."""
+    a = "a"
+    while len(a) < n:
+        a += a.translate({97: 98, 98: 97})
+    return a, a.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("n", [8, 64, 128, 1024, 4096])
+def test_structured_words(make, spark, n):
+    """Words with structure don't stand for each other: no link, no removal, no leak."""
+    a, b = structured(n)
+    docs = make([(1, " ".join([a, "x", "y", a, b] * 3)), (2, " ".join([b, "x", "y", b, a] * 3)), (3, " ".join([a] * 15)), (4, " ".join([b] * 15))])
+    assert {r.doc_id: r.component_id for r in ngram_join.clusters(docs).collect()} == {i: i for i in range(1, 5)}
+    want = dict.fromkeys((1, 2, 3, 4), 0)
+    assert {r.doc_id: r.n_removed for r in substring.without_repeats(docs).collect()} == want
+    bench = spark.createDataFrame([(1, " ".join([a] * 9))], "item_id long, text string")
+    assert {r.doc_id for r in decontam.contaminated(docs, bench).collect()} == {3}

@@ -475,3 +475,23 @@ def test_warc_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(pages, str(tmp_path / "w"))
     assert warc.assembled(warc.records(spark, str(tmp_path / "w"))).collect() == []
+
+
+def test_language_of_one_id(make):
+    """A language whose rows all repeat one id is learned like any other."""
+    rows = [(i, f"the of and {i} ing tion", "en") for i in range(1, 40)] + [(41, "żółć gęślą jaźń", "xx")] * 3000
+    assert zlib.crc32(b"41") % 5 != 0
+    got = langid.sample(make(rows, False), 5, 0)
+    assert sorted({(i, lang) for i, lang, _ in got if lang == "xx"}) == [(41, "xx")] and len(got) > 20
+
+
+def test_quality_sample_passes_over_huge_texts(make, spark, monkeypatch):
+    """One text that doesn't fit doesn't end the sample."""
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 3000)
+    docs = make([(i, "word " * (4000 if i in (3, 8) else 10)) for i in range(40)], False)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality.Network, "fit", lambda self, parts, y: seen.append((len(parts), max(map(len, parts)), sorted(set(y.tolist())))) or self)
+    quality.fit(docs, labels)
+    n = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40) if i not in (3, 8))
+    assert seen == [(n, 50, [0.0, 1.0])]

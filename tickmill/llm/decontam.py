@@ -34,7 +34,7 @@ def words(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hashes (modulo 2^64) of all windows, by prefix sums."""
-    power, inverse = common._tables(len(words) + 1)
+    power, inverse = common.powers(len(words) + 1)
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * power[: len(words)], out=sums[1:])
     n = len(words) - length + 1

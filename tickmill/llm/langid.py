@@ -106,14 +106,16 @@ class Model:
 def sample(docs: DataFrame, modulus: int, held: int) -> list:
     """At most SAMPLE labelled (doc_id, lang, packed presence) rows of every language, those of smallest id hash among texts that aren't null; of any length.
 
-    Languages are counted first, and only rows whose hash is in the lowest part that should hold twice SAMPLE
-    of the language are ranked, so that a language's rows never meet in one task.
+    Each language's distinct ids are counted by ranges of the hash first, and only those up to the range that the SAMPLE-th is in
+    are ranked: exact on any data, and a language's ids never meet in one task.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % modulus != held))
-    sizes = common.settled(rows.groupBy("lang").agg(F.count("*").alias("size")))
-    place = F.xxhash64("doc_id").alias("place")
-    low = F.col("place").cast("double") < F.lit(-(2.0**63)) + F.lit(2.0**64) * (2 * SAMPLE + 200) / F.col("size")
-    few = rows.select("doc_id", "lang", place).join(common.maybe_broadcast(sizes), "lang").where(low).select("doc_id", "lang", "place").distinct()
+    place = F.xxhash64("doc_id")
+    ids = rows.select("doc_id", "lang").distinct().select("doc_id", "lang", place.alias("place"), F.shiftright(place, 52).alias("part"))
+    counts = common.settled(ids.groupBy("lang", "part").agg(F.count("*").alias("n")))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("part"))
+    last = counts.withColumn("upto", upto).groupBy("lang").agg(F.coalesce(F.min(F.when(F.col("upto") >= SAMPLE, F.col("part"))), F.max("part")).alias("last"))
+    few = ids.join(common.maybe_broadcast(common.settled(last)), "lang").where(F.col("part") <= F.col("last")).select("doc_id", "lang", "place")
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     picked = common.settled(few.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE).select("doc_id", "lang"))
 

@@ -146,7 +146,7 @@ class Network:
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> Network:
-    """The network fitted on whole texts of at most SAMPLE labelled documents and SAMPLE_BYTES of each class, those of smallest id hash; the others' labels aren't read.
+    """The network fitted on whole texts of at most SAMPLE labelled documents and SAMPLE_BYTES of each class, those of smallest id hash; the others' labels aren't read. A text that would exceed SAMPLE_BYTES is passed over, and the next one taken.
 
     Of repeated labels of an id the largest counts, of repeated ids the least text; null texts are empty. If
     only one class is labelled every score is near that class, without labels it is a half.
@@ -157,14 +157,14 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) ->
     picked = []
     for v in (0, 1):
         total = 0
-        for i, (key, size) in enumerate(sizes.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("doc_id", "size").collect()):
-            total += size
-            if i and total > SAMPLE_BYTES:
-                break
-            picked.append((key, v))
+        fitting = sizes.where((F.col("y") == v) & (F.col("size") <= SAMPLE_BYTES))
+        for key, size in fitting.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("doc_id", "size").collect():
+            if total + size <= SAMPLE_BYTES:
+                total += size
+                picked.append((key, v))
     wanted = spark.createDataFrame(picked, f"doc_id {labels.schema['doc_id'].dataType.simpleString()}, y int")
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # an id counts once
-    got = sorted((r.doc_id, r.y, r.text.encode()) for r in found.collect())  # 2 x SAMPLE texts, 2 x SAMPLE_BYTES at most but for a single longer text
+    got = sorted((r.doc_id, r.y, r.text.encode()) for r in found.collect())  # 2 x SAMPLE texts, 2 x SAMPLE_BYTES at most
     return Network().fit([r[2] for r in got], np.array([r[1] for r in got], np.float32))
 
 
