@@ -13,7 +13,7 @@ from tickmill.llm import bpe, common, decontam, ngram_join, quality, substring
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality network, fitted on all labelled documents' training part, accepts."""
+    """The documents that the quality network, fitted on a bounded sample of the labelled documents, accepts."""
     network = quality.fit(docs, common.table(spark, sf_dir, "labels"))
     return quality.classify(docs, network, docs.columns, names=("_quality", "_accepted")).where(F.col("_accepted") == 1).select(*docs.columns)
 
