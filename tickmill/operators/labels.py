@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Categories, Config
 from ..functions import scores
-from . import ranks
+from . import bloom, ranks
 from .survival import CATEGORIES
 
 STATES = ("losing", "balanced", "winning")
@@ -79,12 +79,10 @@ EVAL_DDL = "fen string, evals array<struct<pvs:array<struct<cp:int,mate:int,line
 
 
 def wanted_records(lines: DataFrame, wanted: DataFrame, broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """Raw JSON lines whose position is in wanted(epd), before any parsing; wanted is broadcast if its rows, measured, take at most broadcast_bytes, else the join shuffles."""
-    keys = wanted.select(F.col("epd").alias("_k")).where("_k is not null").distinct()
-    keyed = lines.withColumn("_k", F.substring_index(F.substring_index(F.col("value"), '"fen":"', -1), '"', 1))
-    size = keys.agg(F.sum(F.octet_length("_k") + F.lit(40).cast("long"))).first()[0] or 0
-    side = F.broadcast(keys) if size <= broadcast_bytes else keys
-    return keyed.join(side, "_k", "left_semi").drop("_k")
+    """Raw JSON lines whose position is in wanted(epd), before any parsing. Few wanted positions, measured, are broadcast; more pass lines through a Bloom filter, and only those that pass it are shuffled."""
+    compact = F.substring_index(F.substring_index(F.col("value"), '"fen":"', -1), '"', 1)
+    key = F.when(F.contains("value", F.lit('"fen":"')), compact).otherwise(F.regexp_extract("value", r'"fen"\s*:\s*"([^"]*)"', 1))
+    return bloom.semi_join(lines.withColumn("_key", key), "_key", wanted, "epd", broadcast_bytes).drop("_key")
 
 
 def parse_evaluations(lines: DataFrame, cfg: Config | None = None, first_move=None) -> DataFrame:
