@@ -1,15 +1,18 @@
 """All jobs in a row on a small dump, with a stand-in evaluator whose scores are made up and only used here."""
 
 import json
+import os
 import random
+import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tickmill.config import Config, Settings
 from tickmill.operators import reports
 from tickmill.operators.board import Board
 from tickmill.plans import cli, jobs
-from tickmill.sources import evaluator, store
+from tickmill.sources import database, evaluator, store
 
 from .test_rules import made
 
@@ -98,21 +101,40 @@ def test_all_jobs(spark, tmp_path):
     pool = spark.read.parquet(f"{out}/trainer_pool")
     assert n == pool.select("position_id").distinct().count() > 0 and pool.where("prev_fen is null").count() == 0
     assert reports.pool_counts(pool).where("dimension = 'phase'").agg(F.sum("n")).first()[0] == n
-    assert jobs.load_serving(spark, out, serving, cfg)["added"] == n
+    assert jobs.load_serving(spark, out, serving)["added"] == n
     store.write_table(pool.limit(n - 1), str(tmp_path / "o2") + "/trainer_pool")
-    again = jobs.load_serving(spark, str(tmp_path / "o2"), serving, cfg)
+    again = jobs.load_serving(spark, str(tmp_path / "o2"), serving)
     assert (again["added"], again["updated"], again["deactivated"]) == (0, n - 1, 1)
     assert spark.read.parquet(again["path"]).where("active").count() == n - 1 and spark.read.parquet(again["path"]).count() == n
     # the command line: the whole load, twice; the first user and their settings stay
     app = str(tmp_path / "app")
     first, second = (cli.run(spark, ["load"], Settings(interim=interim, processed=out, database=app)) for _ in range(2))
     assert first["positions"]["added"] == n and second["positions"]["updated"] == n and first["budget_rows"] == report["rows"] and second["user_id"] == 1
-    assert spark.read.parquet(f"{app}/users").first().rating == 1500 and spark.read.parquet(f"{app}/user_settings").first().default_class == "blitz"
+    live = store.Snapshots(spark, app)
+    assert live.versions() == [1, 2] and live.tables()["users"].first().rating == 1500 and live.tables()["user_settings"].first().default_class == "blitz"
+    assert live.tables()["positions"].count() == n and live.tables()["category_budgets"].count() == report["rows"]
     assert json.loads((tmp_path / "o/reports/load.json").read_text())["budget_rows"] == report["rows"]
     assert cli.run(spark, ["--out", out, "observations"])["y_population"] == checks["y_population"] and "## by_category" in (tmp_path / "o/reports/observations.md").read_text()
     store.write_table(spark.createDataFrame([(1, "nowhere")], "user_id long, position_id string"), f"{app}/attempts")
     with pytest.raises(ValueError, match="attempts.position_id"):
         cli.run(spark, ["load"], Settings(interim=interim, processed=out, database=app))
+    assert live.versions() == [1, 2]
+    # the same into a SQL database, twice
+    url = f"jdbc:derby:{tmp_path}/sql;create=true"
+    database._execute(spark, url, ["CREATE TABLE positions (position_id varchar(40), fen varchar(100), category varchar(20), source_rating int, active boolean)", "CREATE TABLE users (user_id bigint, name varchar(20), rating int)", "CREATE TABLE category_budgets (model varchar(9), tc_class varchar(9), category varchar(20), rating int, budget_s double, budget_strict_s double, p_inf double, sparse boolean)"])
+    loads = [jobs.load_database(spark, out, url, cfg) for _ in range(2)]
+    assert [x["users_added"] for x in loads] == [1, 0] and loads[1]["budgets"] == {"deleted": report["rows"], "inserted": report["rows"]} and loads[1]["positions"] == {"merged": n, "deactivated": 0}
+    assert database.read(spark, url, "positions").count() == n
+    # bucketed by game: joins and windows over games shuffle nothing
+    jobs.bucket_games(spark, interim, "tickmill_buckets", 4)
+    both = spark.table("tickmill_buckets.moves").join(spark.table("tickmill_buckets.games").select("game_id", "white_elo"), "game_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        timed = both.withColumn("n", F.count("*").over(Window.partitionBy("game_id")))
+        assert timed.count() == moves.count() and "Exchange" not in timed._jdf.queryExecution().executedPlan().toString() and "Exchange" not in both.groupBy("game_id").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE tickmill_buckets CASCADE")
     # a pool whose games don't replay is refused
     broken = spark.read.parquet(f"{out}/labeled_observations").withColumn("fen", F.lit("other"))
     from tickmill.operators import replay
@@ -121,6 +143,88 @@ def test_all_jobs(spark, tmp_path):
         replay.trainer_pool(broken, spark.read.parquet(f"{out}/labels"), moves, cfg).collect()
 
 
+class Breaking:
+    """Logs every position it is asked for, and breaks at one of them."""
+
+    def __init__(self, folder, name, bad=None):
+        self.folder, self.name, self.bad = folder, name, bad
+
+    def __call__(self):
+        return self
+
+    def label(self, fen, played):
+        if fen == self.bad:
+            while len(os.listdir(f"{self.folder}/o/labels") if os.path.isdir(f"{self.folder}/o/labels") else []) < 8:  # other units are done meanwhile
+                time.sleep(0.05)
+            raise RuntimeError("the engine broke")
+        with open(f"{self.folder}/{self.name}", "a") as f:
+            f.write(fen + "\n")
+        return {"best_uci": "a2a3", "best_win_pct": 50.0, "lines": [], "depth": 1, "nodes": 1, "best_move_first_depth": 1, "best_move_stable_depth": 1, "played": [], "seconds": 0.0}
+
+    def close(self):
+        pass
+
+
+def test_label_goes_on_after_a_loss(spark, tmp_path):
+    """A job that dies leaves what its units finished; the next one labels the rest, nothing twice. No unit waits for the broken one."""
+    out = str(tmp_path / "o")
+    spark.range(60).select(F.format_string("p%d", "id").alias("position_id"), F.format_string("e%d", "id").alias("epd"), F.format_string("f%d", "id").alias("fen"), F.lit("a2a3").alias("played_uci")).write.parquet(f"{out}/sampled_positions")
+    spark.createDataFrame([], "epd string, n_pvs int, pvs array<struct<uci:string>>").write.parquet(f"{out}/evaldb_matches")
+    with pytest.raises(Exception, match="the engine broke"):
+        jobs.label(spark, out, Breaking(str(tmp_path), "one", "f17"), batch=3)
+    first = {r.position_id for r in spark.read.parquet(f"{out}/labels").collect()}
+    assert 0 < len(first) < 60 and "p17" not in first
+    n = jobs.label(spark, out, Breaking(str(tmp_path), "two"), batch=3)
+    asked = [f"p{x[1:]}" for x in (tmp_path / "two").read_text().split()]
+    got = [r.position_id for r in spark.read.parquet(f"{out}/labels").collect()]
+    assert n == len(asked) == len(set(asked)) <= 60 - len(first) and set(asked).isdisjoint(first)
+    assert sorted(got) == sorted(f"p{i}" for i in range(60))
+
+
+def test_versions(spark, tmp_path):
+    """Readers of a version see its tables while others are written; two loads from one base can't both be the next."""
+    s = store.Snapshots(spark, str(tmp_path / "s"))
+    assert s.current() == {"version": 0, "tables": {}} and s.tables() == {}
+
+    def load(n, *tables):
+        base, new = s.current(), {}
+        for t in tables:
+            new[t] = s.place(t)
+            spark.range(n).write.parquet(f"{s.folder}/{new[t]}")
+        return base, new
+
+    base, new = load(3, "a", "b")
+    assert s.tables() == {}  # written, but no version names them
+    s.commit(base, new)
+    before = s.tables()
+    base, new = load(5, "a")
+    other, late = load(9, "a", "b")
+    assert s.commit(base, new)["version"] == 2
+    with pytest.raises(RuntimeError, match="another load"):
+        s.commit(other, late)
+    assert {k: v.count() for k, v in s.tables().items()} == {"a": 5, "b": 3} and {k: v.count() for k, v in before.items()} == {"a": 3, "b": 3} == {k: v.count() for k, v in s.tables(1).items()}
+    assert s.expire(1) == 3 and s.versions() == [2] and {k: v.count() for k, v in s.tables().items()} == {"a": 5, "b": 3}
+    with pytest.raises(FileNotFoundError):
+        s.current(1)
+    for text in ("one", "two"):
+        store.write_text(spark, str(tmp_path / "t" / "x.txt"), text)
+        assert store.read_text(spark, str(tmp_path / "t" / "x.txt")) == text
+    assert [p.name for p in (tmp_path / "t").iterdir() if not p.name.endswith(".crc")] == ["x.txt"]
+
+
+def test_migrations_both_ways(spark):
+    """Up and down between versions: rows stay, columns come and go."""
+    store.migrate(spark, "tickmill_steps", 1)
+    spark.sql("INSERT INTO tickmill_steps.users VALUES (7, timestamp'2024-01-01'), (8, null)")
+    store.migrate(spark, "tickmill_steps")
+    spark.sql("INSERT INTO tickmill_steps.users VALUES (9, null, 'Ann', 1700)")
+    assert "users" in store.downgrade(spark, "tickmill_steps", 1) and store.downgrade(spark, "tickmill_steps", 1) == []
+    assert spark.table("tickmill_steps.users").columns == ["user_id", "created_at"] and [r.user_id for r in spark.table("tickmill_steps.users").orderBy("user_id").collect()] == [7, 8, 9]
+    assert store.migrate(spark, "tickmill_steps") == [] and [r.name for r in spark.table("tickmill_steps.users").collect()] == [None] * 3
+    store.downgrade(spark, "tickmill_steps")
+    assert not spark.catalog.databaseExists("tickmill_steps")
+
+
 def test_evaluator_answers():
     x = evaluator.parse_info("info depth 12 seldepth 15 multipv 2 score cp -35 nodes 1234 nps 1 pv e2e4 e7e5")
     assert x == {"depth": 12, "rank": 2, "cp": -35, "mate": None, "nodes": 1234, "uci": "e2e4"}

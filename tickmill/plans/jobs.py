@@ -9,10 +9,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..config import Config
 from ..functions import text
 from ..operators import labels, replay, reports, sampling, survival
-from ..sources import records, store
+from ..sources import database, records, store
 
 
 def filter_games(spark: SparkSession, dump, out: str, cfg: Config | None = None, partitions: int | None = None) -> dict:
@@ -27,6 +28,13 @@ def filter_games(spark: SparkSession, dump, out: str, cfg: Config | None = None,
     return {r["reason"]: r["count"] for r in marked.groupBy("reason").count().collect()}
 
 
+def bucket_games(spark: SparkSession, interim: str, database: str, buckets: int) -> None:
+    """games and moves as catalogue tables in as many buckets by game, sorted: joins of the two, and windows over a game, then need no shuffle."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    store.write_bucketed(spark.read.parquet(f"{interim}/games"), f"{database}.games", "game_id", buckets)
+    store.write_bucketed(spark.read.parquet(f"{interim}/moves"), f"{database}.moves", "game_id", buckets, ("ply",))
+
+
 def parse_games(spark: SparkSession, interim: str, cfg: Config | None = None, months: list[str] | None = None) -> dict:
     """games and moves by month; moves of a game lie together, ordered."""
     games = records.read_months(spark, f"{interim}/filtered", months)
@@ -83,10 +91,11 @@ def lookup_evaluations(spark: SparkSession, path, out: str, cfg: Config | None =
 
 
 def label(spark: SparkSession, out: str, evaluator, cfg: Config | None = None, batch: int = 50, limit: int | None = None) -> int:
-    """Labels of the positions that the database doesn't cover and no earlier run labelled; evaluator makes an engine for a partition.
+    """Labels of the positions that the database doesn't cover and no earlier run labelled; evaluator makes an engine for a task.
 
-    Positions are labelled in units of `batch` for each task that runs at once, each committed before the next one
-    begins; a run that is lost goes on with the first unit that wasn't. A run with other settings is refused.
+    A task labels a unit of `batch` positions, and its file is in the table as soon as it is done, also if the job fails or is
+    killed later (the committer's second algorithm); no unit waits for another. A run that is lost goes on with the
+    positions that have no label. A run with other settings is refused.
     """
     cfg = cfg or Config()
     store.check_manifest(spark, f"{out}/labels_settings", {"settings": settings_of(cfg)})
@@ -95,12 +104,11 @@ def label(spark: SparkSession, out: str, evaluator, cfg: Config | None = None, b
         todo = todo.join(done.select("position_id"), "position_id", "left_anti")
     if limit:
         todo = todo.orderBy("position_id").limit(limit)
+    todo = shared.settled(todo)
     n = todo.count()
-    unit = batch * spark.sparkContext.defaultParallelism
-    units = -(-n // unit)
-    for i in range(units):
-        part = todo.where(F.pmod(F.xxhash64("position_id"), F.lit(units)) == i)
-        replay.label_positions(part.repartition(spark.sparkContext.defaultParallelism), evaluator).write.mode("append").option("compression", "zstd").parquet(f"{out}/labels")
+    if n:
+        units = replay.label_positions(todo.repartition(-(-n // batch), "position_id"), evaluator)
+        units.write.mode("append").option("compression", "zstd").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(f"{out}/labels")
     return n
 
 
@@ -126,53 +134,73 @@ def build_pool(spark: SparkSession, interim: str, out: str, cfg: Config | None =
     return spark.read.parquet(f"{out}/trainer_pool").count()
 
 
-def load_serving(spark: SparkSession, out: str, serving: str, cfg: Config | None = None) -> dict:
-    """The serving positions after an upsert of the pool, written as a new version beside the old one; returns the path of the version and its counts."""
+def _served_positions(spark: SparkSession, out: str, snapshots: store.Snapshots, now: dict) -> tuple[str, dict]:
+    """Writes the serving positions after an upsert of the pool; their place and the counts of the merge."""
     pool = spark.read.parquet(f"{out}/trainer_pool")
-    versions = [int(r[0]) for r in _versions(spark, serving)]
-    now = max(versions, default=0) + 1
-    if versions:
-        old = spark.read.parquet(f"{serving}/v{now - 1}")
+    if "positions" in now["tables"]:
+        old = spark.read.parquet(f"{snapshots.folder}/{now['tables']['positions']}")
         merged, counts = store.upsert(old, pool, "position_id"), store.upsert_counts(old, pool, "position_id")
     else:
         merged, counts = pool.withColumn("active", F.lit(True)), {"added": pool.count(), "updated": 0, "deactivated": 0}
-    store.write_serving(merged, f"{serving}/v{now}")
-    return {"path": f"{serving}/v{now}", **counts}
+    place = snapshots.place("positions")
+    store.write_serving(merged, f"{snapshots.folder}/{place}")
+    return place, counts
+
+
+def load_serving(spark: SparkSession, out: str, serving: str) -> dict:
+    """A new version of the serving positions; returns their path, the version and the counts."""
+    snapshots = store.Snapshots(spark, serving)
+    now = snapshots.current()
+    place, counts = _served_positions(spark, out, snapshots, now)
+    return {"path": f"{serving}/{place}", "version": snapshots.commit(now, {"positions": place})["version"], **counts}
 
 
 def load_app(spark: SparkSession, out: str, serving: str, cfg: Config | None = None, model: str = "m0") -> dict:
-    """Everything that the application serves, in one job: positions, a model's budgets, and a first user with default settings if there is none yet.
+    """Everything that the application serves as one version: positions, a model's budgets beside other models', and a first user with default settings if there is none yet.
 
-    Settings and attempts that refer to a user or position that wouldn't be there stop the job before positions or budgets change.
+    Attempts are the application's own table, in the folder of that name. Settings and attempts that refer to a user or position
+    that wouldn't be there stop the job before there is a new version.
     """
     cfg = cfg or Config()
-    budgets = spark.read.parquet(f"{out}/budgets").where(F.col("model") == model)
-    tables = {name: found for name in ("users", "user_settings", "attempts") if (found := _existing(spark, f"{serving}/{name}")) is not None}
+    snapshots = store.Snapshots(spark, serving)
+    now = snapshots.current()
+    tables = {name: spark.read.parquet(f"{serving}/{path}") for name, path in now["tables"].items()}
+    new: dict[str, str] = {}
+
+    def put(name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+        new[name] = snapshots.place(name)
+        store.write_table(df, f"{serving}/{new[name]}", partition_by)
+        tables[name] = spark.read.parquet(f"{serving}/{new[name]}")
+
     if "users" not in tables:
-        user = spark.range(1, 2).select(F.col("id").alias("user_id"), F.lit("local").alias("name"), F.lit(cfg.default_rating).alias("rating"), F.current_timestamp().alias("created_at"))
+        put("users", spark.range(1, 2).select(F.col("id").alias("user_id"), F.lit("local").alias("name"), F.lit(cfg.default_rating).alias("rating"), F.current_timestamp().alias("created_at")))
         mix = F.create_map(*(F.lit(x) for c in survival.TRAINABLE for x in (c, 1.0)))
-        settings = spark.range(1, 2).select(
+        put("user_settings", spark.range(1, 2).select(
             F.col("id").alias("user_id"), F.lit(cfg.rating_offset).alias("target_offset"), F.lit(cfg.time_controls.supported[0]).alias("default_class"), F.lit("median").alias("strictness"),
             F.to_json(mix).alias("category_mix"), F.lit(True).alias("continue_after_budget"), F.current_timestamp().alias("updated_at"),
-        )
-        for name, df in (("user_settings", settings), ("users", user)):  # the user last: without one the job starts over
-            store.write_table(df, f"{serving}/{name}")
-            tables[name] = spark.read.parquet(f"{serving}/{name}")
-    known = [f"{out}/trainer_pool", *(f"{serving}/v{max(int(r[0]) for r in v)}" for v in [_versions(spark, serving)] if v)]
-    store.check_references({**tables, "positions": reduce(DataFrame.union, (spark.read.parquet(p).select("position_id") for p in known))})
-    positions = load_serving(spark, out, serving, cfg)
-    served = budgets.select("model", "tc_class", "category", "rating", "budget_s", "budget_strict_s", "p_inf", "sparse")
-    store.replace_partition(served, f"{serving}/category_budgets", "model")
-    first = tables["users"].agg(F.min("user_id")).first()[0]
-    return {"positions": positions, "budget_rows": served.count(), "model": model, "user_id": first}
-
-
-def _versions(spark: SparkSession, serving: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(serving)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    return [(s.getPath().getName()[1:],) for s in fs.listStatus(path) if s.getPath().getName()[1:].isdigit()]
+        ))
+    if (attempts := _existing(spark, f"{serving}/attempts")) is not None:
+        tables["attempts"] = attempts
+    new["positions"], counts = _served_positions(spark, out, snapshots, now)
+    store.check_references({**tables, "positions": spark.read.parquet(f"{serving}/{new['positions']}").select("position_id")})
+    served = ("model", "tc_class", "category", "rating", "budget_s", "budget_strict_s", "p_inf", "sparse")
+    mine = spark.read.parquet(f"{out}/budgets").where(F.col("model") == model).select(*served)
+    others = [tables["category_budgets"].where(F.col("model") != model).select(*served)] if "category_budgets" in tables else []
+    put("category_budgets", reduce(DataFrame.unionByName, [mine, *others]), ["model"])
+    version = snapshots.commit(now, new)["version"]
+    return {"positions": counts, "budget_rows": mine.count(), "model": model, "user_id": tables["users"].agg(F.min("user_id")).first()[0], "version": version}
+
+
+def load_database(spark: SparkSession, out: str, url: str, cfg: Config | None = None, model: str = "m0") -> dict:
+    """Positions, a model's budgets and a first user into the tables of a SQL database, each by one transaction; running it again changes nothing."""
+    cfg = cfg or Config()
+    pool = spark.read.parquet(f"{out}/trainer_pool")
+    have = {c.lower() for c in database.read(spark, url, "positions", where="1 = 0").columns}
+    positions = database.upsert(pool.select(*(c for c in pool.columns if c.lower() in have and c != "active")), url, "positions", "position_id")
+    served = ("model", "tc_class", "category", "rating", "budget_s", "budget_strict_s", "p_inf", "sparse")
+    budgets = database.replace(spark.read.parquet(f"{out}/budgets").where(F.col("model") == model).select(*served), url, "category_budgets", "model")
+    users = database.insert_absent(spark.range(1, 2).select(F.col("id").alias("user_id"), F.lit("local").alias("name"), F.lit(cfg.default_rating).alias("rating")), url, "users", "user_id")
+    return {"positions": positions, "budgets": budgets, "users_added": users}
 
 
 def settings_of(cfg: Config) -> dict:

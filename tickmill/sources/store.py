@@ -1,4 +1,4 @@
-"""Sinks: partitioned tables, upserts, replacement of one model's rows, insert-if-absent, manifests, reports, the serving table."""
+"""Sinks: partitioned and bucketed tables, upserts, replacement of one model's rows, insert-if-absent, manifests, reports, the serving table, versions of several tables."""
 
 from __future__ import annotations
 
@@ -91,8 +91,37 @@ def migrate(spark: SparkSession, database: str, version: int = max(TABLES)) -> l
     return [name for name, columns in wanted.items() if {f.name: f.dataType for f in spark.table(f"{database}.{name}").schema} != columns]
 
 
-def downgrade(spark: SparkSession, database: str) -> None:
-    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+def downgrade(spark: SparkSession, database: str, version: int = 0) -> list[str]:
+    """Takes a database of the session's catalogue down to a version: later columns and tables go, rows stay. Version 0 drops it. Returns the tables that changed."""
+    if version == 0:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+        return list(TABLES[1])
+    changed = []
+    keep: dict[str, list[str]] = {}
+    for step in range(1, version + 1):
+        for name, ddl in TABLES[step].items():
+            keep.setdefault(name, []).extend(f.name for f in T._parse_datatype_string(ddl))
+    for name in dict.fromkeys(name for tables in TABLES.values() for name in tables):
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            continue
+        if name not in keep:
+            spark.sql(f"DROP TABLE {database}.{name}")
+            changed.append(name)
+        elif spark.table(f"{database}.{name}").columns != keep[name]:
+            # written whole beside it before either name changes, so a run that is lost can be repeated
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_lower")
+            spark.sql(f"CREATE TABLE {database}.{name}_lower USING parquet AS SELECT {', '.join(keep[name])} FROM {database}.{name}")
+            spark.sql(f"ALTER TABLE {database}.{name} RENAME TO {database}.{name}_upper")
+            spark.sql(f"ALTER TABLE {database}.{name}_lower RENAME TO {database}.{name}")
+            spark.sql(f"DROP TABLE {database}.{name}_upper")
+            changed.append(name)
+    return changed
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, order: tuple[str, ...] = (), path: str | None = None) -> None:
+    """A catalogue table hashed on a key into buckets, sorted within them: tables of one key and number of buckets join on it without a shuffle."""
+    w = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("compression", "zstd").bucketBy(buckets, key).sortBy(key, *order)
+    (w.option("path", path) if path else w).saveAsTable(table)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -101,17 +130,36 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, complete or absent: written beside its place and renamed over it."""
-    fs, target = _hadoop(spark, path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+def _renamed(spark: SparkSession, source: str, target: str, replace: bool) -> bool:
+    """Renames a file over another one at once, or only where none is; false if there is one."""
+    jvm = spark._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE if replace else kind.NONE
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs, b = _hadoop(spark, target)
+    a, b = fs.makeQualified(a), fs.makeQualified(b)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(b.toUri(), spark._jsc.hadoopConfiguration()).rename(a, b, how)
+    except Exception as e:
+        if "FileAlreadyExists" not in str(e):
+            raise
+        return False
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> bool:
+    """A small file: written beside its place and renamed over it, so readers find the old one or the new one, complete. Without `replace` an existing file stays and false is returned."""
+    fs, _ = _hadoop(spark, path)
+    name = f"{path}.{uuid.uuid4().hex}.part"
+    part = spark._jvm.org.apache.hadoop.fs.Path(name)
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"could not write {path}")
+    if _renamed(spark, name, path, replace):
+        return True
+    fs.delete(part, False)
+    return False
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -172,3 +220,63 @@ def write_report(spark: SparkSession, folder: str, job: str, report: dict) -> No
             parts.append(_table(k, list(rows[0]) if rows else ["name", "value"], (r.values() for r in rows)))
     write_json(spark, f"{folder}/{job}.json", report)
     write_text(spark, f"{folder}/{job}.md", "\n".join(parts))
+
+
+# --- versions of several tables at once ---
+
+
+class Snapshots:
+    """A log of versions of a set of tables under one folder. A version is one small file that names each table's folder; folders don't change once a version names them.
+
+    A load writes new folders, then the next version's file, which appears at once or not at all, and only if no other load took its number.
+    Readers take the latest file and so see all tables of one load, also while another runs.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _listed(self, folder: str) -> list[str]:
+        fs, path = _hadoop(self.spark, folder)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def versions(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in self._listed(f"{self.folder}/_versions") if n.endswith(".json") and n[:-5].isdigit())
+
+    def current(self, version: int | None = None) -> dict:
+        """{version, tables: {name: path}} of a version, the latest if none is given; version 0 without tables if there is none."""
+        known = self.versions()
+        if not known and version is None:
+            return {"version": 0, "tables": {}}
+        text = read_text(self.spark, f"{self.folder}/_versions/{version or known[-1]:012d}.json")
+        if text is None:
+            raise FileNotFoundError(f"{self.folder} has no version {version}")
+        return json.loads(text)
+
+    def tables(self, version: int | None = None) -> dict[str, DataFrame]:
+        return {name: self.spark.read.parquet(f"{self.folder}/{path}") for name, path in self.current(version)["tables"].items()}
+
+    def place(self, table: str) -> str:
+        """A new folder for a table, of this load alone, relative to the log's."""
+        return f"{table}/{uuid.uuid4().hex}"
+
+    def commit(self, base: dict, tables: dict[str, str]) -> dict:
+        """The version after `base`, with these tables in place of or besides its own. Raises if another load came first: what it wrote may not be in `base`."""
+        new = {"version": base["version"] + 1, "tables": {**base["tables"], **tables}}
+        if not write_text(self.spark, f"{self.folder}/_versions/{new['version']:012d}.json", json.dumps(new, sort_keys=True), replace=False):
+            raise RuntimeError(f"{self.folder}: version {new['version']} was written by another load")
+        return new
+
+    def expire(self, keep: int) -> int:
+        """Drops all versions but the last `keep`, then folders that no version names; the number of folders. Not beside a load that runs, whose folders no version names yet."""
+        known = self.versions()
+        for v in known[: max(0, len(known) - keep)]:
+            fs, path = _hadoop(self.spark, f"{self.folder}/_versions/{v:012d}.json")
+            fs.delete(path, False)
+        named = {p for v in self.versions() for p in self.current(v)["tables"].values()}
+        gone = 0
+        for table in {p.split("/")[0] for p in named}:
+            for x in self._listed(f"{self.folder}/{table}"):
+                if f"{table}/{x}" not in named:
+                    fs, path = _hadoop(self.spark, f"{self.folder}/{table}/{x}")
+                    gone += bool(fs.delete(path, True))
+        return gone
