@@ -24,19 +24,21 @@ def test_perft(fen, depth, count):
 
 def test_notation():
     b = Board()
-    for san in "e4 e5 Nf3 Nc6 Bb5 a6 Bxc6 dxc6 O-O".split():
+    for san in "d4 Nf6 c4 g6 Nc3 d5 cxd5 Nxd5 e4 Nxc3 bxc3 Bg7".split():
         b.push(b.parse_san(san))
-    assert b.fen() == "r1bqkbnr/1pp2ppp/p1p5/4p3/4P3/5N2/PPPP1PPP/RNBQ1RK1 b kq - 1 5"
-    b = Board("4k3/8/8/8/8/8/8/R3K2R w KQ - 0 1")
-    assert b.uci(b.parse_uci("e1h1")) == "e1g1" and b.uci(b.parse_uci("e1c1")) == "e1c1"
+    assert b.fen() == "rnbqk2r/ppp1ppbp/6p1/8/3PP3/2P5/P4PPP/R1BQKBNR w KQkq - 1 7"
+    b = Board("r3k2r/8/8/8/8/8/8/4K3 b kq - 0 1")
+    assert b.uci(b.parse_uci("e8h8")) == "e8g8" and b.uci(b.parse_uci("e8a8")) == "e8c8"
     with pytest.raises(ValueError):
-        Board().parse_san("e5")
+        Board().parse_san("Nd4")
+    two = Board("4k3/8/8/8/2N3N1/8/8/4K3 w - - 0 1")
     with pytest.raises(ValueError):
-        Board("k7/8/8/8/8/8/8/KR1R4 w - - 0 1").parse_san("Rc1")
-    assert Board("rnb1kbnr/pppp1ppp/8/4p3/6Pq/5P2/PPPPP2P/RNBQKBNR w KQkq - 1 3").is_checkmate()
+        two.parse_san("Ne3")
+    assert two.uci(two.parse_san("Nge3")) == "g4e3"
+    assert Board("R5k1/5ppp/8/8/8/8/8/6K1 b - - 0 1").is_checkmate() and not Board("R5k1/5pp1/8/8/8/8/8/6K1 b - - 0 1").is_checkmate()
     # an en-passant square counts only if the capture is legal
     b = Board()
-    b.push(b.parse_san("e4"))
+    b.push(b.parse_san("d4"))
     assert b.epd().endswith(" b KQkq -")
 
 
@@ -84,15 +86,15 @@ def test_reasons(spark):
 
 
 def test_movetext(spark):
-    moves = "1. e4 { [%eval 0.17] [%clk 0:00:30] } 1... c5?! { [%clk 0:00:30] } { [%eval #-4] } 2. Nf3 $1 { [%eval -1.35] [%clk 1:30:00] } d6 {unclosed 1/2-1/2"
+    moves = "1. Nf3 $6 { [%clk 1:02:03] } d5!? { [%eval -0.08] [%clk 0:59:59] } { a remark } 2. g3 { [%eval #2] } { [%clk 0:00:07] } Nc6 {unclosed 0-1"
     got = spark.createDataFrame([(moves,), (None,), ("",)], "m string").select(text.move_tokens(F.col("m")).alias("t")).collect()
-    assert [tuple(x) for x in got[0].t][:3] == [("e4", 30.0, 17, None), ("c5", 30.0, None, -4), ("Nf3", 5400.0, -135, None)]
+    assert [tuple(x) for x in got[0].t][:3] == [("Nf3", 3723.0, None, None), ("d5", 3599.0, -8, None), ("g3", 7.0, None, 2)]
     assert got[1].t is None and got[2].t == []
 
 
 def test_parse_and_replay(spark):
-    clocks = ["0:03:00", "0:03:00", "0:02:57", "0:02:59", "0:02:56", "0:02:58", "0:02:55"]
-    sans = ["e4", "d5", "exd5", "Qxd5", "Nc3", "Qa5", "d4"]
+    clocks = ["0:05:00", "0:05:00", "0:04:51", "0:04:58", "0:04:44", "0:04:40", "0:04:41"]
+    sans = ["c4", "d5", "cxd5", "Qxd5", "Nc3", "Qd8", "d4"]
     moves = " ".join(f"{s} {{ [%clk {c}] }}" for s, c in zip(sans, clocks)) + " 1-0"
     df = spark.createDataFrame([(made(id="goodgame", moves=moves),), (made(id="badmove1", moves="1. e5 { [%clk 0:03:00] } 1-0"),), (made(id="noclock1", moves="1. e4 { [%clk 0:03:00] } e5 1-0"),)], "value string")
     games = text.kept_games(text.with_reason(df))
@@ -100,12 +102,12 @@ def test_parse_and_replay(spark):
     assert {(r.game_id, r.n_plies, r.parse_error) for r in meta.collect()} == {("goodgame", 7, None), ("badmove1", None, "illegal_move"), ("noclock1", None, "missing_clock")}
     rows = rows.cache()
     got = rows.orderBy("ply").collect()
-    assert [r.uci for r in got] == ["e2e4", "d7d5", "e4d5", "d8d5", "b1c3", "d5a5", "d2d4"]
-    assert [r.time_spent_s for r in got] == [None, None, 5, 3, 3, 3, 3]
+    assert [r.uci for r in got] == ["c2c4", "d7d5", "c4d5", "d8d5", "b1c3", "d5d8", "d2d4"]
+    assert [r.time_spent_s for r in got] == [None, None, 11, 4, 9, 20, 5]
     sampled = spark.createDataFrame([("goodgame", 4), ("goodgame", 5), ("goodgame", 1)], "game_id string, ply smallint")
     out = {r.ply: r for r in replay.replay_positions(sampled, rows).collect()}
-    assert out[4].is_capture and out[4].is_recapture and out[4].opp_prev_was_capture and out[4].opp_prev_uci == "e4d5"
-    assert not out[5].is_capture and out[5].opp_prev_was_capture and out[5].prev_own_time_spent_s == 5 and out[5].opp_prev_time_spent_s == 3
+    assert out[4].is_capture and out[4].is_recapture and out[4].opp_prev_was_capture and out[4].opp_prev_uci == "c4d5"
+    assert not out[5].is_capture and out[5].opp_prev_was_capture and out[5].prev_own_time_spent_s == 11 and out[5].opp_prev_time_spent_s == 4
     assert out[1].n_legal_moves == 20 and out[1].opp_prev_uci is None and out[1].phase == "opening" and len(out[1].position_id) == 16
     native = spark.createDataFrame([(["e2e4", "d7d5", "e4d5", "g8f6", "f1b5", "c7c6", "g1f3", "b8d7", "e1g1"],)], "u array<string>").select(replay.placement_after(F.col("u")).alias("p")).first().p
     b = Board()
