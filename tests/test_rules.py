@@ -149,3 +149,24 @@ def test_config(bad):
     with pytest.raises((ValueError, TypeError)):
         Config.from_dict(bad)
     assert Config.from_dict({"filter": {"min_elo": 500}}).filter.min_elo == 500
+
+
+def test_tags_by_every_line(spark):
+    """The quick cut of header tags against a walk over all lines: repeated, broken, empty and look-alike lines."""
+    import random
+    import re
+
+    r = random.Random(31)
+    lines = ['[Event "a"]', '[Event ""]', '[Event "b" ', '[Event "c"]  ', ' [Event "d"]', '[Event  "e"]', '[EventDate "f"]', '[Event "x [Event "g"]', '[Event "h"] {', '[Event "]', "text", '[Site "s]"]', '[Site "é"]\r', '[Event "i"]"]', ""]
+    heads = ["\n".join(r.choice(lines[:-1]) for _ in range(r.randrange(6))) for _ in range(400)]
+
+    def walked(head, name):
+        found = None
+        for line in head.split("\n\n")[0].replace("\r", "").split("\n"):
+            line = line.rstrip(" ")
+            if m := re.fullmatch(rf'\[{name} "(.*)"\]', line):
+                found = m[1]
+        return found
+
+    got = text.parsed_headers(spark.createDataFrame([(h + "\n\n1. e4 *",) for h in heads], "value string")).select("Event", "Site").collect()
+    assert [(x.Event, x.Site) for x in got] == [(walked(h, "Event"), walked(h, "Site")) for h in heads]

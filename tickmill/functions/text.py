@@ -17,16 +17,21 @@ def extract(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
-def tag_arrays(head: Column) -> tuple[Column, Column]:
-    """Names and values of all header lines [Name "value"], the last one first. Cutting at fixed places is several times faster than a pattern."""
-    lines = F.reverse(F.filter(F.transform(F.split(F.replace(head, F.lit("\r"), F.lit("")), "\n"), F.rtrim), lambda x: F.startswith(x, F.lit("[")) & F.endswith(x, F.lit('"]'))))
-    pairs = F.transform(lines, lambda x: F.struct(F.substring_index(F.substr(x, F.lit(2)), ' "', 1).alias("name"), x.alias("line")))
-    return F.transform(pairs, lambda p: p["name"]), F.transform(pairs, lambda p: F.substr(p["line"], F.length(p["name"]) + 4, F.length(p["line"]) - F.length(p["name"]) - 5))
+def _by_lines(head: Column, name: str) -> Column:
+    """The value of the last complete line [name "value"], by a pattern."""
+    line = rf'(?s)^.*\n\[{name} "([^\n]*)"\] *(?:\n|\z)'
+    return F.when(F.rlike(head, F.lit(line)), F.regexp_extract(head, line, 1))
 
 
-def tag(names: Column, values: Column, name: str) -> Column:
-    """A header tag's value, the last one if it is repeated; empty if present but empty, null if absent."""
-    return F.get(values, F.array_position(names, F.lit(name)).cast("int") - 1)
+def tag(head: Column, name: str) -> Column:
+    """A header tag's value, of the last line [name "value"] that is complete; empty if present but empty, null if absent.
+
+    head: lines without carriage returns, after a line feed. The last line that begins like the tag is cut out by two searches; only if it isn't complete are the others looked at. Both stay in generated code.
+    """
+    begin = f'\n[{name} "'
+    line = F.rtrim(F.substring_index(F.substring_index(head, begin, -1), "\n", 1))
+    whole = F.endswith(line, F.lit('"]'))
+    return F.when(F.contains(head, F.lit(begin)), F.when(whole, F.left(line, F.length(line) - 2)).otherwise(_by_lines(head, name)))
 
 
 def head_of(text: Column) -> Column:
@@ -82,9 +87,9 @@ def month_of_path(path: Column) -> Column:
 
 def parsed_headers(records: DataFrame, text: str = "value") -> DataFrame:
     """One column for each tag and the movetext, of records in column `text`."""
-    names, values = tag_arrays(head_of(F.col(text)))
-    read = records.select(names.alias("_names"), values.alias("_values"), movetext_of(F.col(text)).alias("movetext"))
-    return read.select(*(tag(F.col("_names"), F.col("_values"), t).alias(t) for t in TAGS), "movetext")
+    head = F.concat(F.lit("\n"), F.replace(head_of(F.col(text)), F.lit("\r"), F.lit("")))
+    read = records.select(head.alias("_head"), movetext_of(F.col(text)).alias("movetext"))
+    return read.select(*(tag(F.col("_head"), t).alias(t) for t in TAGS), "movetext")
 
 
 def _typed(headers: DataFrame, cfg: Config) -> DataFrame:
