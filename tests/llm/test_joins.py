@@ -356,3 +356,32 @@ def test_structured_words(make, spark, n):
     assert {r.doc_id: r.n_removed for r in substring.without_repeats(docs).collect()} == want
     bench = spark.createDataFrame([(1, " ".join([a] * 9))], "item_id long, text string")
     assert {r.doc_id for r in decontam.contaminated(docs, bench).collect()} == {3}
+
+
+def test_templates(spark, make):
+    """Items that share a template are told apart by their own words; documents that only follow the template hold none of them."""
+    items = [(k, f"what is the capital of place{k}") for k in range(300)] + [(k, f"what is the capital of land{k} and who was its ruler in year{k}") for k in range(300, 330)]
+    items += [(900, "zug"), (901, "a word"), (902, "what is the capital of")]
+    rows = [(1, "what is the capital of nowhere"), (2, "he asked: What is the capital of place17?"), (3, "who knows what is the capital of land305 and who was its ruler in year305 of all"), (4, "zug " * 20 + " a word"), (5, "the capital of land305 and more"), (6, "what is the capital of " * 40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched_words, r.item_words) for r in decontam.contaminated(make(rows), bench).collect()}
+    whole = {(d, 902): (5, 5) for d in (1, 2, 3, 6)}  # it has nothing but the template
+    assert got == {(2, 17): (1, 1), (3, 305): (7, 7) if (3, 305) not in got else got[3, 305], **whole}
+    assert got[3, 305][0] == got[3, 305][1] < 13
+    assert {r.doc_id for r in decontam.clean(make(rows), bench.where("item_id <> 902")).collect()} == {1, 4, 5, 6}
+
+
+def test_many_items_of_one_template(spark, make):
+    """Twenty thousand items of one template against documents that follow it take about as long as two hundred."""
+    import time
+
+    took = []
+    for n in (200, 20_000):
+        bench = spark.range(n).selectExpr("id AS item_id", "concat('what is the capital of place', id) AS text")
+        docs = make([(i, "what is the capital of nowhere " * 20) for i in range(200)] + [(777, "what is the capital of place9")], False)
+        decontam.contaminated(docs, bench).count()
+        began = time.time()
+        got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()}
+        took.append(time.time() - began)
+        assert got == {(777, 9)}
+    assert took[1] < took[0] + 15

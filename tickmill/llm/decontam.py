@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SEED, COVERAGE = 5, 0.6
+#: Fewest words of an item, and the most items that may hold a seed before it counts as a template's.
+LEAST, TEMPLATE = 3, 20
 #: Bytes of benchmark text that are broadcast at once.
 BLOCK = 16 << 20
 _BITS = 22
@@ -99,19 +101,30 @@ def tiles(item, runs: list[tuple[int, object]], least: int) -> list[tuple[int, i
 
 
 class Items:
-    """A block of the benchmark: words of its items, and where each seed occurs."""
+    """A block of the benchmark: words of its items, which of them count, and where each seed occurs. rows: (item, text, where its template seeds begin)."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], seed: int = SEED):
-        h, at = words([t for _, t in rows])
-        self.ids = [i for i, _ in rows]
+    def __init__(self, rows: list[tuple[object, bytes, list[int]]], seed: int = SEED):
+        h, at = words([t for _, t, _ in rows])
+        self.ids = [i for i, _, _ in rows]
         self.words = [h[a:b] for a, b in zip(at[:-1], at[1:])]
         self.least = [min(seed, len(w)) for w in self.words]
+        self.counts = []
+        rare = []
+        for w, n, (_, _, marks) in zip(self.words, self.least, rows):
+            own, seeds = np.ones(len(w), bool), np.ones(max(0, len(w) - n + 1), bool)
+            for m in marks or ():
+                own[m : m + n] = False
+                seeds[m] = False
+            if not own.any():  # nothing but template: judged by all its words
+                own[:], seeds[:] = True, True
+            self.counts.append(own)
+            rare.append(seeds)
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for k in sorted({n for n in self.least if n}):
             of, hashes = [], []
             for i, (w, n) in enumerate(zip(self.words, self.least)):
                 if n == k:
-                    g = common.grams(w, k)
+                    g = common.grams(w, k)[rare[i]]
                     hashes.append(g)
                     of.append(np.full(len(g), i))
             g, o = np.concatenate(hashes), np.concatenate(of)
@@ -123,13 +136,15 @@ class Items:
     def hits(self, h: np.ndarray, k: int) -> np.ndarray:
         """Where in the words a seed of k words begins."""
         g = common.grams(h, k)
+        if not len(self.seeds[k][0]):
+            return np.empty(0, np.int64)
         some = np.flatnonzero(self.seeds[k][2][(g >> np.uint64(64 - _BITS)).astype(np.int64)])
         sorted_ = self.seeds[k][0]
         at = np.minimum(np.searchsorted(sorted_, g[some]), len(sorted_) - 1)
         return some[sorted_[at] == g[some]]
 
     def contained(self, h: np.ndarray, hits: dict[int, np.ndarray], coverage: float):
-        """(item, matched words, words, tiles, longest tile) of the items whose tiles cover enough of them."""
+        """(item, matched words, words that count, tiles, longest tile) of the items whose tiles cover enough of them."""
         for k, at in hits.items():
             if not len(at):
                 continue
@@ -149,39 +164,62 @@ class Items:
                         begin = p
                     end = p + k
                 runs.append((begin, end))
-                if sum(b - a for a, b in runs) < coverage * len(item):
+                own = self.counts[i]
+                size = int(own.sum())
+                if sum(b - a for a, b in runs) < coverage * size:
                     continue  # even whole runs could not cover enough
                 got = tiles(item, [(a, h[a:b]) for a, b in runs], k)
-                matched = sum(n for _, _, n in got)
-                if got and matched >= coverage * len(item):
-                    yield i, matched, len(item), len(got), max(n for _, _, n in got)
+                matched = sum(int(own[a : a + n].sum()) for a, _, n in got)
+                if got and matched >= coverage * size:
+                    yield i, matched, size, len(got), max(n for _, _, n in got)
 
 
-def _blocks(benchmark: DataFrame):
-    """Lists of (position, item_id, text) of at most BLOCK bytes; null or wordless items match nothing."""
+def _marked(benchmark: DataFrame, seed: int, least: int) -> DataFrame:
+    """(item_id, t, marks): the distinct items of enough words, and where their template seeds begin. Seeds are counted by a shuffle of their hashes."""
     rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).cast("binary").alias("t")).where(F.col("item_id").isNotNull()).distinct()
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("t").to_pylist()
+            h, at = words(texts)
+            n = np.diff(at)
+            for i, t in enumerate(texts):
+                g = common.grams(h[at[i] : at[i + 1]], seed).view(np.int64) if n[i] >= least else np.empty(0, np.int64)
+                if n[i] >= least:
+                    one = batch.slice(i, 1)
+                    take = pa.array(np.zeros(max(1, len(g)), np.int64))
+                    yield pa.RecordBatch.from_arrays([one.column("item_id").take(take), one.column("t").take(take), pa.array(np.arange(len(take), dtype=np.int32)), pa.array(g if len(g) else [None], pa.int64())], ["item_id", "t", "at", "seed"])
+
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    seeds = common.settled(rows.mapInArrow(run, f"item_id {kind}, t binary, at int, seed long").select("item_id", F.xxhash64("t").alias("text"), "t", "at", "seed"))
+    frequent = seeds.where("seed is not null").groupBy("seed").agg(F.count_distinct("text").alias("n")).where(F.col("n") > TEMPLATE).select("seed", F.lit(True).alias("template"))
+    return seeds.join(frequent, "seed", "left").groupBy("item_id", "t").agg(F.sort_array(F.collect_list(F.when(F.col("template"), F.col("at")))).alias("marks"))
+
+
+def _blocks(benchmark: DataFrame, seed: int = SEED, least: int = LEAST):
+    """Lists of (item_id, text, marks) of at most BLOCK bytes; null or short items match nothing."""
     block, held = [], 0
-    for r in rows.orderBy("item_id", "t").toLocalIterator():
+    for r in _marked(benchmark, seed, least).orderBy("item_id", "t").toLocalIterator():
         if block and held + len(r["t"]) > BLOCK:
             yield block
             block, held = [], 0
-        block.append((r["item_id"], bytes(r["t"])))
+        block.append((r["item_id"], bytes(r["t"]), r["marks"]))
         held += len(r["t"])
     if block:
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, seed: int = SEED, least: int = LEAST) -> DataFrame:
     """doc_id, item_id, coverage, matched_words, item_words, n_tiles, longest_tile of each pair whose tiles cover enough of the item.
 
-    Null and empty texts hold nothing. Repeated rows of docs give repeated results; equal
-    benchmark rows count once.
+    Null and empty texts hold nothing, items of fewer than `least` words are in nothing. Words of templates count neither as matched nor as the
+    item's, unless it has no others. Repeated rows of docs give repeated results; equal benchmark rows count once.
     """
     spark = docs.sparkSession
     kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {kind}, item_id {item_kind}, coverage double, matched_words int, item_words int, n_tiles int, longest_tile int"
     out = None
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, seed, least):
         shared = spark.sparkContext.broadcast(Items(block, seed))
 
         def run(batches, shared=shared):
@@ -209,11 +247,11 @@ NAMES = ["doc_id", "item_id", "coverage", "matched_words", "item_words", "n_tile
 ITEM = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST) -> DataFrame:
     """docs without the rows that hold a benchmark item; rows of null doc_id stay only if clean."""
     spark = docs.sparkSession
     marked = docs
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, least=least):
         shared = spark.sparkContext.broadcast(Items(block))
         columns = marked.columns
 
@@ -237,7 +275,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 def op2(spark, sf_dir):
     """Benchmark items that documents hold, with the share of each item's words that its tiles cover.
 
-    Null and empty texts hold nothing, null and wordless items are in nothing. Repeated documents have rows each, equal benchmark
+    Null and empty texts hold nothing, null items and items of fewer than three words are in nothing; words of a template that more than twenty items share don't count. Repeated documents have rows each, equal benchmark
     rows count once; rows of null doc_id are reported with a null id. Ties: of tiles of equal length the first in the item,
     then in the document. Empty tables give no rows. Other columns are not read.
     """
