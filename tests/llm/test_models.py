@@ -278,14 +278,6 @@ def test_toxicity_of_one_class(spark, make, marked):
         assert all(abs(x.score - v) < 0.05 and x.predicted == v for x in got)
 
 
-def test_toxicity_table_size(spark, make, marked, monkeypatch):
-    """A table for fewer words holds those of most documents; the others are scored by their beginnings."""
-    rows, labels = marked
-    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    monkeypatch.setattr(toxicity, "LEVELS", ((50, None), (40, 6), (40, 4)))
-    lex = toxicity.fit(make(rows), lab)
-    assert 0 < len(lex.found[0][0]) <= 50 and lex.found[0][1].sum(0).min() > 1
-
 
 def test_languages(make):
     r = random.Random(6)
@@ -495,3 +487,16 @@ def test_quality_sample_passes_over_huge_texts(make, spark, monkeypatch):
     quality.fit(docs, labels)
     n = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40) if i not in (3, 8))
     assert seen == [(n, 50, [0.0, 1.0])]
+
+
+def test_toxicity_is_fitted_on_a_bounded_sample(make, spark, monkeypatch):
+    """As many documents as fit, whole, and every word of them; a document that doesn't fit is passed over."""
+    docs = [(i, f"word{i} common " + "long " * (5000 if i == 7 else 1)) for i in range(60)]
+    lab = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    learned = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 7 in learned
+    assert toxicity.fit(make(docs), lab).docs.sum() == len(learned)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 400)
+    lex = toxicity.fit(make(docs), lab)
+    n = int(lex.docs.sum())
+    assert 10 < n < len(learned) and len(lex.found[0][0]) == n + 2  # each one's own word, and the two that they share

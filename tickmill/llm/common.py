@@ -77,6 +77,17 @@ def with_labels(docs: DataFrame, labels: DataFrame, label: str, modulus: int, he
     return docs.select("doc_id", "text").join(maybe_broadcast(settled(y)), "doc_id")
 
 
+def bounded_sample(labelled: DataFrame, rows: int, most: int) -> DataFrame:
+    """The rows of labelled (doc_id, text, ...) of at most `rows` documents and `most` bytes of text together, those of smallest id hash. Texts are whole; a document that would exceed the bytes is passed over, and the next one taken."""
+    sizes = labelled.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1)).alias("size")).where(F.col("size") <= most)
+    picked, total = [], 0
+    for key, size in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect():
+        if total + size <= most:
+            total += size
+            picked.append((key,))
+    return labelled.join(F.broadcast(labelled.sparkSession.createDataFrame(picked, f"doc_id {labelled.schema['doc_id'].dataType.simpleString()}")), "doc_id")
+
+
 def held_out(modulus: int, held: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == held, F.lit(False))
 

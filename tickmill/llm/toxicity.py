@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Most words, six-byte and four-byte beginnings that the broadcast tables hold, and the bytes that count: those that most labelled documents hold; a word beyond them is scored by its beginning.
-LEVELS = ((1 << 20, None), (1 << 18, 6), (1 << 18, 4))
+#: Bytes of a word that count, level by level: all, and its beginnings.
+LEVELS = (None, 6, 4)
+#: Most labelled documents that it is fitted on, and bytes of their texts, which bound the table of words. All words of these count.
+SAMPLE, SAMPLE_BYTES = 100_000, 64 << 20
 PRIOR = (4.0, 8.0, 16.0)
 DRIFT, FLOOR = 2.0, -3.0
 #: Segments with fewer expected equals than this in a clean text of the same length are significant.
@@ -38,7 +40,7 @@ def keys(parts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     buf = np.frombuffer(b"\n".join(p.translate(_LOWER) for p in parts) + b"\n", np.uint8)
     starts, ends = common.spans(buf)
     at = np.searchsorted(starts, np.cumsum([0, *(len(p) + 1 for p in parts)]))
-    return [common.hash_spans(buf, starts, ends, cut) for _, cut in LEVELS], at
+    return [common.hash_spans(buf, starts, ends, cut) for cut in LEVELS], at
 
 
 def counts(labelled: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
@@ -64,21 +66,9 @@ def counts(labelled: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array(docs[:1]), pa.array(docs[1:])], ["level", "word", "clean", "toxic"])
 
     rows = common.settled(labelled.mapInArrow(run, "level int, word long, clean long, toxic long").groupBy("level", "word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    # as many documents as a word must stand in so that a level's table stays within its size
-    least = {}
-    sizes: dict[int, list] = {}
-    held = F.least(F.col("clean") + F.col("toxic"), F.lit(10_000))
-    for r in rows.groupBy("level", held.alias("held")).agg(F.count("*").alias("n")).collect():  # 10,000 rows a level at most
-        sizes.setdefault(r.level, []).append((r.held, r.n))
-    for level, found in sizes.items():
-        total, least[level] = 0, 10_001
-        for docs, n in sorted(found, reverse=True):
-            total += n
-            if total <= max(1, LEVELS[level][0]) or level < 0:
-                least[level] = docs
     out = []
     for level in range(len(LEVELS)):
-        got = rows.where((F.col("level") == level) & (held >= least.get(level, 1))).select("word", "clean", "toxic").toArrow()  # a level's size
+        got = rows.where(F.col("level") == level).select("word", "clean", "toxic").toArrow()  # the words of SAMPLE_BYTES at most
         word = got["word"].to_numpy().view(np.uint64)
         order = np.argsort(word)
         out.append((word[order], np.stack([got[c].to_numpy()[order] for c in ("clean", "toxic")]).astype(np.float32)))
@@ -188,12 +178,13 @@ def _strengths(lex: Lexicon, s: np.ndarray, found: list, toxic: int):
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> Lexicon:
-    """Counts, calibration and curve from all labelled documents outside the held-out remainder.
+    """Counts, calibration and curve from the labelled documents outside the held-out remainder, at most SAMPLE of them and SAMPLE_BYTES, those of smallest id hash, of either class as they come.
 
     Of repeated labels of an id the largest counts. If only one class is labelled, or none, every text has the
     same probability: that of its class among the labels, with one label of either class added.
     """
-    labelled = common.with_labels(docs.where(F.col("doc_id").isNotNull()), labels, "toxic", modulus, held).select("y", "text")
+    labelled = common.with_labels(docs.where(F.col("doc_id").isNotNull()), labels, "toxic", modulus, held)
+    labelled = common.settled(common.bounded_sample(labelled, SAMPLE, SAMPLE_BYTES).select("y", "text"))
     made = Lexicon(*counts(labelled))
     if not made.docs.all() or not made.found[0][1].sum(1).all():
         return made
