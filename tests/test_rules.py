@@ -170,3 +170,14 @@ def test_tags_by_every_line(spark):
 
     got = text.parsed_headers(spark.createDataFrame([(h + "\n\n1. e4 *",) for h in heads], "value string")).select("Event", "Site").collect()
     assert [(x.Event, x.Site) for x in got] == [(walked(h, "Event"), walked(h, "Site")) for h in heads]
+
+
+def test_config_files(tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "a.yaml").write_text("seed: 7\nfilter:\n  min_elo: 900\nbudget:\n  clip_s: [[blitz, 3, 40], [rapid, 3, 90]]\n")
+    (tmp_path / "a.json").write_text('{"seed": 7, "filter": {"min_elo": 900}, "budget": {"clip_s": [["blitz", 3, 40], ["rapid", 3, 90]]}}')
+    (tmp_path / "empty.yml").write_text("")
+    assert Config.from_file(str(tmp_path / "a.yaml")) == Config.from_file(str(tmp_path / "a.json")) != Config() == Config.from_file(str(tmp_path / "empty.yml"))
+    (tmp_path / "bad.yaml").write_text("filter:\n  nope: 1\n")
+    with pytest.raises((ValueError, TypeError)):
+        Config.from_file(str(tmp_path / "bad.yaml"))

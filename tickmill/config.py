@@ -158,6 +158,16 @@ class Config:
         with open(path) as f:
             return cls.from_dict(json.load(f))
 
+    @classmethod
+    def from_file(cls, path: str) -> Config:
+        """YAML by its ending, which needs PyYAML, else JSON. An empty file has the defaults."""
+        if not path.endswith((".yaml", ".yml")):
+            return cls.from_json(path)
+        import yaml
+
+        with open(path) as f:
+            return cls.from_dict(yaml.safe_load(f) or {})
+
 
 @dataclass(frozen=True)
 class Settings:

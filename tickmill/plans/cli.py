@@ -16,7 +16,7 @@ from . import jobs
 
 def parser(paths: Settings) -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tickmill", description=__doc__)
-    p.add_argument("--config", help="JSON file of parameters")
+    p.add_argument("--config", help="JSON or YAML file of parameters")
     p.add_argument("--interim", default=paths.interim, help="folder of filtered games, games and moves")
     p.add_argument("--out", default=paths.processed, help="folder of positions, labels, budgets, pool and reports")
     job = p.add_subparsers(dest="job", required=True)
@@ -43,7 +43,7 @@ def parser(paths: Settings) -> argparse.ArgumentParser:
 def run(spark: SparkSession, argv: list[str] | None = None, paths: Settings | None = None) -> dict:
     """Runs one job; returns its report."""
     a = parser(paths or Settings.from_env()).parse_args(argv)
-    cfg = Config.from_json(a.config) if a.config else Config()
+    cfg = Config.from_file(a.config) if a.config else Config()
     report = {
         "filter": lambda: jobs.filter_games(spark, a.dump, a.interim, cfg, a.partitions),
         "ingest": lambda: _ingested(spark, a, cfg),
