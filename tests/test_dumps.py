@@ -63,7 +63,8 @@ def test_pieces_in_any_cut():
 def test_magic_numbers_in_the_data(spark, tmp_path):
     """Text that doesn't compress holds whatever it holds, also a frame's first bytes."""
     r = random.Random(4)
-    body = b"".join(b"\n\n[Event " + dumps.MAGIC + bytes(r.randrange(256) for _ in range(300)).replace(b"\n", b"") for _ in range(400))
+    looks = [dumps.MAGIC, b"\x53\x2a\x4d\x18\xff\xff\xff\x7f", b"\x50\x2a\x4d\x18\x05\x00\x00\x00", dumps.MAGIC + b"\x20\x05"]
+    body = b"".join(b"\n\n[Event " + r.choice(looks) + bytes(r.randrange(256) for _ in range(300)).replace(b"\n", b"") for _ in range(400))
     (tmp_path / "raw.zst").write_bytes(b"".join(zstandard.ZstdCompressor().compress(body[i : i + 5000]) for i in range(0, len(body), 5000)))
     got = dumps.read_records(spark, str(tmp_path / "raw.zst"), split_bytes=3000)
     assert sorted(x.value for x in got.collect()) == expected(body)

@@ -48,9 +48,9 @@ def _begins(f, pos: int, size: int) -> bool:
     import zstandard
 
     head = _at(f, pos, 18)
-    if _skips(head):
+    if _skips(head):  # four bytes alone are common in compressed data: its end must be the file's, or another frame's begin
         end = pos + 8 + int.from_bytes(head[4:8], "little")
-        return end >= size or _starts(_at(f, end, 4))
+        return len(head) >= 8 and (end == size or end + 4 <= size and (_at(f, end, 4) == MAGIC or _skips(_at(f, end, 4))))
     try:
         at, checked = pos + zstandard.frame_header_size(head), zstandard.get_frame_parameters(head).has_checksum
     except zstandard.ZstdError:
