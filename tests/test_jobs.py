@@ -67,7 +67,12 @@ def test_all_jobs(spark, tmp_path):
     cfg = Config.from_dict({"budget": {"grid": [1200, 1500, 100], "min_successes": 2, "max_half_width": 200}})
     assert jobs.filter_games(spark, str(dump), interim, cfg) == {"kept": 8, "class_bullet": 1}
     assert jobs.parse_games(spark, interim, cfg) == {"parsed": 8}
+    # one month again: the other one stays; other settings are refused
+    assert jobs.parse_games(spark, interim, cfg, ["2024-01"]) == {"parsed": 8}
+    with pytest.raises(ValueError, match="other settings"):
+        jobs.parse_games(spark, interim, Config.from_dict({"seed": 5}), ["2024-01"])
     moves = spark.read.parquet(f"{interim}/moves")
+    assert moves.select("game_id").distinct().count() == 8
     assert spark.read.parquet(f"{interim}/games").where("n_plies > 0 and est_duration_s = 300").count() == 8
     by_band = reports.timing_by_band(moves, spark.read.parquet(f"{interim}/games"))
     assert by_band.agg(F.sum("n")).first()[0] == moves.where("time_spent_s is not null").count()

@@ -215,6 +215,8 @@ def test_ingest(spark, tmp_path):
     (tmp_path / "in" / "b.pgn").write_text(made(id="secondgm"))
     ingest.ingest(spark, src, out, chk)
     assert {r.reason: r.n for r in ingest.report(spark, out).collect()}["kept"] == want["kept"] + 1
+    with pytest.raises(ValueError, match="other settings"):
+        ingest.ingest(spark, src, out, chk, Config.from_dict({"filter": {"min_elo": 5}}))
     assert ingest.players_by_band(spark.read.parquet(out + "/games")).agg(F.sum("n")).first()[0] == 2 * (want["kept"] + 1)
 
 

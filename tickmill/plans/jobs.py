@@ -36,12 +36,21 @@ def bucket_games(spark: SparkSession, interim: str, database: str, buckets: int)
 
 
 def parse_games(spark: SparkSession, interim: str, cfg: Config | None = None, months: list[str] | None = None) -> dict:
-    """games and moves by month; moves of a game lie together, ordered."""
+    """games and moves by month; moves of a game lie together, ordered. Given months replace their own and leave the others, which must have been made with the same settings."""
     games = records.read_months(spark, f"{interim}/filtered", months)
     meta, moves = replay.parse_moves(games, cfg)
-    store.write_table(meta, f"{interim}/games", ["month"])
     month = games.select("game_id", "month")
-    store.write_table(moves.join(month, "game_id").sortWithinPartitions("game_id", "ply"), f"{interim}/moves", ["month"])
+    moves = moves.join(month, "game_id").sortWithinPartitions("game_id", "ply")
+    settings = {"settings": settings_of(cfg or Config())}
+    if months:
+        store.check_manifest(spark, f"{interim}/games_settings", settings)
+    for df, name in ((meta, "games"), (moves, "moves")):
+        if months:
+            store.replace_partition(df, f"{interim}/{name}", "month")
+        else:
+            store.write_table(df, f"{interim}/{name}", ["month"])
+    if not months:
+        store.write_json(spark, f"{interim}/games_settings/_manifest.json", settings)
     done = spark.read.parquet(f"{interim}/games")
     return {r["e"] or "parsed": r["n"] for r in done.groupBy(F.col("parse_error").alias("e")).agg(F.count("*").alias("n")).collect()}
 

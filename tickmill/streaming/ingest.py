@@ -5,11 +5,14 @@ The windowed report over an event stream is extra: the engine's batch operators
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scores, text
+from ..sources import store
 
 _SEPARATOR = "\n\n[Event "
 
@@ -23,9 +26,11 @@ def game_stream(spark: SparkSession, folder: str, files_per_trigger: int = 8) ->
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, cfg: Config | None = None, files_per_trigger: int = 8) -> None:
     """Filters all files that no earlier run took: kept games to out/games by month, counts by reason to out/counts.
 
-    The micro-batch id names the batch's output, so a batch that is tried again overwrites itself.
+    The micro-batch id names the batch's output, so a batch that is tried again overwrites itself. A run with
+    other settings than those before it is refused.
     """
     cfg = cfg or Config()
+    store.check_manifest(spark, f"{out}/settings", {"settings": asdict(cfg)})
 
     def write(batch: DataFrame, number: int) -> None:
         marked = text.with_reason(batch, cfg).persist()
