@@ -150,6 +150,22 @@ def fit_budgets(t):
     return table.select("tc_class", "category", "rating", *flags, *(F.round(c, 6).alias(c) for c in ("budget_s", "budget_strict_s", "p_inf")))
 
 
+@_query("""WITH t AS (SELECT CASE o_custkey % 2 WHEN 0 THEN 'blitz' ELSE 'rapid' END AS tc, o_orderpriority AS cat, cast(floor(o_totalprice / 50000) * 50000 AS integer) AS rating, round(avg(cast(o_custkey % 97 AS double)), 6) AS b, round(avg(cast(o_custkey % 101 AS double)), 6) AS s,
+  CASE WHEN count(*) > 5 THEN round(avg(cast(o_orderstatus = 'F' AS double)), 6) END AS p FROM orders GROUP BY 1, 2, 3),
+m AS (SELECT *, lag(b) OVER r AS lb, lag(p) OVER r AS lp, lag(b) OVER (PARTITION BY cat, rating ORDER BY tc) AS fb FROM t WINDOW r AS (PARTITION BY tc, cat ORDER BY rating))
+SELECT DISTINCT tc AS tc_class, cat AS category, problem FROM (
+  SELECT tc, cat, unnest([CASE WHEN p IS NULL THEN 'missing values' END, CASE WHEN b > lb + 1e-9 THEN 'budget increases with rating' END, CASE WHEN p < lp - 1e-9 THEN 'solve rate decreases with rating' END,
+    CASE WHEN s > b + 1e-9 THEN 'strict budget above the regular one' END, CASE WHEN b < fb - 1e-9 THEN 'budget below a faster class' END]) AS problem FROM m) WHERE problem IS NOT NULL""")
+def budget_violations(t):
+    """Every rule that a table of unconstrained values breaks."""
+    o = t("orders")
+    table = o.groupBy(F.when(F.col("o_custkey") % 2 == 0, "blitz").otherwise("rapid").alias("tc_class"), F.col("o_orderpriority").alias("category"), scores.band(F.col("o_totalprice"), 50000).alias("rating")).agg(
+        F.round(F.avg((F.col("o_custkey") % 97).cast("double")), 6).alias("budget_s"), F.round(F.avg((F.col("o_custkey") % 101).cast("double")), 6).alias("budget_strict_s"),
+        F.when(F.count("*") > 5, F.round(F.avg((F.col("o_orderstatus") == "F").cast("double")), 6)).alias("p_inf"),
+    )
+    return survival.violations(table)
+
+
 @_query("""SELECT count(*) AS n, round(avg(cast(o_orderkey % 9 - 6 < -1 AS double)), 9) AS above_best_by_1, round(avg(cast(o_orderkey % 9 - 6 < -5 AS double)), 9) AS above_best_by_5, bool_and(o_custkey % 101 BETWEEN 0 AND 100) AS win_in_range,
 bool_and(1 + o_orderkey % 3 > 0) AS weights_positive, bool_and(o_orderkey % 4 >= 0) AS lines_sorted FROM orders WHERE o_orderkey % 11 <> 0""")
 def observation_checks(t):
