@@ -500,3 +500,77 @@ def test_toxicity_is_fitted_on_a_bounded_sample(make, spark, monkeypatch):
     lex = toxicity.fit(make(docs), lab)
     n = int(lex.docs.sum())
     assert 10 < n < len(learned) and len(lex.found[0][0]) == n + 2  # each one's own word, and the two that they share
+
+
+def plainly_scored(net, text):
+    """The network's probability of one text by loops over pairs, filters and chunks."""
+    q, width, hop = quality, quality.WIDTH, quality.HOP
+    hops = -(-(len(text) + 2 * width) // (2 * hop))
+    padded = text + bytes(2 * hop * hops - len(text) + 2 * width)
+    end = max(1, -(-len(text) // 2))
+    conv = np.full((hops * hop, q.FILTERS), -1e9)
+    for at in range(end):
+        conv[at] = sum(net.embed[padded[2 * at + j]].astype(float) @ net.filters[j].astype(float) for j in range(2 * width))
+    last = max(1, hops - 1)
+    chunks = [np.maximum(conv[c * hop : (c + 2) * hop].max(0) + net.bias, 0) for c in range(hops if hops == 1 else last)]
+    if hops > 1:  # the last hop by itself
+        chunks.append(np.maximum(conv[(hops - 1) * hop :].max(0) + net.bias, 0))
+    x = np.r_[np.sum(chunks, 0) / hops, np.max(chunks, 0)]
+    return 1 / (1 + math.exp(-float(x @ net.out + net.base[0])))
+
+
+def written(spark, folder, docs, labels):
+    spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, lang string, score string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_registered_quality_by_loops(spark, tmp_path, monkeypatch):
+    """op5 as registered: each score is that of the fitted network worked out by loops, also of empty, long and repeated texts."""
+    monkeypatch.setattr(quality, "STEPS", 40)
+    r = random.Random(41)
+    docs = [(i, prose(r, r.choice([1, 30, 200])) if i % 2 else "".join(r.choice("#$%&*()") for _ in range(r.randrange(1, 900))), "en") for i in range(60)]
+    docs += [(100, None, "en"), (101, "", "en"), (102, "é" * 255, None), (103, prose(r, 3000), "en"), (5, docs[5][1], "en"), (None, "no id", "en")]
+    labels = [(i, i % 2, 0) for i in range(60)] + [(3, 0, 0), (None, 1, 0), (104, 1, 0)]
+    nets = []
+    fit = quality.Network.fit
+    monkeypatch.setattr(quality.Network, "fit", lambda self, *a: nets.append(fit(self, *a)) or nets[-1])
+    got = quality.op5(spark, written(spark, tmp_path, docs, labels)).collect()
+    assert sorted(str(x.doc_id) for x in got) == sorted(str(i) for i, *_ in docs)
+    want = {}
+    for i, text, _ in docs:
+        want.setdefault(i, plainly_scored(nets[0], (text or "").encode()))
+    for x in got:
+        assert x.score == pytest.approx(want[x.doc_id], abs=1e-4) and x.predicted == int(x.score >= 0.3)
+        assert x.held_out == (x.doc_id is not None and zlib.crc32(str(x.doc_id).encode()) % 5 == 0)
+
+
+def test_registered_language_by_loops(spark, tmp_path):
+    """op9 as registered: the prediction is the best of the ridge scores over the kernel with the landmarks, from sets of n-grams."""
+    r = random.Random(42)
+    words = {"aa": "kato mura sine toki pana lipu".split(), "bb": "strch ggrum zwolp pfant schlr".split(), "cc": "о не дом вода сила".split()}
+    docs = [(i, " ".join(r.choice(words[v]) for _ in range(r.randrange(3, 40))), v) for i, v in enumerate(["aa", "bb", "cc"] * 40)]
+    docs += [(500, None, "aa"), (501, "123 !?", "bb"), (502, "", None), (None, "kato mura", "aa"), (7, docs[7][1], "bb")]
+    got = langid.op9(spark, written(spark, tmp_path, docs, [(1, 1, 0)])).collect()
+
+    def grams(text):
+        b = b" " + (text or "").encode().lower() + b" "
+        place = lambda g, n: ((sum(c * 257 ** (n - 1 - j) for j, c in enumerate(g)) + ((n << 27) if n > 1 else 0)) * 2654435761 % 2**32) >> 19
+        return {place(b[i : i + n], n) for n in (1, 2, 3) for i in range(len(b) - n + 1)}
+
+    learned = langid.sample(spark.read.parquet(f"{tmp_path}/documents.parquet"), 5, 0)
+    assert len(learned) == len({(i, v) for i, _, v in docs if i is not None and v and _ is not None and zlib.crc32(str(i).encode()) % 5})
+    model = langid.Model.fit_packed([bytes(x) for *_, x in learned], [v for _, v, _ in learned])
+    marks = [set(np.flatnonzero(c).tolist()) for c in model.landmarks.T]
+    for x in got:
+        text = next(t for i, t, _ in docs if i == x.doc_id)
+        if not any(map(str.isalpha, text or "")):
+            assert (x.lang_pred, x.score) == ("und", 0.0)
+            continue
+        g = grams(text)
+        kernel = [len(g & m) / math.sqrt(len(g) * len(m)) for m in marks]
+        s = [float(np.dot(kernel, model.weights[:, k]) + model.bias[k]) for k in range(len(model.languages))]
+        assert model.languages[int(np.argmax(s))] == x.lang_pred
+        assert x.score == pytest.approx(1 / sum(math.exp(4 * (v - max(s))) for v in s), abs=1e-3)
+    right = [x.lang_pred == docs[x.doc_id][2] for x in got if x.held_out and x.doc_id is not None and x.doc_id < 120]
+    assert len(right) > 10 and all(right)

@@ -1,8 +1,8 @@
 """Language identification by a string kernel.
 
 A text is the set of its byte n-grams of length 1 to SPECTRUM (blended spectrum,
-presence only), hashed into BUCKETS coordinates. The kernel of two texts is the
-number of shared n-grams over the geometric mean of their numbers of n-grams.
+presence only), hashed into BUCKETS coordinates, which n-grams may share. The kernel of two texts is the
+number of coordinates that both hold over the geometric mean of their numbers of them.
 Landmarks from a bounded sample of labelled texts give Nystrom features;
 one-versus-rest kernel ridge regression is solved in that space, and texts are
 scored in batches by two matrix products.

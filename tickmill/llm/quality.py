@@ -18,7 +18,7 @@ from . import common
 
 DIM, FILTERS, WIDTH, CHUNK = 6, 16, 4, 256
 HOP = CHUNK // 2
-#: Labelled documents of each class that the network is fitted on, and bytes of them: as many whole texts, in order of their ids' hashes, as both allow, one at least.
+#: Labelled documents of each class that the network is fitted on, and bytes of them: whole texts, in order of their ids' hashes, as both allow.
 SAMPLE, SAMPLE_BYTES = 1000, 16 << 20
 STEPS, BATCH, RATE = 400, 48, 0.02
 _LOW = np.float32(-1e9)
