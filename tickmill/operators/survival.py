@@ -178,20 +178,24 @@ def fit_budgets(obs: DataFrame, cfg: Config | None = None) -> DataFrame:
     return across_classes(table, cfg, bottom, top)
 
 
+#: Budgets that differ by no more are equal: fits are means of logarithms.
+SAME = 1e-9
+
+
 def across_classes(table: DataFrame, cfg: Config, bottom, top) -> DataFrame:
-    """A slower class gets at least a faster one's budget; then budgets are clipped."""
+    """A slower class gets at least a faster one's budget; then budgets are clipped. Flags mark changes of more than SAME."""
     speed = scores.ordinal(F.col("tc_class"), cfg.time_controls.supported)
     upto = Window.partitionBy("category", "rating").orderBy(speed).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("category", "rating").orderBy(speed).rowsBetween(Window.unboundedPreceding, -1)
-    raised = lambda c: F.coalesce(F.col(c) < F.max(c).over(before), F.lit(False))
+    raised = lambda c: F.coalesce(F.col(c) < F.max(c).over(before) - SAME, F.lit(False))
     table = table.withColumns({"raised_to_faster": raised("budget_s") | raised("budget_strict_s"), "_b": F.max("budget_s").over(upto), "_s": F.max("budget_strict_s").over(upto), "sparse": F.col("n_success") < cfg.budget.min_successes})
-    return table.withColumns({"clipped_low": F.col("_b") < bottom, "clipped_high": F.col("_b") > top, "budget_s": scores.clip(F.col("_b"), bottom, top), "budget_strict_s": scores.clip(F.col("_s"), bottom, top)}).drop("_b", "_s")
+    return table.withColumns({"clipped_low": F.col("_b") < bottom - SAME, "clipped_high": F.col("_b") > top + SAME, "budget_s": scores.clip(F.col("_b"), bottom, top), "budget_strict_s": scores.clip(F.col("_s"), bottom, top)}).drop("_b", "_s")
 
 
 def violations(table: DataFrame, cfg: Config | None = None) -> DataFrame:
     """(tc_class, category, problem) for every rule that the budget table breaks."""
     cfg = cfg or Config()
-    eps = 1e-9
+    eps = SAME
     along = Window.partitionBy("tc_class", "category").orderBy("rating")
     speed = Window.partitionBy("category", "rating").orderBy(scores.ordinal(F.col("tc_class"), cfg.time_controls.supported))
     missing = F.col("budget_s").isNull() | F.col("budget_strict_s").isNull() | F.col("p_inf").isNull()

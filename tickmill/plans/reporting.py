@@ -135,8 +135,8 @@ sums AS (SELECT *, row_number() OVER k AS i, sum(w) OVER k AS sw, sum(-b * w) OV
 fits AS (SELECT tc, cat, rating, exp(fb.fit) AS b, exp(fz.fit) AS z, fp.fit AS p FROM {_fit_sql('sb', -1)} fb JOIN {_fit_sql('sz', -1)} fz USING (tc, cat, rating) JOIN {_fit_sql('sp', 1)} fp USING (tc, cat, rating)),
 up AS (SELECT r.*, f.b, f.z, f.p, max(f.b) OVER c AS mb, max(f.z) OVER c AS mz, max(f.b) OVER d AS fb, max(f.z) OVER d AS fz FROM raw r LEFT JOIN fits f USING (tc, cat, rating)
        WINDOW c AS (PARTITION BY cat, rating ORDER BY tc ROWS UNBOUNDED PRECEDING), d AS (PARTITION BY cat, rating ORDER BY tc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT tc AS tc_class, cat AS category, rating, h AS half_width, n_obs, n_success, n_success > 0 AND (q IS NULL OR s IS NULL) AS unreached, round(least(greatest(mb, 3), top), 6) AS budget_s, round(least(greatest(mz, 3), top), 6) AS budget_strict_s, round(p, 6) AS p_inf,
-       coalesce(b < fb OR z < fz, false) AS raised_to_faster, n_success < 40 AS sparse, mb < 3 AS clipped_low, mb > top AS clipped_high FROM up""")
+SELECT tc AS tc_class, cat AS category, rating, h AS half_width, n_obs, n_success, n_success > 0 AND (q IS NULL OR s IS NULL) AS unreached, CASE WHEN mb IS NOT NULL THEN round(least(greatest(mb, 3), top), 6) END AS budget_s, CASE WHEN mz IS NOT NULL THEN round(least(greatest(mz, 3), top), 6) END AS budget_strict_s, round(p, 6) AS p_inf,
+       coalesce(b < fb - 1e-9 OR z < fz - 1e-9, false) AS raised_to_faster, n_success < 40 AS sparse, mb < 3 - 1e-9 AS clipped_low, mb > top + 1e-9 AS clipped_high FROM up""")
 def fit_budgets(t):
     """The whole budget table: widened windows, both quantiles of each curve, monotone fits, classes and bounds. Whole seconds make exact ties common."""
     k = F.col("l_partkey") % 8 + 1
