@@ -77,7 +77,7 @@ def test_entry_without_the_optional_part(monkeypatch):
 
 def test_filters_reach_the_scan(spark, tables):
     folder, _ = tables
-    plan = registry.queries()["tc_stats_having"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.queries()["two_level_agg"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan.split("ReadSchema")[1]
     scan = spark.read.parquet(f"{folder}/orders.parquet").where(F.col("o_orderstatus") == "F").select("o_orderkey")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderstatus,F)" in scan
