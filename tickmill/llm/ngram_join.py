@@ -429,6 +429,6 @@ def op4(spark, sf_dir):
 
     Null and empty texts have an empty set and no link. Rows of equal doc_id have a row each and share a component only through links; rows
     of null doc_id have a null component if nothing else is in it. A link of exactly the threshold counts. An empty table
-    gives no rows. Other columns are not read.
+    gives no rows. Other columns are not read. Raises should 60 rounds of the component search, which halve paths, not be enough.
     """
     return clusters(common.table(spark, sf_dir, "documents"))
