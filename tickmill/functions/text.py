@@ -126,9 +126,13 @@ def drop_reason(cfg: Config) -> Column:
 
 
 def with_reason(records: DataFrame, cfg: Config | None = None, text: str = "value") -> DataFrame:
-    """Parsed headers of every record with `reason`."""
+    """Parsed headers of every record with `reason`.
+
+    The reason comes out of a generator, so that a condition on it isn't moved below the parsing: there every use of a tag would be the tag's whole expression again, in code too large to be compiled.
+    """
     cfg = cfg or Config()
-    return _typed(parsed_headers(records, text), cfg).withColumn("reason", drop_reason(cfg)).drop("_base", "_inc", "_we", "_be", "_id", "_class")
+    typed = _typed(parsed_headers(records, text), cfg)
+    return typed.select("*", F.explode(F.array(drop_reason(cfg))).alias("reason")).drop("_base", "_inc", "_we", "_be", "_id", "_class")
 
 
 def kept_games(marked: DataFrame, cfg: Config | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..config import Config
 from ..functions import scores, text
 from ..operators import labels, ranks, sampling, survival, timing
@@ -71,7 +72,8 @@ _REASON = f"""CASE WHEN cut THEN 'incomplete' WHEN replace(substring(d, 1, 7), '
 
 
 def _records(orders: DataFrame) -> DataFrame:
-    """A game record in text form for each order."""
+    """A game record in text form for each order; the orders are dealt over all cores, since a record takes far longer to parse than its key to read."""
+    orders = shared.spread(orders.select("o_orderkey", "o_custkey", "o_orderdate"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     tag = lambda name, value: F.concat(F.lit(f'[{name} "'), value.cast("string"), F.lit('"]\n'))
     white = F.when(k % 17 == 0, F.lit("?")).otherwise((400 + c % 3300).cast("string"))

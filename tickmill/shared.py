@@ -1,4 +1,4 @@
-"""Results kept between jobs, and broadcasts of measured size."""
+"""Results kept between jobs, rows dealt for costly steps, and broadcasts of measured size."""
 
 from __future__ import annotations
 
@@ -29,6 +29,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows dealt evenly over as many partitions as the session shuffles into, and at least one a core: for rows of few bytes that cost much, of which one split of a file would hold too many."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def row_bytes(df: DataFrame) -> int:
     """About what df's rows take in memory; df should be settled, since measuring computes it."""
     row = F.lit(32 + 8 * len(df.columns)).cast("long")
