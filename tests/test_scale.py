@@ -21,3 +21,7 @@ def test_condition_on_the_reason_stays_above_the_parsing(spark, tables):  # noqa
 @pytest.mark.parametrize("name", ["kept_games", "flt_reason_cascade"])
 def test_rows_of_one_file_are_dealt_over_all_cores(spark, tables, name):  # noqa: F811
     assert registry.queries()[name](spark, tables[0]).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_pool_replays_the_samples_once(spark, tables):  # noqa: F811
+    assert optimized(registry.queries()["trainer_pool"](spark, tables[0])).count("replayed(") <= 1

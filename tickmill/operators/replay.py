@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..config import Config
 from ..functions import scores, text
-from . import timing
+from . import bloom, timing
 from .board import Board
 from .survival import TRAINABLE
 
@@ -177,9 +178,9 @@ def trainer_pool(obs: DataFrame, labels: DataFrame, moves: DataFrame, cfg: Confi
 
     cfg = cfg or Config()
     keep = F.col("loss_win_pct").isNotNull() & F.col("category").isin(*TRAINABLE) & F.col("position_state").isin(*cfg.position_states) & F.col("opp_prev_uci").isNotNull()
-    chosen = obs.where(keep).withColumn("_r", F.row_number().over(Window.partitionBy("position_id").orderBy("game_id", "ply"))).where("_r = 1").drop("_r")
+    chosen = shared.settled(obs.where(keep).withColumn("_r", F.row_number().over(Window.partitionBy("position_id").orderBy("game_id", "ply"))).where("_r = 1").drop("_r"))
     games = chosen.groupBy("game_id").agg(F.collect_set("ply").alias("wanted"))
-    lists = moves.join(games.select("game_id"), "game_id", "left_semi").groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("ply", "uci"))).alias("ms")).join(games, "game_id")
+    lists = bloom.semi_join(moves, "game_id", games, "game_id").groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("ply", "uci"))).alias("ms")).join(games, "game_id")
     back = lists.select("game_id", F.explode(replayed(F.col("ms.uci"), F.col("wanted"))).alias("x")).select("game_id", F.col("x.ply").alias("ply"), F.col("x.prev_fen").alias("prev_fen"), F.col("x.fen").alias("replayed_fen"))
     names = {"game_id": "source_game_id", "month": "source_month", "tc_class": "source_tc_class", "mover_elo": "source_rating"}
     pool = chosen.join(back, ["game_id", "ply"], "left").join(labels.select("position_id", "lines"), "position_id", "left")

@@ -6,6 +6,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..operators import labels, replay, reports, timing
 from .registry import _MOVES_SQL, _moves, _nearest_sql, _query, _win_sql
 
@@ -167,7 +168,8 @@ def replayed_samples(t):
 def trainer_pool(t):
     """Every distinct position of the samples, from its first game, replayed again and checked."""
     sampled, moves = _replay_input(t)
-    obs = replay.replay_positions(sampled, moves).withColumns({"loss_win_pct": F.lit(1.0), "category": F.lit("quiet"), "position_state": F.lit("balanced")})
+    played = shared.settled(replay.replay_positions(sampled, moves).select("game_id", "ply", "position_id", "fen", "opp_prev_uci"))  # read more than once below
+    obs = played.withColumns({"loss_win_pct": F.lit(1.0), "category": F.lit("quiet"), "position_state": F.lit("balanced")})
     lines = obs.select("position_id").distinct().withColumn("lines", F.array(F.lit("a line")))
     return replay.trainer_pool(obs, lines, moves).select("position_id", "fen", "prev_fen", "opp_prev_uci", "source_game_id")
 
