@@ -57,19 +57,21 @@ def san_to_uci(sans: pd.Series) -> pd.DataFrame:
 @_vectorised(_REPLAYED)
 def replayed(ucis: pd.Series, wanted: pd.Series) -> pd.Series:
     """Facts about the position before each wanted ply of a game; replay stops after the last one. A game with an illegal move before it has null."""
-    out = []
+    out, start = [], Board()
     for game, plies in zip(ucis, wanted):
         plies = set() if plies is None else {int(p) for p in plies}
-        board, rows, prev = Board(), [], None
+        last = max(plies, default=0)
+        board, rows, prev = start.copy(), [], None
         try:
             for ply, uci in enumerate([] if game is None else game, 1):
-                if not plies or ply > max(plies):
+                if ply > last:
                     break
                 move = board.parse_uci(uci)
                 fen = None
                 if ply in plies:
-                    fen = board.fen()
-                    rows.append({"ply": ply, "uci": uci, "fen": fen, "epd": board.epd(), "n_legal_moves": len(board.legal()), "in_check": board.in_check(), "is_capture": board.is_capture(move), "prev_fen": prev})
+                    epd = board.epd()
+                    fen = board.fen(epd)
+                    rows.append({"ply": ply, "uci": uci, "fen": fen, "epd": epd, "n_legal_moves": len(board.legal()), "in_check": board.in_check(), "is_capture": board.is_capture(move), "prev_fen": prev})
                 if ply + 1 in plies:
                     prev = fen or board.fen()
                 board.push(move)

@@ -28,11 +28,11 @@ _NAMES = list(_GAMES)
 
 
 def _games(t, column: int):
-    """A game for each customer, by key, whose first moves are played: as many as the key says, all of every eighth."""
+    """A game for each customer, by key, whose first moves are played: as many as the key says, all of every eighth. Customers are dealt over all cores, since a game takes far longer to play than its key to read."""
     n = F.col("c_custkey")
     moves = F.element_at(F.array(*(F.split(F.lit(v[column] or "e2e4 e7e5"), " ") for v in _GAMES.values())), (n % len(_GAMES) + 1).cast("int"))
     name = F.element_at(F.array(*map(F.lit, _NAMES)), (n % len(_GAMES) + 1).cast("int"))
-    return t("customer").select(n.alias("game"), name.alias("name"), moves.alias("whole")).withColumn("moves", F.when(F.col("game") % 8 < 4, F.col("whole")).otherwise(F.slice("whole", F.lit(1), (1 + F.floor(F.col("game") / 8) % F.size("whole")).cast("int"))))
+    return shared.spread(t("customer").select("c_custkey")).select(n.alias("game"), name.alias("name"), moves.alias("whole")).withColumn("moves", F.when(F.col("game") % 8 < 4, F.col("whole")).otherwise(F.slice("whole", F.lit(1), (1 + F.floor(F.col("game") / 8) % F.size("whole")).cast("int"))))
 
 
 def _games_sql() -> str:
