@@ -18,7 +18,7 @@ def test_condition_on_the_reason_stays_above_the_parsing(spark, tables):  # noqa
     assert plan.count("substring_index") < 100
 
 
-@pytest.mark.parametrize("name", ["kept_games", "flt_reason_cascade", "board_replay"])
+@pytest.mark.parametrize("name", ["kept_games", "flt_reason_cascade", "board_replay", "san_to_uci"])
 def test_rows_of_one_file_are_dealt_over_all_cores(spark, tables, name):  # noqa: F811
     assert registry.queries()[name](spark, tables[0]).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 

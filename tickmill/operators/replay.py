@@ -39,9 +39,9 @@ def _vectorised(ddl: str):
 @_vectorised("struct<uci:array<string>,error:string>")
 def san_to_uci(sans: pd.Series) -> pd.DataFrame:
     """The UCI moves of a game's SANs, or the error `illegal_move` and none."""
-    out = []
+    out, start = [], Board()
     for game in sans:
-        board, moves, error = Board(), [], None
+        board, moves, error = start.copy(), [], None
         for san in [] if game is None else game:
             try:
                 move = board.parse_san(san)
