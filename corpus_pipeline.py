@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 
 from tickmill.llm import bpe, common, decontam, ngram_join, quality, substring
 
+#: Bytes of an Arrow batch in all stages: less than for one operator alone, since an executor's memory has grown over earlier stages when a later one runs.
+BATCH_BYTES = 4 << 20
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality network, fitted on a bounded sample of the labelled documents, accepts."""
+    common.bounded_batches(spark, BATCH_BYTES)
     network = quality.fit(docs, common.table(spark, sf_dir, "labels"))
     return quality.classify(docs, network, docs.columns, names=("_quality", "_accepted")).where(F.col("_accepted") == 1).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document of least id."""
-    common.bounded_batches(spark)
+    common.bounded_batches(spark, BATCH_BYTES)
     return ngram_join.representatives(docs)
 
 
@@ -30,7 +34,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Untouched texts stay as they are; a cut text is its words left, joined by single spaces, and n_chars
     follows it. Documents of which nothing is left go. All other columns stay.
     """
-    common.bounded_batches(spark)
+    common.bounded_batches(spark, BATCH_BYTES)
     got = substring.without_repeats(docs, carry=True)
     changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     columns = [F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col(f"carried.{c}")).alias(c) if c in changed else F.col(f"carried.{c}").alias(c) for c in docs.columns]
@@ -39,6 +43,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    common.bounded_batches(spark, BATCH_BYTES)
     return decontam.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
@@ -46,7 +51,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the digests of the ids and of the decoded bytes."""
     import public_tokenizers
 
-    common.bounded_batches(spark)
+    common.bounded_batches(spark, BATCH_BYTES)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

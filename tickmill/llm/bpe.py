@@ -302,6 +302,7 @@ class Codec:
 
 
 _codecs: dict[int, Codec] = {}
+common.kept_in_worker.append(_codecs)
 
 
 def codec(shared) -> Codec:

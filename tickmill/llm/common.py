@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
 import numpy as np
@@ -18,12 +19,37 @@ BROADCAST_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most BATCH_BYTES from here on, unless the session asks for smaller ones."""
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Arrow batches of at most `most` bytes from here on, unless the session asks for smaller ones."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key).rstrip("b")
-    if not now.isdigit() or int(now) > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    if not now.isdigit() or int(now) > most:
+        spark.conf.set(key, str(most))
+
+
+#: What steps keep in a Python worker for their next tasks.
+kept_in_worker: list[dict] = []
+
+
+def trim() -> None:
+    """Hands memory that this worker has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc's
+        libc.malloc_trim(0)
+
+
+def lean(run):
+    """run, as an Arrow step that first drops what other steps have kept in this worker, and trims it at the end: Spark uses a worker again, for steps of all kinds."""
+
+    def call(batches):
+        for kept in kept_in_worker:
+            kept.clear()
+        trim()
+        yield from run(batches)
+        trim()
+
+    return call
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -191,7 +191,7 @@ def _marked(benchmark: DataFrame, seed: int, least: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([one.column("item_id").take(take), one.column("t").take(take), pa.array(np.arange(len(take), dtype=np.int32)), pa.array(g if len(g) else [None], pa.int64())], ["item_id", "t", "at", "seed"])
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    seeds = common.settled(rows.mapInArrow(run, f"item_id {kind}, t binary, at int, seed long").select("item_id", F.xxhash64("t").alias("text"), "t", "at", "seed"))
+    seeds = common.settled(rows.mapInArrow(common.lean(run), f"item_id {kind}, t binary, at int, seed long").select("item_id", F.xxhash64("t").alias("text"), "t", "at", "seed"))
     frequent = seeds.where("seed is not null").groupBy("seed").agg(F.count_distinct("text").alias("n")).where(F.col("n") > TEMPLATE).select("seed", F.lit(True).alias("template"))
     return seeds.join(frequent, "seed", "left").groupBy("item_id", "t").agg(F.sort_array(F.collect_list(F.when(F.col("template"), F.col("at")))).alias("marks"))
 
@@ -238,7 +238,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
                     cols = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array(cols[0])), *(pa.array(c, t) for c, t in zip(cols[1:], (ITEM[item_kind], pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())))], NAMES)
 
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
+        part = docs.select("doc_id", "text").mapInArrow(common.lean(run), schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
@@ -268,7 +268,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, lea
                         keep[i + int(d)] = next(items.contained(h[a:b], own, coverage), None) is None
                 yield batch.filter(pa.array(keep))
 
-        marked = marked.select(*columns).mapInArrow(run, marked.schema)
+        marked = marked.select(*columns).mapInArrow(common.lean(run), marked.schema)
     return marked
 
 

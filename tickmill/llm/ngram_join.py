@@ -102,7 +102,7 @@ def described(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64())], ["doc_id", "n_shingles", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), f"doc_id {kind}, n_shingles long, node long")
 
 
 # --- candidate blocks ---
@@ -193,10 +193,10 @@ def candidate_edges(docs: DataFrame, k: int = SHINGLE, share: int = SHARE) -> Da
         yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], ["a", "b"])
 
     deal = lambda df: df.repartitionById(buckets, F.col("bucket"))
-    one = deal(docs.select("text").mapInArrow(prefixes, "bucket int, key binary, node binary, size binary, n binary"))
-    two = deal(one.mapInArrow(shared, "bucket int, key binary, node binary, size binary, df binary"))
-    three = deal(two.mapInArrow(rarest, "bucket int, key binary, node binary"))
-    return three.mapInArrow(stars, "a long, b long")
+    one = deal(docs.select("text").mapInArrow(common.lean(prefixes), "bucket int, key binary, node binary, size binary, n binary"))
+    two = deal(one.mapInArrow(common.lean(shared), "bucket int, key binary, node binary, size binary, df binary"))
+    three = deal(two.mapInArrow(common.lean(rarest), "bucket int, key binary, node binary"))
+    return three.mapInArrow(common.lean(stars), "a long, b long")
 
 
 # --- the R-tree ---
@@ -346,7 +346,7 @@ def block_links(rows: DataFrame, share: int = SHARE) -> DataFrame:
         yield from solved()
 
     n = 4 * common.partitions(rows.sparkSession)
-    return rows.repartition(n, "task").sortWithinPartitions("task", "node").mapInArrow(run, "a long, b long")
+    return rows.repartition(n, "task").sortWithinPartitions("task", "node").mapInArrow(common.lean(run), "a long, b long")
 
 
 def links(docs: DataFrame, facts: DataFrame, k: int = SHINGLE, share: int = SHARE) -> DataFrame:
@@ -375,9 +375,9 @@ def links(docs: DataFrame, facts: DataFrame, k: int = SHINGLE, share: int = SHAR
             yield pa.RecordBatch.from_arrays([block.take(pa.array(keep, pa.int64())), pa.array([node[i] for i in keep], pa.int64()), pa.array([out[i].tobytes() for i in keep], pa.binary())], ["block", "node", "shingles"])
 
     texts = docs.select("doc_id", "text").join(common.maybe_broadcast(wanted), "doc_id").select("block", "node", "text")
-    sets = texts.mapInArrow(sets_of, "block long, node long, shingles binary")
+    sets = texts.mapInArrow(common.lean(sets_of), "block long, node long, shingles binary")
     if facts.where("doc_id is null and node is not null").limit(1).count():  # texts that only rows of null id have are found by their node
-        nameless = docs.where("doc_id is null").select("text").mapInArrow(sets_of, "block long, node long, shingles binary").drop("block")
+        nameless = docs.where("doc_id is null").select("text").mapInArrow(common.lean(sets_of), "block long, node long, shingles binary").drop("block")
         sets = sets.unionByName(nameless.join(wanted.where("doc_id is null").select("block", "node"), "node"))
     if not hot.count():
         return block_links(sets.select(F.col("block").alias("task"), "node", "shingles"), share)

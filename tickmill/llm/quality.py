@@ -186,7 +186,7 @@ def classify(docs: DataFrame, network: Network, columns: list[str], threshold: f
             score = np.concatenate(out) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(score.astype(np.float64)), pa.array((score >= threshold).astype(np.int32))], [*columns, *names])
 
-    return keep.mapInArrow(run, schema)
+    return keep.mapInArrow(common.lean(run), schema)
 
 
 def op5(spark, sf_dir):

@@ -114,8 +114,8 @@ def repeated_anchors(docs: DataFrame, window: int, seed: int, buckets: int) -> t
         a, hot = a[begins[some]], (ends - begins)[some] >= HOT
         yield pa.RecordBatch.from_arrays([pa.array([int(_bucket(got["a"][:1], buckets)[0])], pa.int32()), pa.array([len(a)], pa.int64()), pa.array([a.tobytes()], pa.binary()), pa.array([a[hot].tobytes()], pa.binary())], ["bucket", "n", "a", "hot"])
 
-    sent = docs.mapInArrow(run, "bucket int, a binary, doc binary").repartitionById(buckets, F.col("bucket"))
-    found = common.settled(sent.mapInArrow(reduce, "bucket int, n long, a binary, hot binary"))
+    sent = docs.mapInArrow(common.lean(run), "bucket int, a binary, doc binary").repartitionById(buckets, F.col("bucket"))
+    found = common.settled(sent.mapInArrow(common.lean(reduce), "bucket int, n long, a binary, hot binary"))
     bits = max(64, min(MOST_BITS, BITS * (found.agg(F.sum("n")).first()[0] or 0)) // buckets // 8 * 8)
 
     def tables(batches):
@@ -130,7 +130,7 @@ def repeated_anchors(docs: DataFrame, window: int, seed: int, buckets: int) -> t
             yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(out[:n], pa.binary()), pa.array(out[n:], pa.binary())], ["bucket", "a", "hot"])
 
     both = np.zeros((2, buckets, bits // 8), np.uint8)
-    for r in found.mapInArrow(tables, "bucket int, a binary, hot binary").collect():  # MOST_BITS of each at most
+    for r in found.mapInArrow(common.lean(tables), "bucket int, a binary, hot binary").collect():  # MOST_BITS of each at most
         for t, x in zip(both, (r["a"], r["hot"])):
             t[r["bucket"]] = np.frombuffer(bytes(x), np.uint8)
     return both[0], both[1]
@@ -278,9 +278,9 @@ def repeats(docs: DataFrame, window: int, seed: int) -> DataFrame:
         if len(order):
             yield from _rows([(int(got["key"][0] % buckets), {k: got[k][order].tobytes() for k in RUN})], RUN)
 
-    sent = docs.mapInArrow(run, f"bucket int, {kind}").repartitionById(buckets, F.col("bucket"))
+    sent = docs.mapInArrow(common.lean(run), f"bucket int, {kind}").repartitionById(buckets, F.col("bucket"))
     runs = "bucket int, " + ", ".join(f"{c} binary" for c in RUN)
-    return sent.mapInArrow(reduce, runs).repartitionById(buckets, F.col("bucket")).mapInArrow(merged, runs)
+    return sent.mapInArrow(common.lean(reduce), runs).repartitionById(buckets, F.col("bucket")).mapInArrow(common.lean(merged), runs)
 
 
 def _within(n: np.ndarray) -> np.ndarray:
@@ -347,15 +347,15 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, car
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(x, np.int64)))], ["key"])
 
     # texts without a repeat need no shuffle, as long as the keys of those with one can be broadcast
-    touched = common.settled(found.mapInArrow(keys, "key long"))  # a key is in one row
+    touched = common.settled(found.mapInArrow(common.lean(keys), "key long"))  # a key is in one row
     small = touched.count() * 48 <= common.BROADCAST_BYTES
     some = whole.join(F.broadcast(touched), "key", "left_semi") if small else whole
     rows = some.select(F.pmod("key", F.lit(buckets)).cast("int").alias("bucket"), F.lit(1).alias("kind"), *whole.columns, *(F.lit(None).cast("binary").alias("run_" + k) for k in RUN))
     places = found.select("bucket", F.lit(0).alias("kind"), *(F.lit(None).cast(f.dataType).alias(f.name) for f in whole.schema), *(F.col(k).alias("run_" + k) for k in RUN))
     rows = rows.unionByName(places).repartitionById(buckets, F.col("bucket")).sortWithinPartitions("kind")  # the places first, then the texts one batch after the other
-    done = rows.mapInArrow(cut, kind)
+    done = rows.mapInArrow(common.lean(cut), kind)
     if small:
-        done = done.unionByName(whole.join(F.broadcast(touched), "key", "left_anti").mapInArrow(untouched, kind))
+        done = done.unionByName(whole.join(F.broadcast(touched), "key", "left_anti").mapInArrow(common.lean(untouched), kind))
     return done
 
 
